@@ -39,7 +39,7 @@ def rounded(sql: str, doubles: list[str]) -> str:
     """Round the named double columns to 6 places (and turn -0.0 into 0.0)."""
     if not doubles:
         return sql
-    rep = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in doubles)
+    rep = ", ".join(f"round({c} * 1e6) / 1e6 + 0.0 AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
 
 
@@ -163,3 +163,109 @@ cte("impacts", ["scores", "common"], """
 SELECT s.tenant, s.device_id, unnest(generate_series(c.common_start, c.common_end, INTERVAL 1 minute)) AS time,
        s.application, s.resource_type, s.impact_score, s.calculation_method
 FROM scores s JOIN common c USING (tenant, device_id)""")
+
+# --------------------------------------------------------------------------
+# Features (P8, W1, W2, A11, U4)
+WINDOWS = [5, 15, 30, 60]
+STATS = {"mean": "avg", "std": "stddev_samp", "max": "max", "min": "min"}
+STAT_W = [f"{s}_{w}" for w in WINDOWS for s in STATS]
+
+cte("app_complete", ["app_metrics"], """
+SELECT a.* FROM app_metrics a
+JOIN (SELECT tenant, device_id, application, time, count(DISTINCT metric_type) AS have
+      FROM app_metrics WHERE value IS NOT NULL GROUP BY tenant, device_id, application, time) h
+  USING (tenant, device_id, application, time)
+JOIN (SELECT tenant, device_id, application, count(DISTINCT metric_type) AS need
+      FROM app_metrics GROUP BY tenant, device_id, application) n USING (tenant, device_id, application)
+WHERE h.have = n.need AND a.value IS NOT NULL""")
+
+_roll_cols = ",\n  ".join(f"{fn}(value) OVER w{w} AS {s}_{w}" for w in WINDOWS for s, fn in STATS.items())
+_roll_wins = ",\n  ".join(
+    f"w{w} AS (PARTITION BY tenant, device_id, application, metric_type ORDER BY epoch_us(time) "
+    f"RANGE BETWEEN {w * 60_000_000 - 1} PRECEDING AND CURRENT ROW)" for w in WINDOWS)
+cte("rolling", ["app_complete"], f"""
+SELECT tenant, device_id, application, metric_type, time, value,
+  {_roll_cols}
+FROM app_complete
+WINDOW {_roll_wins}""")
+
+cte("rolling_tall", ["rolling"], f"""
+SELECT * FROM (UNPIVOT (SELECT * EXCLUDE (value) FROM rolling) ON {', '.join(STAT_W)} INTO NAME stat_w VALUE value)""")
+
+cte("rolling_last", ["rolling_tall"], """
+SELECT tenant, device_id, application, metric_type, stat_w, time_bucket(INTERVAL 5 minute, time) AS bin,
+       arg_max(value, time) AS value
+FROM rolling_tall WHERE value IS NOT NULL
+GROUP BY tenant, device_id, application, metric_type, stat_w, time_bucket(INTERVAL 5 minute, time)""")
+
+cte("features_roll", ["rolling_last"], """
+SELECT tenant, device_id, bin AS time, application,
+       metric_type || '_' || split_part(stat_w, '_', 1) || '_' || split_part(stat_w, '_', 2) || 'min' AS feature_name,
+       value, CAST(split_part(stat_w, '_', 2) AS INTEGER) AS window_size
+FROM rolling_last""")
+
+cte("features", ["features_roll", "app_metrics"], """
+WITH ft AS (SELECT DISTINCT tenant, device_id, time FROM features_roll),
+     ap AS (SELECT DISTINCT tenant, device_id, application FROM app_metrics),
+     g AS (SELECT ft.tenant, ft.device_id, ft.time, ap.application FROM ft JOIN ap USING (tenant, device_id))
+SELECT * FROM features_roll
+UNION ALL SELECT tenant, device_id, time, application, 'hour', CAST(hour(time) AS DOUBLE), 0 FROM g
+UNION ALL SELECT tenant, device_id, time, application, 'day_of_week', CAST(isodow(time) - 1 AS DOUBLE), 0 FROM g
+UNION ALL SELECT tenant, device_id, time, application, 'is_weekend',
+                 CASE WHEN isodow(time) >= 6 THEN 1.0 ELSE 0.0 END, 0 FROM g""")
+
+# --------------------------------------------------------------------------
+# Impact statistics (A6) and the system training set (M2)
+RES = ["cpu", "mem", "disk"]
+_st = []
+for r in RES:
+    f = f"FILTER (WHERE resource_type = '{r}')"
+    _st += [f"coalesce(sum(impact_score) {f}, 0.0) AS {r}_impact_sum",
+            f"coalesce(avg(impact_score) {f}, 0.0) AS {r}_impact_mean",
+            f"coalesce(max(impact_score) {f}, 0.0) AS {r}_impact_max",
+            f"coalesce(stddev_samp(impact_score) {f}, 0.0) AS {r}_impact_std"]
+STAT_COLS = [f"{r}_impact_{s}" for r in RES for s in ("sum", "mean", "max", "std")]
+cte("impact_stats", ["impacts"], f"""
+SELECT tenant, device_id, date_trunc('minute', time) AS time,
+  {', '.join(_st)}
+FROM impacts GROUP BY tenant, device_id, date_trunc('minute', time)""")
+
+CAL = ["hour", "day_of_week", "is_weekend"]
+cte("sys_x", ["impact_stats"], """
+SELECT *, CAST(hour(time) AS INTEGER) AS hour, CAST(isodow(time) - 1 AS INTEGER) AS day_of_week,
+       CASE WHEN isodow(time) >= 6 THEN 1 ELSE 0 END AS is_weekend
+FROM impact_stats""")
+cte("sys_y", ["canon_res"], f"""
+SELECT tenant, device_id, date_trunc('minute', time) AS time,
+  {', '.join(f"avg(value) FILTER (WHERE resource_type = '{r}') AS {r}" for r in RES)}
+FROM canon_res GROUP BY tenant, device_id, date_trunc('minute', time)""")
+cte("sys_slice", ["sys_x", "sys_y"], """
+SELECT tenant, device_id, greatest(x0, y0) AS s0, least(x1, y1) AS s1
+FROM (SELECT tenant, device_id, min(time) AS x0, max(time) AS x1 FROM sys_x GROUP BY ALL)
+JOIN (SELECT tenant, device_id, min(time) AS y0, max(time) AS y1 FROM sys_y GROUP BY ALL) USING (tenant, device_id)
+WHERE greatest(x0, y0) < least(x1, y1)""")
+_xc = STAT_COLS + CAL
+cte("sys_xb", ["sys_x", "sys_slice"], f"""
+SELECT x.tenant, x.device_id, time_bucket(INTERVAL 5 minute, x.time) AS time, {', '.join(f'avg({c}) AS {c}' for c in _xc)}
+FROM sys_x x JOIN sys_slice s USING (tenant, device_id) WHERE x.time BETWEEN s.s0 AND s.s1
+GROUP BY x.tenant, x.device_id, time_bucket(INTERVAL 5 minute, x.time)""")
+cte("sys_yb", ["sys_y", "sys_slice"], f"""
+SELECT y.tenant, y.device_id, time_bucket(INTERVAL 5 minute, y.time) AS time, {', '.join(f'avg({c}) AS {c}' for c in RES)}
+FROM sys_y y JOIN sys_slice s USING (tenant, device_id) WHERE y.time BETWEEN s.s0 AND s.s1
+GROUP BY y.tenant, y.device_id, time_bucket(INTERVAL 5 minute, y.time)""")
+cte("sys_grid", ["sys_xb", "sys_yb"], """
+SELECT tenant, device_id, greatest(x0, y0) AS c0, least(x1, y1) AS c1,
+       unnest(generate_series(least(x0, y0), greatest(x1, y1), INTERVAL 5 minute)) AS time
+FROM (SELECT tenant, device_id, min(time) AS x0, max(time) AS x1 FROM sys_xb GROUP BY ALL)
+JOIN (SELECT tenant, device_id, min(time) AS y0, max(time) AS y1 FROM sys_yb GROUP BY ALL) USING (tenant, device_id)""")
+_all = _xc + RES
+cte("sys_train", ["sys_grid"], f"""
+SELECT * EXCLUDE (n) FROM (
+  SELECT tenant, device_id, time, {', '.join(f'coalesce({c}, 0.0) AS {c}' for c in _all)},
+         count(*) OVER (PARTITION BY tenant, device_id) AS n
+  FROM (
+    SELECT g.tenant, g.device_id, g.time, g.c0, g.c1,
+      {', '.join(f'CAST(last_value({c} IGNORE NULLS) OVER (PARTITION BY g.tenant, g.device_id ORDER BY g.time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS {c}' for c in _all)}
+    FROM sys_grid g LEFT JOIN sys_xb x USING (tenant, device_id, time) LEFT JOIN sys_yb y USING (tenant, device_id, time)
+  ) WHERE time BETWEEN c0 AND c1
+) WHERE n >= 10""")

@@ -34,7 +34,9 @@ def finalize(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType | T.FloatType):
-            c = F.round(c.cast("double"), 6)
+            # round(x * 1e6) / 1e6: the same float steps in Spark and DuckDB,
+            # so exact-half cases round alike on both sides
+            c = F.round(c.cast("double") * F.lit(1e6)) / F.lit(1e6)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         cols.append(c.alias(f.name))
@@ -101,3 +103,62 @@ def q_impacts(spark, sf):
 def q_common(spark, sf):
     """Shared minute span per entity, gated at 5."""
     return IP.impact_frames(fx_points(spark, sf)).common
+
+
+# ---------------------------------------------------------------- features
+def _app(spark, sf):
+    from ..sources.points import app_metrics
+    return app_metrics(server_points(spark, sf))
+
+
+def _res(spark, sf):
+    from ..sources.points import resource_metrics
+    return resource_metrics(server_points(spark, sf))
+
+
+@register("p8_complete_rows", sql_with(["app_complete"], "SELECT * FROM app_complete"), ["value"])
+def q_complete(spark, sf):
+    """App-minutes where every metric of the application is present."""
+    from ..operators.clean import complete_rows
+    return complete_rows(_app(spark, sf), ["tenant", "device_id", "application"], "metric_type")
+
+
+@register("w1_rolling_stats", sql_with(["rolling"], "SELECT * FROM rolling"),
+          ["value"] + [f"{s}_{w}" for w in (5, 15, 30, 60) for s in ("mean", "std", "max", "min")])
+def q_rolling(spark, sf):
+    """Time-based rolling mean/std/max/min over (t-w, t] for w = 5, 15, 30, 60 min."""
+    from ..operators.clean import complete_rows
+    from ..operators.series import rolling_stats
+    full = complete_rows(_app(spark, sf), ["tenant", "device_id", "application"], "metric_type")
+    return rolling_stats(full, ["application", "metric_type"])
+
+
+@register("w2_rolling_features", sql_with(["features_roll"], "SELECT * FROM features_roll"), ["value"])
+def q_roll_features(spark, sf):
+    """W2 + A11: rolling statistics, last per 5-min bin, tall with feature names."""
+    from ..operators.features import rolling_features
+    return rolling_features(_app(spark, sf))
+
+
+@register("u4_feature_table", sql_with(["features"], "SELECT * FROM features"), ["value"])
+def q_features(spark, sf):
+    """U4: rolling features plus calendar features for every application and feature time."""
+    from ..operators.features import feature_table
+    return feature_table(_app(spark, sf))
+
+
+@register("a6_impact_stats", sql_with(["impact_stats"], "SELECT * FROM impact_stats"),
+          [f"{r}_impact_{s}" for r in ("cpu", "mem", "disk") for s in ("sum", "mean", "max", "std")])
+def q_impact_stats(spark, sf):
+    """Per-minute sum/mean/max/std of impact per resource (zeros when absent)."""
+    from ..operators.aggregate import impact_stats
+    return impact_stats(IP.impact_table(fx_points(spark, sf)))
+
+
+@register("m2_system_training_set", sql_with(["sys_train"], "SELECT * FROM sys_train"),
+          [f"{r}_impact_{s}" for r in ("cpu", "mem", "disk") for s in ("sum", "mean", "max", "std")]
+          + ["hour", "day_of_week", "is_weekend", "cpu", "mem", "disk"])
+def q_sys_train(spark, sf):
+    """M2: 5-min impact statistics + calendar beside utilisation, forward filled."""
+    from ..operators.features import system_training_set
+    return system_training_set(IP.impact_table(fx_points(spark, sf)), _res(spark, sf))

@@ -47,24 +47,30 @@ def mean_by_key(df: DataFrame, keys: Sequence[str], value: str = "value") -> Dat
 
 # A3 ------------------------------------------------------------------------
 def resource_rollup(res: DataFrame, every: str, methods: DataFrame | None = None, ts: str = "ts") -> DataFrame:
-    """Per-resource roll-up with a configurable method.
+    """Per-resource roll-up with a configurable method: max, last or avg.
 
-    ``methods`` (resource_type, method) picks max / last / avg; the default
-    is cpu max, mem last, disk last, anything else avg.  Tiny rules table is
-    broadcast (3-10 rows, fixed by the config schema).
+    ``methods`` has (resource_type, method) and optionally ``tenant``; a
+    resource without a configured method falls back to the default (cpu
+    max, mem last, disk last), anything else to avg.
     """
     from .config import DEFAULT_ROLLUP
-    if methods is None:
-        methods = res.sparkSession.createDataFrame(DEFAULT_ROLLUP, "resource_type string, method string")
     w = F.window(F.col(ts), every)
     agg = res.groupBy(*K, "resource_type", w.alias("w")).agg(
         F.max("value").alias("v_max"), F.max_by("value", F.col(ts)).alias("v_last"), F.avg("value").alias("v_avg"))
-    j = agg.join(F.broadcast(methods), "resource_type", "left")
-    value = (F.when(F.col("method") == "max", F.col("v_max"))
-             .when(F.col("method") == "last", F.col("v_last"))
+    default = None
+    for r, m in DEFAULT_ROLLUP:
+        default = (F.when(F.col("resource_type") == r, F.lit(m)) if default is None
+                   else default.when(F.col("resource_type") == r, F.lit(m)))
+    method = default
+    j = agg
+    if methods is not None:
+        on = [c for c in ("tenant", "resource_type") if c in methods.columns]
+        j = agg.join(methods.select(*on, F.col("method").alias("_cfg")), on, "left")
+        method = F.coalesce(F.col("_cfg"), default)
+    method = F.coalesce(method, F.lit("avg"))
+    value = (F.when(method == "max", F.col("v_max")).when(method == "last", F.col("v_last"))
              .otherwise(F.col("v_avg")))
-    return j.select(*K, "resource_type", F.col("w.end").alias("time"),
-                    F.coalesce(F.col("method"), F.lit("avg")).alias("method"), value.alias("value"))
+    return j.select(*K, "resource_type", F.col("w.end").alias("time"), method.alias("method"), value.alias("value"))
 
 
 # A4 ------------------------------------------------------------------------
@@ -137,7 +143,8 @@ def latest_profile(app: DataFrame, now, lookback_minutes: int = 30) -> DataFrame
     from ..functions.time import ts_lit
     now_c = ts_lit(now) if isinstance(now, str) else now
     lo = now_c - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(lookback_minutes))
-    recent = app.where((F.col("time") >= lo) & (F.col("time") <= now_c))
+    # points in [now - m, now) carry end labels in (now - m, now]
+    recent = app.where((F.col("time") > lo) & (F.col("time") <= now_c))
     return recent.groupBy(*K, "application", "metric_type").agg(
         F.avg("value").alias("value"), F.max("time").alias("latest_time"))
 
@@ -228,17 +235,6 @@ def applications(app: DataFrame) -> DataFrame:
     return app.select(*K, "application").distinct()
 
 
-# A22 -----------------------------------------------------------------------
-# The six known configuration types.
-CONFIG_TYPES = ["aggregation", "threshold", "exclusion", "interval", "notification", "model"]
-
-
-def config_gate(cfg: DataFrame, min_types: int = 5) -> DataFrame:
-    g = cfg.where(F.col("config_type").isin(CONFIG_TYPES)).groupBy("tenant").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("config_type").alias("n_types"))
-    return g.select("tenant", "n_rows", "n_types", (F.col("n_rows") >= min_types).alias("config_ok"))
-
-
 # M12 -----------------------------------------------------------------------
 def regression_metrics(df: DataFrame, keys: Sequence[str], y: str, yhat: str) -> DataFrame:
     """MAE, RMSE, R^2 per key in one aggregation (R^2 null when y is constant)."""

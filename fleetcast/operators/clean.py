@@ -42,12 +42,12 @@ def csv_items(text: Column, trim: bool = True) -> Column:
     return F.filter(parts, lambda x: x != "")
 
 
-def exclusion_list(cfg: DataFrame, config_key: str, trim: bool = True, default: Sequence[str] = (),
-                   config_type: str = "exclusion") -> DataFrame:
+def exclusion_list(cfg: DataFrame, config_key: str, trim: bool = True,
+                   config_type: str = "excluded") -> DataFrame:
     """Effective exclusion items per tenant: (tenant, item).
 
-    Newest active row per tenant wins; a tenant without a row gets ``default``
-    (applied by the caller through ``exclude_values(default=...)``).
+    Newest active row per tenant wins; a tenant without a row gets the
+    caller's default list (``exclude_values(default=...)``).
     """
     from .config import effective_config
     eff = effective_config(cfg).where((F.col("config_type") == config_type) & (F.col("config_key") == config_key))
@@ -66,7 +66,12 @@ def exclude_values(df: DataFrame, column: str, items: DataFrame, default: Sequen
 
 def exclude_devices(df: DataFrame, cfg: DataFrame, default: Sequence[str] = ()) -> DataFrame:
     """P5: drop devices listed (trimmed CSV) in the tenant's exclusion config."""
-    return exclude_values(df, "device_id", exclusion_list(cfg, "excluded_devices", True), default)
+    return exclude_values(df, "device_id", exclusion_list(cfg, "devices", True), default)
+
+
+def exclude_gateways(df: DataFrame, cfg: DataFrame, column: str = "application", default: Sequence[str] = ()) -> DataFrame:
+    """Drop applications (gateways) listed in the tenant's exclusion config (no trim)."""
+    return exclude_values(df, column, exclusion_list(cfg, "gateways", False), default)
 
 
 # P7 ------------------------------------------------------------------------

@@ -32,7 +32,11 @@ def _order(names: list[str]) -> list[str]:
 def sql_with(needs: list[str], final: str) -> str:
     names = _order(needs)
     parts = [f"{n} AS (\n{CTES[n][0].strip()}\n)" for n in names]
-    return "WITH " + ",\n".join(parts) + "\n" + final.strip()
+    final = final.strip()
+    if final[:5].upper() == "WITH ":
+        # the final query's own CTEs continue the list
+        return "WITH " + ",\n".join(parts) + ",\n" + final[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + final
 
 
 def rounded(sql: str, doubles: list[str]) -> str:

@@ -162,3 +162,6 @@ def q_sys_train(spark, sf):
     """M2: 5-min impact statistics + calendar beside utilisation, forward filled."""
     from ..operators.features import system_training_set
     return system_training_set(IP.impact_table(fx_points(spark, sf)), _res(spark, sf))
+
+
+from . import catalog  # noqa: E402,F401  (registers the remaining queries)

@@ -27,16 +27,35 @@ def pearson(x: Column | str, y: Column | str) -> Column:
 
 
 # A1 ------------------------------------------------------------------------
-def window_mean(df: DataFrame, every: str, keys: Sequence[str], ts: str = "ts", value: str = "value",
+def every_micros(every: str | int) -> int:
+    """'1 minute', '5 minutes', '30 seconds', '1 hour' or an int of minutes -> micros."""
+    if isinstance(every, int):
+        return every * 60_000_000
+    n, unit = every.split()
+    mult = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000}[unit.rstrip("s")]
+    return int(n) * mult
+
+
+def bin_start(ts: Column | str, every: str | int, end: bool = False) -> Column:
+    """Epoch-aligned tumbling bin start (or end) - the bins of ``window(ts, every)``."""
+    n = every_micros(every)
+    c = F.col(ts) if isinstance(ts, str) else ts
+    start = F.floor(F.unix_micros(c) / F.lit(n)).cast("long") * F.lit(n)
+    return F.timestamp_micros(start + F.lit(n) if end else start)
+
+
+def window_mean(df: DataFrame, every: str | int, keys: Sequence[str], ts: str = "ts", value: str = "value",
                 label: str = "end") -> DataFrame:
     """Tumbling mean per series; empty windows are simply absent.
 
     ``label='end'`` names a window by its end (the points source's
-    convention), ``'start'`` by its start (resample convention).
+    convention), ``'start'`` by its start (resample convention).  The label
+    is plain arithmetic on the timestamp, so the grouping key is a flat
+    column that later groupings on the same key (A2) can reuse without a
+    second shuffle.
     """
-    w = F.window(F.col(ts), every)
-    out = df.groupBy(*keys, w.alias("w")).agg(F.avg(value).alias(value))
-    return out.select(*keys, F.col(f"w.{label}").alias("time"), value)
+    t = bin_start(ts, every, end=(label == "end"))
+    return df.groupBy(*keys, t.alias("time")).agg(F.avg(value).alias(value)).select(*keys, "time", value)
 
 
 # A2 ------------------------------------------------------------------------
@@ -54,8 +73,7 @@ def resource_rollup(res: DataFrame, every: str, methods: DataFrame | None = None
     max, mem last, disk last), anything else to avg.
     """
     from .config import DEFAULT_ROLLUP
-    w = F.window(F.col(ts), every)
-    agg = res.groupBy(*K, "resource_type", w.alias("w")).agg(
+    agg = res.groupBy(*K, "resource_type", bin_start(ts, every, end=True).alias("time")).agg(
         F.max("value").alias("v_max"), F.max_by("value", F.col(ts)).alias("v_last"), F.avg("value").alias("v_avg"))
     default = None
     for r, m in DEFAULT_ROLLUP:
@@ -70,7 +88,7 @@ def resource_rollup(res: DataFrame, every: str, methods: DataFrame | None = None
     method = F.coalesce(method, F.lit("avg"))
     value = (F.when(method == "max", F.col("v_max")).when(method == "last", F.col("v_last"))
              .otherwise(F.col("v_avg")))
-    return j.select(*K, "resource_type", F.col("w.end").alias("time"), method.alias("method"), value.alias("value"))
+    return j.select(*K, "resource_type", "time", method.alias("method"), value.alias("value"))
 
 
 # A4 ------------------------------------------------------------------------
@@ -164,10 +182,8 @@ def resample_mean(df: DataFrame, every: str, keys: Sequence[str], ts: str = "tim
 
 def resample_last(df: DataFrame, every: str, keys: Sequence[str], ts: str = "time", value: str = "value") -> DataFrame:
     """Last non-null value per bin (bin start label); null-only bins dropped."""
-    w = F.window(F.col(ts), every)
-    out = (df.where(F.col(value).isNotNull()).groupBy(*keys, w.alias("w"))
-           .agg(F.max_by(value, F.col(ts)).alias(value)))
-    return out.select(*keys, F.col("w.start").alias(ts), value)
+    return (df.where(F.col(value).isNotNull()).groupBy(*keys, bin_start(ts, every).alias("_bin"))
+            .agg(F.max_by(value, F.col(ts)).alias(value)).select(*keys, F.col("_bin").alias(ts), value))
 
 
 # A12 / A13 -----------------------------------------------------------------

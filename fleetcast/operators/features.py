@@ -86,41 +86,57 @@ def system_training_set(impacts: DataFrame, res: DataFrame, every_minutes: int =
     """Wide model rows: impact statistics + calendar (X) beside cpu / mem / disk (y).
 
     Per entity: A6 per minute and the canonical resources per minute, both
-    cut to the overlap of their spans (W6), averaged per 5-minute bin (A10),
-    laid on the bin grid of the overlap, forward filled per column then 0
-    (W5), kept if the entity has >= ``min_common`` bins (J1).
+    cut to the overlap of their spans (W6), averaged per 5-minute bin (A10)
+    over each side's own first..last bin, forward filled per column (W5),
+    kept on the bins both sides cover, 0 for what stays empty, and only for
+    entities with >= ``min_common`` such bins (J1).
+
+    One lineage: X and y rows are unioned with a side tag and every span,
+    bin bound and fill is a window partitioned by the entity over per-minute
+    or per-bin rows, so nothing is joined back to its own aggregate.
     """
     from pyspark.sql import Window
 
-    from .series import overlap_slice
+    x_cols = [*STAT_COLUMNS, *CALENDAR]
+    y_cols = list(RESOURCE_NAMES)
     stats = impact_stats(impacts).select(*K, "time", *STAT_COLUMNS, hour_of_day("time").alias("hour"),
                                          day_of_week("time").alias("day_of_week"),
                                          is_weekend("time").alias("is_weekend"))
     r = canonical_resources(res).withColumn("time", F.date_trunc("minute", "time"))
-    y_min = r.groupBy(*K, "time").pivot("resource_type", RESOURCE_NAMES).agg(F.avg("value"))
-    sl = overlap_slice(stats, y_min)
-    x_cols = [*STAT_COLUMNS, *CALENDAR]
-
-    def binned(df, cols):
-        cut = df.join(sl, K).where(F.col("time").between(F.col("slice_start"), F.col("slice_end")))
-        return cut.groupBy(*K, floor_minutes("time", every_minutes).alias("time")) \
-                  .agg(*[F.avg(c).alias(c) for c in cols])
-
-    xb, yb = binned(stats, x_cols), binned(y_min, RESOURCE_NAMES)
-    # each side resamples over its own first..last bin; the common bins are the intersection
-    bx = xb.groupBy(*K).agg(F.min("time").alias("x0"), F.max("time").alias("x1"))
-    by = yb.groupBy(*K).agg(F.min("time").alias("y0"), F.max("time").alias("y1"))
-    b = bx.join(by, K)
-    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(every_minutes))
-    grid = b.select(*K, F.greatest("x0", "y0").alias("c0"), F.least("x1", "y1").alias("c1"),
-                    F.explode(F.sequence(F.least("x0", "y0"), F.greatest("x1", "y1"), step)).alias("time"))
-    g = grid.join(xb, K + ["time"], "left").join(yb, K + ["time"], "left")
-    w = Window.partitionBy(*K).orderBy("time").rowsBetween(Window.unboundedPreceding, 0)
-    filled = g.select(*K, "time", "c0", "c1",
-                      *[F.last(c, ignorenulls=True).over(w).cast("double").alias(c) for c in x_cols + RESOURCE_NAMES])
-    common = filled.where(F.col("time").between(F.col("c0"), F.col("c1")))
-    n = F.count(F.lit(1)).over(Window.partitionBy(*K))
-    out = common.select(*K, "time", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in x_cols + RESOURCE_NAMES],
+    y_min = r.groupBy(*K, "time").pivot("resource_type", y_cols).agg(F.avg("value"))
+    nul = lambda c: F.lit(None).cast("double").alias(c)
+    u = (stats.select(*K, "time", *[F.col(c).cast("double").alias(c) for c in x_cols], *[nul(c) for c in y_cols],
+                      F.lit(True).alias("is_x"))
+         .unionByName(y_min.select(*K, "time", *[nul(c) for c in x_cols], *y_cols, F.lit(False).alias("is_x"))))
+    wk = Window.partitionBy(*K)
+    tx, ty = F.when(F.col("is_x"), F.col("time")), F.when(~F.col("is_x"), F.col("time"))
+    s0 = F.greatest(F.min(tx).over(wk), F.min(ty).over(wk))
+    s1 = F.least(F.max(tx).over(wk), F.max(ty).over(wk))
+    cut = u.select("*", s0.alias("_s0"), s1.alias("_s1")).where(
+        (F.col("_s0") < F.col("_s1")) & F.col("time").between(F.col("_s0"), F.col("_s1")))
+    b = cut.groupBy(*K, floor_minutes("time", every_minutes).alias("time")).agg(
+        *[F.avg(c).alias(c) for c in x_cols + y_cols],
+        F.max(F.col("is_x").cast("int")).alias("_hx"), F.max((~F.col("is_x")).cast("int")).alias("_hy"))
+    bx, by = F.when(F.col("_hx") == 1, F.col("time")), F.when(F.col("_hy") == 1, F.col("time"))
+    c0 = F.greatest(F.min(bx).over(wk), F.min(by).over(wk))
+    c1 = F.least(F.max(bx).over(wk), F.max(by).over(wk))
+    wt = wk.orderBy("time")
+    step_us = every_minutes * 60_000_000
+    nxt = F.lead("time").over(wt)
+    n_empty = ((F.unix_micros(nxt) - F.unix_micros("time")) / F.lit(step_us)).cast("long") - 1
+    b2 = b.select("*", c0.alias("_c0"), c1.alias("_c1"), F.coalesce(n_empty, F.lit(0).cast("long")).alias("_ne"))
+    # the bins between two data bins, with empty values (the resample grid)
+    ex = b2.select(*K, "_c0", "_c1", *x_cols, *y_cols, "time",
+                   F.explode(F.sequence(F.lit(0).cast("long"), F.col("_ne"))).alias("_k"))
+    step = F.make_dt_interval(F.lit(0), F.lit(0), (F.col("_k") * every_minutes).cast("int"))
+    grid = ex.select(*K, "_c0", "_c1", (F.col("time") + step).alias("time"),
+                     *[F.when(F.col("_k") == 0, F.col(c)).alias(c) for c in x_cols + y_cols])
+    wf = wt.rowsBetween(Window.unboundedPreceding, 0)
+    filled = grid.select(*K, "time", "_c0", "_c1",
+                         *[F.last(c, ignorenulls=True).over(wf).alias(c) for c in x_cols + y_cols])
+    common = filled.where(F.col("time").between(F.col("_c0"), F.col("_c1")))
+    n = F.count(F.lit(1)).over(wk)
+    out = common.select(*K, "time", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in x_cols + y_cols],
                         n.alias("_n"))
     return out.where(F.col("_n") >= min_common).drop("_n")
 

@@ -60,7 +60,7 @@ def interpolate_linear(df: DataFrame, series: Sequence[str], ts: str = "time", v
     returned (originals plus fills); ``minute_grid`` restores the nulls.
 
     Built on gaps instead of a full grid: ``lead`` over the valid points of a
-    series, then ``explode(sequence(1, n))`` for the missing steps.
+    series, then one ``explode(sequence(0, n))`` per point: the point and its fills.
     """
     sk = list(keys) + list(series)
     pts = df.where(F.col(value).isNotNull()).select(*sk, ts, value)
@@ -68,27 +68,22 @@ def interpolate_linear(df: DataFrame, series: Sequence[str], ts: str = "time", v
         bounds = grid_bounds(df, ts, keys)
     w = Window.partitionBy(*sk).orderBy(ts)
     g = pts.select(*sk, ts, value, F.lead(ts).over(w).alias("_nt"), F.lead(value).over(w).alias("_nv"))
-    step_us = step_minutes * MINUTE_US
-    gap = ((F.unix_micros("_nt") - F.unix_micros(ts)) / F.lit(step_us)).cast("long")
-    # interior gaps: fill k = 1..min(limit, gap-1) on the line to the next point
-    inner = g.where(F.col("_nt").isNotNull()).select(
-        *sk, ts, value, gap.alias("_gap"), F.col("_nv"))
-    inner = inner.where(F.col("_gap") > 1).select(
-        *sk, ts, value, "_gap", "_nv",
-        F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(limit).cast("long"), F.col("_gap") - 1))).alias("_k"))
-    inner_fill = inner.select(
-        *sk, (F.col(ts) + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("_k") * step_minutes).cast("int"))).alias(ts),
-        (F.col(value) + (F.col("_nv") - F.col(value)) * F.col("_k") / F.col("_gap")).alias(value))
-    # trailing gap: repeat the last value up to the grid end (one row per series joins the bounds)
-    last = g.where(F.col("_nt").isNull()).select(*sk, ts, value).join(bounds.select(*keys, "grid_end"), list(keys))
-    tail_n = F.least(F.lit(limit).cast("long"),
-                     ((F.unix_micros("grid_end") - F.unix_micros(ts)) / F.lit(step_us)).cast("long"))
-    tail = last.where(tail_n >= 1).select(
-        *sk, ts, value, F.explode(F.sequence(F.lit(1).cast("long"), tail_n)).alias("_k"))
-    tail_fill = tail.select(
-        *sk, (F.col(ts) + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("_k") * step_minutes).cast("int"))).alias(ts),
-        F.col(value))
-    return pts.unionByName(inner_fill).unionByName(tail_fill)
+    # one row per entity on the right: AQE broadcasts it when its measured size is small
+    g = g.join(bounds.select(*keys, "grid_end"), list(keys))
+    step_us = F.lit(step_minutes * MINUTE_US)
+    gap = ((F.unix_micros("_nt") - F.unix_micros(ts)) / step_us).cast("long")
+    to_end = ((F.unix_micros("grid_end") - F.unix_micros(ts)) / step_us).cast("long")
+    lim = F.lit(limit).cast("long")
+    # k = 0 is the point itself; interior gaps fill min(limit, gap - 1) steps on the
+    # line to the next point, a trailing gap repeats the value up to the grid end
+    n_fill = F.when(F.col("_nt").isNotNull(), F.least(lim, gap - 1)).otherwise(F.greatest(F.least(lim, to_end), F.lit(0).cast("long")))
+    ex = g.select(*sk, ts, value, "_nt", "_nv", gap.alias("_gap"),
+                  F.explode(F.sequence(F.lit(0).cast("long"), n_fill)).alias("_k"))
+    v = (F.when(F.col("_k") == 0, F.col(value))
+         .when(F.col("_nt").isNotNull(), F.col(value) + (F.col("_nv") - F.col(value)) * F.col("_k") / F.col("_gap"))
+         .otherwise(F.col(value)))
+    t = F.col(ts) + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("_k") * step_minutes).cast("int"))
+    return ex.select(*sk, t.alias(ts), v.alias(value))
 
 
 # W1 ------------------------------------------------------------------------

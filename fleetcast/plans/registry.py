@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_utc
-from ..sources.fixtures import fx_points
+from ..sources.fixtures import fx_points, memo_plan
 from . import impact as IP
 from .oracle import rounded, sql_with
 
+@memo_plan
 def server_points(spark: SparkSession, sf: str) -> DataFrame:
     """S1 over the fixture points: origin = server_data, whole range."""
     from ..sources.points import scan_points
@@ -49,7 +50,9 @@ def register(name: str, sql: str | None = None, doubles: list[str] | None = None
             ensure_utc(spark)
             return finalize(fn(spark, sf_dir))
         run.__name__ = name
+        run.__qualname__ = f"query.{name}"
         run.__doc__ = fn.__doc__
+        run = memo_plan(run)
         QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = rounded(sql, doubles or [])
@@ -106,11 +109,13 @@ def q_common(spark, sf):
 
 
 # ---------------------------------------------------------------- features
+@memo_plan
 def _app(spark, sf):
     from ..sources.points import app_metrics
     return app_metrics(server_points(spark, sf))
 
 
+@memo_plan
 def _res(spark, sf):
     from ..sources.points import resource_metrics
     return resource_metrics(server_points(spark, sf))

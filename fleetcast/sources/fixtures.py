@@ -26,11 +26,36 @@ RESOURCE_GATEWAYS = ["cpu", "mem", "disk"]
 DEFAULT_SF_DIR = os.environ.get("FLEETCAST_SF_DIR", "/root/testdata/sf0.01")
 
 
+_PLANS: dict = {}
+
+
+def memo_plan(fn):
+    """Build a derived DataFrame once per (session, directory, arguments).
+
+    DataFrames are immutable logical plans, so handing the same object out
+    again only skips re-analysis on the driver; every action re-reads the
+    files.  Keyed by the JVM session so a new session never sees stale plans.
+    """
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kw):
+        key = (fn.__module__, fn.__qualname__, id(spark._jsparkSession), spark.sparkContext.applicationId,
+               sf_dir, args, tuple(sorted(kw.items())))
+        df = _PLANS.get(key)
+        if df is None:
+            df = _PLANS[key] = fn(spark, sf_dir, *args, **kw)
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    wrapper.__wrapped__ = fn
+    return wrapper
+
+
+@memo_plan
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (parquet)."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+@memo_plan
 def events(spark: SparkSession, sf_dir: str, compress: bool = True) -> DataFrame:
     ensure_utc(spark)
     ev = read_table(spark, sf_dir, "events")
@@ -40,6 +65,7 @@ def events(spark: SparkSession, sf_dir: str, compress: bool = True) -> DataFrame
     return ev.select("event_id", ts.alias("ts"), "user_id", "event_type", "value", "props")
 
 
+@memo_plan
 def fx_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tagged points per event, one scan (``inline`` of a 2-element array)."""
     ev = events(spark, sf_dir)

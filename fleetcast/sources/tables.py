@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import version_stamp
-from .fixtures import events, fx_points
+from .fixtures import events, fx_points, memo_plan
 
 K = ["tenant", "device_id"]
 
@@ -37,12 +37,14 @@ def thresholds(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(THRESHOLDS, "resource_type string, threshold double")
 
 
+@memo_plan
 def _canon_res(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators.clean import canonical_resources
     from .points import resource_metrics, scan_points
     return canonical_resources(resource_metrics(scan_points(fx_points(spark, sf))))
 
 
+@memo_plan
 def fx_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Two forecast batches per resource minute (lag 1 at -30 min, lag 2 at -60 min) plus ties."""
     res = _canon_res(spark, sf)
@@ -67,6 +69,7 @@ def fx_predictions(spark: SparkSession, sf: str) -> DataFrame:
                      version_stamp("r.prediction_time").alias("batch_id"))
 
 
+@memo_plan
 def fx_model_performance(spark: SparkSession, sf: str) -> DataFrame:
     """One row per (entity, application, resource, hour): app metric vs resource error statistics."""
     from ..operators.clean import canonical_resources  # noqa: F401
@@ -84,6 +87,7 @@ def fx_model_performance(spark: SparkSession, sf: str) -> DataFrame:
                     version_stamp("trained_at").alias("version"))
 
 
+@memo_plan
 def fx_jobs(spark: SparkSession, sf: str) -> DataFrame:
     """One job per event: type by user, duration = value seconds, failed for error events."""
     ev = events(spark, sf)
@@ -96,6 +100,7 @@ def fx_jobs(spark: SparkSession, sf: str) -> DataFrame:
                      F.when(F.col("event_type") == "error", "failed").otherwise("completed").alias("status"))
 
 
+@memo_plan
 def fx_configurations(spark: SparkSession, sf: str) -> DataFrame:
     """One configuration row per event (repeated keys, inactive rows, null server, JSON, CSV)."""
     ev = events(spark, sf)
@@ -122,6 +127,7 @@ def fx_configurations(spark: SparkSession, sf: str) -> DataFrame:
                      (eid % 13 != 0).alias("is_active"), F.col("ts").alias("updated_at"))
 
 
+@memo_plan
 def fx_registry(spark: SparkSession, sf: str) -> DataFrame:
     """Registered entities: those of tenant t-0 seen in the points."""
     p = fx_points(spark, sf).where(F.col("tenant") == "t-0")
@@ -130,6 +136,7 @@ def fx_registry(spark: SparkSession, sf: str) -> DataFrame:
                                          F.lit(None).cast("timestamp").alias("registered_at"))
 
 
+@memo_plan
 def fx_alerts(spark: SparkSession, sf: str) -> DataFrame:
     """Alert rows for newest-batch forecasts at or above their limit."""
     p = fx_predictions(spark, sf)

@@ -65,7 +65,7 @@ def interpolate_linear(df: DataFrame, series: Sequence[str], ts: str = "time", v
     sk = list(keys) + list(series)
     pts = df.where(F.col(value).isNotNull()).select(*sk, ts, value)
     if bounds is None:
-        bounds = grid_bounds(df, ts, keys)
+        bounds = grid_bounds(pts, ts, keys)
     w = Window.partitionBy(*sk).orderBy(ts)
     g = pts.select(*sk, ts, value, F.lead(ts).over(w).alias("_nt"), F.lead(value).over(w).alias("_nv"))
     # one row per entity on the right: AQE broadcasts it when its measured size is small

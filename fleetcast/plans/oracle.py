@@ -40,10 +40,10 @@ def sql_with(needs: list[str], final: str) -> str:
 
 
 def rounded(sql: str, doubles: list[str]) -> str:
-    """Round the named double columns to 6 places (and turn -0.0 into 0.0)."""
+    """Round the named double columns like ``registry.round6`` (and turn -0.0 into 0.0)."""
     if not doubles:
         return sql
-    rep = ", ".join(f"round({c} * 1e6) / 1e6 + 0.0 AS {c}" for c in doubles)
+    rep = ", ".join(f"sign({c}) * floor(abs({c}) * 1e6 + 0.5000001) / 1e6 + 0.0 AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
 
 

@@ -58,7 +58,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @memo_plan
 def events(spark: SparkSession, sf_dir: str, compress: bool = True) -> DataFrame:
     ensure_utc(spark)
-    ev = read_table(spark, sf_dir, "events")
+    return events_from(read_table(spark, sf_dir, "events"), compress)
+
+
+def events_stream(spark: SparkSession, sf_dir: str, compress: bool = True) -> DataFrame:
+    """The events table as a file stream (same derivation as the batch view)."""
+    ensure_utc(spark)
+    schema = read_table(spark, sf_dir, "events").schema
+    # a glob on the one file: the file source lists it like a directory entry
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(
+        os.path.join(sf_dir, "events.parque[t]"))
+    return events_from(raw, compress)
+
+
+def events_from(ev: DataFrame, compress: bool = True) -> DataFrame:
     ts = ev["ts"].cast("timestamp")
     if compress:
         ts = F.timestamp_micros(F.lit(EPOCH_US) + F.floor((F.unix_micros(ts) - F.lit(EPOCH_US)) / F.lit(COMPRESSION)).cast("long"))
@@ -68,7 +81,14 @@ def events(spark: SparkSession, sf_dir: str, compress: bool = True) -> DataFrame
 @memo_plan
 def fx_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tagged points per event, one scan (``inline`` of a 2-element array)."""
-    ev = events(spark, sf_dir)
+    return points_from(events(spark, sf_dir))
+
+
+def fx_points_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return points_from(events_stream(spark, sf_dir))
+
+
+def points_from(ev: DataFrame) -> DataFrame:
     tenant_no = (F.col("user_id") % TENANTS).cast("string")
     res_no = F.col("event_id") % 3
     gw_res = F.when(res_no == 0, "cpu").when(res_no == 1, "mem").otherwise("disk")

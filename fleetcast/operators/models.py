@@ -1,10 +1,12 @@
 """Model operators on ``pyspark.ml``.
 
 Re-aimed for a cluster: instead of one estimator per (device, application,
-resource) fitted in a driver loop, there is one distributed fit per
-resource, with the entity (and application) as an indexed feature, so the
-number of fits does not grow with the fleet.  Tree models need no feature
-scaling (splits are invariant to it), so no scaler stage is used.
+resource) fitted in a driver loop, there is one distributed fit for the
+whole fleet, with the entity, application and resource as indexed
+features, so the number of fits does not grow with the fleet.  Training
+inputs are checkpointed first (iterative fits re-read their input many
+times).  Tree models need no feature scaling (splits are invariant to it),
+so no scaler stage is used.
 """
 
 from __future__ import annotations
@@ -128,9 +130,10 @@ def raw_training_set(app: DataFrame, impacts: DataFrame) -> DataFrame:
 # M4 / M5 -------------------------------------------------------------------
 @dataclass
 class FittedModels:
+    """One fitted pipeline over all entities and resources (resource is a feature)."""
     kind: str
     features: list[str]
-    models: dict[str, PipelineModel] = field(default_factory=dict)
+    model: PipelineModel | None = None
     metrics: DataFrame | None = None
 
 
@@ -140,10 +143,13 @@ def _estimator(kind: str, label: str = "label"):
     return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", **BOOSTING)
 
 
-def _pipeline(kind: str, features: list[str], group_cols: Sequence[str]) -> Pipeline:
+GROUPS = {"random_forest": ["entity", "application", "resource_type"], "gradient_boosting": ["entity", "resource_type"]}
+
+
+def _pipeline(kind: str, features: list[str]) -> Pipeline:
     stages = []
     idx = []
-    for g in group_cols:
+    for g in GROUPS[kind]:
         stages.append(StringIndexer(inputCol=g, outputCol=f"{g}_idx", handleInvalid="keep"))
         idx.append(f"{g}_idx")
     stages.append(VectorAssembler(inputCols=idx + list(features), outputCol="features", handleInvalid="keep"))
@@ -151,70 +157,94 @@ def _pipeline(kind: str, features: list[str], group_cols: Sequence[str]) -> Pipe
     return Pipeline(stages=stages)
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage before iterative fitting: a reliable checkpoint in the shared folder."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _importance(model: PipelineModel, kind: str, features: list[str]) -> str:
+    imp = model.stages[-1].featureImportances.toArray().tolist()
+    return json.dumps(dict(zip([f"{g}_idx" for g in GROUPS[kind]] + list(features), imp)), sort_keys=True)
+
+
 def fit_impact_models(train: DataFrame, model: str = "random_forest", cv_splits: int = 5,
                       names: Sequence[str] | None = None) -> FittedModels:
-    """M4: per resource, features -> impact with expanding time folds, then a refit on all rows.
+    """M4: features -> impact, expanding time folds per (entity, application), then a refit on all rows.
 
-    ``train`` is the tall M1 set; it is pivoted to one row per (entity,
-    application, time, resource).  CV metrics are the mean over folds.
+    ``train`` is the tall M1 set, pivoted to one row per (entity,
+    application, time, resource).  Metrics per resource are means over the
+    folds (M12 on each fold's test rows).
     """
     names = list(names) if names is not None else distinct_names(train)
     w = wide(train, [*K, "application", "time", "resource_type", "label"], names)
-    w = w.withColumn("entity", F.concat_ws("/", *K))
+    d = _materialize(w.withColumn("entity", F.concat_ws("/", *K)))
+    pipe = _pipeline(model, names)
     fm = FittedModels(model, names)
-    rows = []
     spark = train.sparkSession
-    for r in RESOURCES:
-        d = w.where(F.col("resource_type") == r)
-        pipe = _pipeline(model, names, ["entity", "application"])
-        fold_metrics = []
-        if cv_splits > 1:
-            folds = ts_folds(d.select(*K, "application", "time"), [*K, "application"], "time", cv_splits)
-            for f in range(cv_splits):
-                fr = folds.where(F.col("fold") == f)
-                tr = d.join(fr.where(F.col("role") == "train").select(*K, "application", "time"),
-                            [*K, "application", "time"], "left_semi")
-                te = d.join(fr.where(F.col("role") == "test").select(*K, "application", "time"),
-                            [*K, "application", "time"], "left_semi")
-                if tr.isEmpty() or te.isEmpty():
-                    continue
-                scored = pipe.fit(tr).transform(te)
-                m = regression_metrics(scored.withColumn("_k", F.lit(1)), ["_k"], "label", "prediction").first()
-                fold_metrics.append((m["mae"], m["rmse"], m["r2"]))
-        if d.isEmpty():
-            continue
-        fm.models[r] = pipe.fit(d)
-        imp = fm.models[r].stages[-1].featureImportances.toArray().tolist()
-        imp_names = ["entity_idx", "application_idx", *names]
-        mean = (lambda i: None if not fold_metrics or any(x[i] is None for x in fold_metrics)
-                else float(sum(x[i] for x in fold_metrics) / len(fold_metrics)))
-        rows.append((r, mean(0), mean(1), mean(2), json.dumps(dict(zip(imp_names, imp)), sort_keys=True)))
-    fm.metrics = spark.createDataFrame(rows, "resource_type string, mae double, rmse double, r2 double, "
-                                             "feature_importance string")
+    per_fold = []
+    if cv_splits > 1:
+        keys = [*K, "application", "time"]
+        folds = _materialize(ts_folds(d.select(*keys).distinct(), [*K, "application"], "time", cv_splits))
+        for f in range(cv_splits):
+            fr = folds.where(F.col("fold") == f)
+            tr = d.join(fr.where(F.col("role") == "train").select(*keys), keys, "left_semi")
+            te = d.join(fr.where(F.col("role") == "test").select(*keys), keys, "left_semi")
+            if tr.isEmpty() or te.isEmpty():
+                continue
+            scored = pipe.fit(tr).transform(te)
+            per_fold.append(regression_metrics(scored, ["resource_type"], "label", "prediction")
+                            .withColumn("fold", F.lit(f)))
+    if d.isEmpty():
+        fm.metrics = spark.createDataFrame([], "resource_type string, mae double, rmse double, r2 double, "
+                                               "feature_importance string")
+        return fm
+    fm.model = pipe.fit(d)
+    imp = _importance(fm.model, model, names)
+    res = d.select("resource_type").distinct()
+    if per_fold:
+        u = per_fold[0]
+        for x in per_fold[1:]:
+            u = u.unionByName(x)
+        m = u.groupBy("resource_type").agg(F.avg("mae").alias("mae"), F.avg("rmse").alias("rmse"),
+                                           F.avg("r2").alias("r2"))
+        res = res.join(m, "resource_type", "left")
+    else:
+        res = res.select("resource_type", *[F.lit(None).cast("double").alias(c) for c in ("mae", "rmse", "r2")])
+    fm.metrics = res.withColumn("feature_importance", F.lit(imp))
     return fm
 
 
+def stack_resources(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Wide (cpu, mem, disk) labels -> one row per resource with ``label``."""
+    parts = [df.select(*keep, F.lit(r).alias("resource_type"), F.col(r).alias("label")) for r in RESOURCES]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u
+
+
 def fit_system_models(train: DataFrame, train_fraction: float = 0.8) -> FittedModels:
-    """M5: per resource, impact statistics + calendar -> utilisation, chronological hold-out."""
+    """M5: impact statistics + calendar -> utilisation, chronological hold-out per entity.
+
+    One boosted model over (entity, resource) instead of one per resource
+    and device: the boosting iterations run once for the whole fleet.
+    """
     features = [*STAT_COLUMNS, *CALENDAR]
     d = chrono_split(train, K, "time", train_fraction).withColumn("entity", F.concat_ws("/", *K))
+    st = _materialize(stack_resources(d, [*K, "entity", "time", "is_train", *features]))
     fm = FittedModels("gradient_boosting", features)
-    rows = []
-    for r in RESOURCES:
-        dr = d.withColumnRenamed(r, "label")
-        pipe = _pipeline("gradient_boosting", features, ["entity"])
-        tr, te = dr.where(F.col("is_train")), dr.where(~F.col("is_train"))
-        if tr.isEmpty():
-            continue
-        m = pipe.fit(tr)
-        fm.models[r] = m
-        met = (regression_metrics(m.transform(te).withColumn("_k", F.lit(1)), ["_k"], "label", "prediction").first()
-               if not te.isEmpty() else None)
-        imp = m.stages[-1].featureImportances.toArray().tolist()
-        rows.append((r, met["mae"] if met else None, met["rmse"] if met else None, met["r2"] if met else None,
-                     json.dumps(dict(zip(["entity_idx", *features], imp)), sort_keys=True)))
-    fm.metrics = d.sparkSession.createDataFrame(
-        rows, "resource_type string, mae double, rmse double, r2 double, feature_importance string")
+    tr, te = st.where(F.col("is_train")), st.where(~F.col("is_train"))
+    if tr.isEmpty():
+        fm.metrics = st.sparkSession.createDataFrame(
+            [], "resource_type string, mae double, rmse double, r2 double, feature_importance string")
+        return fm
+    fm.model = _pipeline("gradient_boosting", features).fit(tr)
+    imp = _importance(fm.model, "gradient_boosting", features)
+    met = regression_metrics(fm.model.transform(te), ["resource_type"], "label", "prediction")
+    fm.metrics = (st.select("resource_type").distinct().join(met.drop("n"), "resource_type", "left")
+                  .withColumn("feature_importance", F.lit(imp)))
     return fm
 
 
@@ -228,78 +258,62 @@ def model_performance_rows(fm: FittedModels, trained_at, application: str | None
 
 
 # M7 ------------------------------------------------------------------------
+def _per_resource(x: DataFrame) -> DataFrame:
+    return x.withColumn("resource_type", F.explode(F.array(*[F.lit(r) for r in RESOURCES])))
+
+
 def predict_impacts(fm: FittedModels, profile: DataFrame, now) -> DataFrame:
     """Impact per (entity, application, resource) from the latest profile; 0.5 without a model.
 
     ``profile`` is wide: (tenant, device_id, application, <metric columns>).
     """
     keep = [*K, "application"]
-    x = align_features(profile, fm.features, now, keep).withColumn("entity", F.concat_ws("/", *K))
-    outs = []
-    for r in RESOURCES:
-        if r in fm.models:
-            p = fm.models[r].transform(x).select(*keep, F.lit(r).alias("resource_type"),
-                                                 F.col("prediction").alias("impact_score"))
-        else:
-            p = x.select(*keep, F.lit(r).alias("resource_type"), F.lit(NO_MODEL_IMPACT).alias("impact_score"))
-        outs.append(p)
-    u = outs[0]
-    for o in outs[1:]:
-        u = u.unionByName(o)
-    return u
+    x = _per_resource(align_features(profile, fm.features, now, keep).withColumn("entity", F.concat_ws("/", *K)))
+    if fm.model is None:
+        return x.select(*keep, "resource_type", F.lit(NO_MODEL_IMPACT).alias("impact_score"))
+    return fm.model.transform(x).select(*keep, "resource_type", F.col("prediction").alias("impact_score"))
 
 
 # M10 -----------------------------------------------------------------------
 def forecast(fm: FittedModels, serving_stats: DataFrame, grid: DataFrame) -> DataFrame:
     """Utilisation forecast on the grid: A7 statistics x calendar of each target time.
 
-    One ``transform`` per resource over the whole grid (no per-point loop);
+    One ``transform`` over the whole grid x resources (no per-point loop);
     50.0 where no model exists.
     """
     from ..functions.time import day_of_week, hour_of_day, is_weekend
     x = grid.join(serving_stats, K).select(
         *K, "step_index", "target_time", *STAT_COLUMNS, hour_of_day("target_time").alias("hour"),
         day_of_week("target_time").alias("day_of_week"), is_weekend("target_time").alias("is_weekend"))
-    x = x.withColumn("entity", F.concat_ws("/", *K))
-    outs = []
-    for r in RESOURCES:
-        if r in fm.models:
-            p = fm.models[r].transform(x).select(*K, "step_index", "target_time", F.lit(r).alias("resource_type"),
-                                                 F.col("prediction").alias("predicted_value"))
-        else:
-            p = x.select(*K, "step_index", "target_time", F.lit(r).alias("resource_type"),
-                         F.lit(NO_MODEL_FORECAST).alias("predicted_value"))
-        outs.append(p)
-    u = outs[0]
-    for o in outs[1:]:
-        u = u.unionByName(o)
-    return u
+    x = _per_resource(x.withColumn("entity", F.concat_ws("/", *K)))
+    if fm.model is None:
+        return x.select(*K, "step_index", "target_time", "resource_type",
+                        F.lit(NO_MODEL_FORECAST).alias("predicted_value"))
+    return fm.model.transform(x).select(*K, "step_index", "target_time", "resource_type",
+                                        F.col("prediction").alias("predicted_value"))
 
 
 # M11 -----------------------------------------------------------------------
-def model_path(root: str, kind: str, resource: str, device: str | None = None) -> str:
-    return os.path.join(root, kind, resource, device or "_generic")
+def model_path(root: str, kind: str, device: str | None = None) -> str:
+    return os.path.join(root, kind, device or "_generic")
 
 
-def save_models(fm: FittedModels, root: str, device: str | None = None) -> list[str]:
-    """Write each resource model (overwrite) under root/kind/resource/device-or-generic."""
-    paths = []
-    for r, m in fm.models.items():
-        p = model_path(root, fm.kind, r, device)
-        m.write().overwrite().save(p)
-        paths.append(p)
-    return paths
+def save_models(fm: FittedModels, root: str, device: str | None = None) -> str | None:
+    """Write the fitted pipeline (overwrite) under root/kind/device-or-generic."""
+    if fm.model is None:
+        return None
+    p = model_path(root, fm.kind, device)
+    fm.model.write().overwrite().save(p)
+    return p
 
 
 def load_models(root: str, kind: str, features: list[str], device: str | None = None) -> FittedModels:
-    """Device-specific model first, then the generic one; absent resources stay absent."""
+    """Device-specific model first, then the generic one; none found -> defaults at scoring."""
     fm = FittedModels(kind, features)
-    for r in RESOURCES:
-        for dev in ([device] if device else []) + [None]:
-            p = model_path(root, kind, r, dev)
-            try:
-                fm.models[r] = PipelineModel.load(p)
-                break
-            except Exception:  # noqa: BLE001 - missing path -> try the next candidate
-                continue
+    for dev in ([device] if device else []) + [None]:
+        try:
+            fm.model = PipelineModel.load(model_path(root, kind, dev))
+            break
+        except Exception:  # noqa: BLE001 - missing path -> try the next candidate
+            continue
     return fm

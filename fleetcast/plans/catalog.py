@@ -1060,3 +1060,68 @@ def q_t5(spark, sf):
     reg = fx_points(spark, sf).groupBy("tenant").agg(F.min("ts").alias("registered_at")) \
         .withColumn("is_active", F.lit(True))
     return active_tenants(reg, 5, "t-1")
+
+
+# ============================================================== more sources / series / baseline
+@register("a1_window_mean", sql_with(["fx_points"], """
+SELECT tenant, device_id, location, gateway, measurement,
+       time_bucket(INTERVAL 1 minute, ts) + INTERVAL 1 minute AS time, avg(value) AS value
+FROM fx_points WHERE origin = 'server_data' AND field = 'value' GROUP BY tenant, device_id, location, gateway, measurement, time_bucket(INTERVAL 1 minute, ts)"""),
+          ["value"])
+def q_a1(spark, sf):
+    """A1: one-minute tumbling mean per raw series, labelled by window end."""
+    p = PT.scan_points(fx_points(spark, sf)).where(F.col("field") == "value")
+    return AG.window_mean(p, "1 minute", [*K, "location", "gateway", "measurement"], ts="ts", value="value")
+
+
+@register("w3_minute_grid", sql_with(["app_g"], """
+SELECT tenant, device_id, application, metric_type, time, value FROM app_g"""), ["value"])
+def q_w3(spark, sf):
+    """Every application metric on the entity's whole minute grid (value or null)."""
+    return SE.minute_grid(_app(spark, sf), ["application", "metric_type"])
+
+
+@register("m14_linear_baseline", sql_with(["pairs", "common"], """
+WITH p AS (SELECT * FROM pairs WHERE (tenant, device_id) IN (SELECT (tenant, device_id) FROM common)),
+s AS (SELECT tenant, device_id, application, metric_type, resource_type, count(*) AS n,
+             covar_pop(x, y) AS c, var_pop(x) AS vx, var_pop(y) AS vy, avg(x) AS mx, avg(y) AS my
+      FROM p GROUP BY tenant, device_id, application, metric_type, resource_type)
+SELECT tenant, device_id, application, metric_type, resource_type, n,
+       CASE WHEN vx = 0 THEN NULL ELSE c / vx END AS slope,
+       my - (CASE WHEN vx = 0 THEN NULL ELSE c / vx END) * mx AS intercept,
+       CASE WHEN vy = 0 OR vx = 0 THEN NULL ELSE c * c / (vx * vy) END AS r2
+FROM s"""), ["slope", "intercept", "r2"])
+def q_m14(spark, sf):
+    """Closed-form least squares resource ~ app metric on the gap-filled grids."""
+    return IP.baseline_table(fx_points(spark, sf))
+
+
+@register("s8_snapshot_freshness", sql_with(["impacts"], f"""
+SELECT tenant, device_id, count(*) AS n_rows, count(DISTINCT application) AS n_application,
+       count(DISTINCT resource_type) AS n_resource_type, min(impact_score) AS min_value,
+       max(impact_score) AS max_value, avg(impact_score) AS mean_value, {NOW_SQL} AS created_at, true AS is_fresh
+FROM impacts GROUP BY tenant, device_id"""), ["min_value", "max_value", "mean_value"])
+def q_s8s(spark, sf):
+    """Write the impacts snapshot, profile it, and judge freshness one hour later (TTL 6 h)."""
+    import os
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    path = os.path.join(ensure_checkpoint_dir(spark), "snapshots", f"impacts-{uuid.uuid4().hex[:8]}")
+    snap = TB.materialize(IP.impact_table(fx_points(spark, sf)), path, partition_by=["tenant"])
+    prof = TB.profile(snap, K, ["application", "resource_type"], "impact_score").withColumn(
+        "created_at", T.ts_lit(NOW))
+    return TB.is_fresh(prof, "2024-01-01 05:00:00", 6.0)
+
+
+@register("s9_table_roundtrip", sql_with(["fx_predictions"], "SELECT * FROM fx_predictions"),
+          ["predicted_value", "actual_value", "error", "confidence_score"])
+def q_s9(spark, sf):
+    """Append the forecasts to a parquet table (partitioned by tenant) and read it back."""
+    import os
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    root = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex[:8])
+    TB.append_table(_pred(spark, sf), root, "predictions", partition_by=["tenant"])
+    return TB.read_table(spark, root, "predictions").select(*TB.PREDICTION_COLUMNS)

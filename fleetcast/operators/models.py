@@ -143,14 +143,27 @@ def _estimator(kind: str, label: str = "label"):
     return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", **BOOSTING)
 
 
+# Group columns: a bounded category set is indexed (resource: 3 levels); open-ended
+# identifiers (entity, application) become a hashed numeric code, so no label list
+# is collected to the driver and no tree needs one bin per category.
 GROUPS = {"random_forest": ["entity", "application", "resource_type"], "gradient_boosting": ["entity", "resource_type"]}
+INDEXED = {"resource_type"}
+HASH_BUCKETS = 1 << 20
+
+
+def with_group_codes(df: DataFrame, kind: str) -> DataFrame:
+    for g in GROUPS[kind]:
+        if g not in INDEXED:
+            df = df.withColumn(f"{g}_idx", F.pmod(F.xxhash64(g), F.lit(HASH_BUCKETS)).cast("double"))
+    return df
 
 
 def _pipeline(kind: str, features: list[str]) -> Pipeline:
     stages = []
     idx = []
     for g in GROUPS[kind]:
-        stages.append(StringIndexer(inputCol=g, outputCol=f"{g}_idx", handleInvalid="keep"))
+        if g in INDEXED:
+            stages.append(StringIndexer(inputCol=g, outputCol=f"{g}_idx", handleInvalid="keep"))
         idx.append(f"{g}_idx")
     stages.append(VectorAssembler(inputCols=idx + list(features), outputCol="features", handleInvalid="keep"))
     stages.append(_estimator(kind))
@@ -179,7 +192,7 @@ def fit_impact_models(train: DataFrame, model: str = "random_forest", cv_splits:
     """
     names = list(names) if names is not None else distinct_names(train)
     w = wide(train, [*K, "application", "time", "resource_type", "label"], names)
-    d = _materialize(w.withColumn("entity", F.concat_ws("/", *K)))
+    d = _materialize(with_group_codes(w.withColumn("entity", F.concat_ws("/", *K)), model))
     pipe = _pipeline(model, names)
     fm = FittedModels(model, names)
     spark = train.sparkSession
@@ -233,7 +246,8 @@ def fit_system_models(train: DataFrame, train_fraction: float = 0.8) -> FittedMo
     """
     features = [*STAT_COLUMNS, *CALENDAR]
     d = chrono_split(train, K, "time", train_fraction).withColumn("entity", F.concat_ws("/", *K))
-    st = _materialize(stack_resources(d, [*K, "entity", "time", "is_train", *features]))
+    st = _materialize(with_group_codes(stack_resources(d, [*K, "entity", "time", "is_train", *features]),
+                                       "gradient_boosting"))
     fm = FittedModels("gradient_boosting", features)
     tr, te = st.where(F.col("is_train")), st.where(~F.col("is_train"))
     if tr.isEmpty():
@@ -269,6 +283,7 @@ def predict_impacts(fm: FittedModels, profile: DataFrame, now) -> DataFrame:
     """
     keep = [*K, "application"]
     x = _per_resource(align_features(profile, fm.features, now, keep).withColumn("entity", F.concat_ws("/", *K)))
+    x = with_group_codes(x, fm.kind)
     if fm.model is None:
         return x.select(*keep, "resource_type", F.lit(NO_MODEL_IMPACT).alias("impact_score"))
     return fm.model.transform(x).select(*keep, "resource_type", F.col("prediction").alias("impact_score"))
@@ -285,7 +300,7 @@ def forecast(fm: FittedModels, serving_stats: DataFrame, grid: DataFrame) -> Dat
     x = grid.join(serving_stats, K).select(
         *K, "step_index", "target_time", *STAT_COLUMNS, hour_of_day("target_time").alias("hour"),
         day_of_week("target_time").alias("day_of_week"), is_weekend("target_time").alias("is_weekend"))
-    x = _per_resource(x.withColumn("entity", F.concat_ws("/", *K)))
+    x = with_group_codes(_per_resource(x.withColumn("entity", F.concat_ws("/", *K))), fm.kind)
     if fm.model is None:
         return x.select(*K, "step_index", "target_time", "resource_type",
                         F.lit(NO_MODEL_FORECAST).alias("predicted_value"))

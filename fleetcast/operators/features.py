@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import day_of_week, floor_minutes, hour_of_day, is_weekend
-from .aggregate import STAT_COLUMNS, impact_stats, resample_last
+from .aggregate import STAT_COLUMNS, bin_start, impact_stats
 from .clean import canonical_resources, complete_rows
 from .series import DEFAULT_STATS, DEFAULT_WINDOWS, rolling_stats
 
@@ -29,11 +29,15 @@ def rolling_features(app: DataFrame, windows: Sequence[int] = DEFAULT_WINDOWS,
     full = complete_rows(app, K + ["application"], "metric_type")
     wide = rolling_stats(full, ["application", "metric_type"], windows, stats)
     names = [f"{s}_{w}" for w in windows for s in stats]
-    tall = wide.unpivot([*K, "application", "metric_type", "time"], names, "stat_w", "value")
-    last = resample_last(tall, every, [*K, "application", "metric_type", "stat_w"])
+    # A11 on the wide rows (last non-null per column and bin): the grouping keys
+    # extend the (entity, application) partitioning, so no shuffle; unpivot after
+    bins = wide.groupBy(*K, "application", "metric_type", bin_start("time", every).alias("time")).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("time"))).alias(c) for c in names])
+    tall = bins.unpivot([*K, "application", "metric_type", "time"], names, "stat_w", "value") \
+               .where(F.col("value").isNotNull())
     stat = F.split("stat_w", "_").getItem(0)
     w = F.split("stat_w", "_").getItem(1)
-    return last.select(*K, "time", "application",
+    return tall.select(*K, "time", "application",
                        F.concat_ws("_", "metric_type", stat, F.concat(w, F.lit("min"))).alias("feature_name"),
                        "value", w.cast("int").alias("window_size"))
 

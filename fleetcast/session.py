@@ -28,9 +28,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's checkpoint folder; only set one where none is set (tests)."""
+    """Use the cluster's checkpoint folder; only set one where none is set.
+
+    Without ``spark.checkpoint.dir`` a local-mode session (tests, the bench)
+    gets a scratch folder; a cluster session must name a shared folder,
+    because a machine-local one would not survive the loss of an executor.
+    """
     d = checkpoint_dir(spark)
     if d is None:
+        master = spark.sparkContext.master or ""
+        if fallback is None and not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         d = fallback or tempfile.mkdtemp(prefix="fleetcast-ckpt-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(d)
     elif not spark.sparkContext.getCheckpointDir():

@@ -149,14 +149,18 @@ def stream_silence(stream: DataFrame, timeout_minutes: int = 60, delay: str = "1
 
 
 # runner --------------------------------------------------------------------
-def run_available(spark: SparkSession, df: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def run_available(spark: SparkSession, df: DataFrame, name: str, mode: str = "append",
+                  base: str | None = None) -> DataFrame:
     """Run a streaming DataFrame over everything available, write parquet, return it as a table.
 
-    Output and checkpoint go to the session's shared checkpoint folder, so
-    a restarted job resumes from its offsets instead of re-reading.
+    Output and checkpoint go to the session's shared checkpoint folder (or
+    ``base``).  Re-running with the same ``base`` resumes from the committed
+    offsets and state: nothing is read or written twice (the file sink's
+    log makes the output exactly-once).
     """
-    root = ensure_checkpoint_dir(spark)
-    base = os.path.join(root, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
+    if base is None:
+        root = ensure_checkpoint_dir(spark)
+        base = os.path.join(root, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
     q = (df.writeStream.format("parquet").outputMode(mode).option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/chk").trigger(availableNow=True).start())
     q.awaitTermination()

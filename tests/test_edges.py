@@ -100,3 +100,50 @@ def test_empty_input_keeps_schema(spark):
     out = SE.interpolate_linear(df, ["s"])
     assert out.count() == 0
     assert out.columns == ["tenant", "device_id", "s", "time", "value"]
+
+
+def test_align_step_not_dividing_hour(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10, 56, 59),), (dt.datetime(2024, 1, 1, 11, 3, 0),)],
+                               "ts timestamp")
+    got = [r[0] for r in df.select(T.align_time("ts", 7)).collect()]
+    assert got == [dt.datetime(2024, 1, 1, 10, 56), dt.datetime(2024, 1, 1, 11, 0)]
+
+
+def test_rolling_window_excludes_left_edge(spark):
+    rows = [("t", "d", "a", minutes(0), 1.0), ("t", "d", "a", minutes(5), 3.0)]
+    df = spark.createDataFrame(rows, "tenant string, device_id string, s string, time timestamp, value double")
+    r = SE.rolling_stats(df, ["s"], windows=[5], stats=["mean", "max", "min"]).orderBy("time").collect()
+    assert [(x["mean_5"], x["max_5"], x["min_5"]) for x in r] == [(1.0, 1.0, 1.0), (3.0, 3.0, 3.0)]
+
+
+def test_one_row_series(spark):
+    rows = [("t", "d", "a", minutes(3), 7.0)]
+    df = spark.createDataFrame(rows, "tenant string, device_id string, s string, time timestamp, value double")
+    assert [r["value"] for r in SE.interpolate_linear(df, ["s"]).collect()] == [7.0]
+    r = SE.rolling_stats(df, ["s"], windows=[5], stats=["mean", "std"]).collect()[0]
+    assert r["mean_5"] == 7.0 and r["std_5"] is None
+
+
+def test_impact_score_skips_undefined_correlations(spark):
+    # one constant metric (r undefined) and one moving metric: the score is |r| of the moving one only
+    app = [("t", "d", minutes(i), "app", m, v) for i in range(6)
+           for m, v in (("flat", 5.0), ("up", float(i)))]
+    res = [("t", "d", minutes(i), "cpu", float(2 * i)) for i in range(6)]
+    a = spark.createDataFrame(app, "tenant string, device_id string, time timestamp, application string, "
+                                   "metric_type string, value double")
+    r = spark.createDataFrame(res, "tenant string, device_id string, time timestamp, resource_type string, "
+                                   "value double")
+    out = AG.impact_scores(a, r).collect()
+    assert len(out) == 1 and out[0]["n_metrics"] == 1 and abs(out[0]["impact_score"] - 1.0) < 1e-12
+
+
+def test_new_entities_and_cooldown(spark):
+    from fleetcast.sources.tables import new_entities
+    disc = spark.createDataFrame([("t-0", "dev-0"), ("t-0", "dev-2"), ("t-9", "dev-9")], "tenant string, device_id string")
+    reg = spark.createDataFrame([("t-0", "dev-0")], "tenant string, device_id string")
+    got = sorted((r["tenant"], r["device_id"], r["new_tenant"]) for r in new_entities(disc, reg).collect())
+    assert got == [("t-0", "dev-2", False), ("t-9", "dev-9", True)]
+    al = spark.createDataFrame([("t", "d", "cpu", minutes(m)) for m in (0, 30, 100, 159)],
+                               "tenant string, device_id string, resource_type string, crossing_time timestamp")
+    sup = [r["suppressed"] for r in SE.alert_cooldown(al, 60).orderBy("crossing_time").collect()]
+    assert sup == [False, True, False, True]

@@ -18,11 +18,24 @@ CONFIG_KEY = ["tenant", "config_type", "config_key"]
 
 
 # W9 ------------------------------------------------------------------------
-def effective_config(cfg: DataFrame) -> DataFrame:
-    """Newest active row (highest id) per (tenant, type, key)."""
+def effective_config(cfg: DataFrame, defaults: list[tuple[str, str, str]] | None = None) -> DataFrame:
+    """Newest active row (highest id) per (tenant, type, key); ``defaults`` fill absent keys.
+
+    ``defaults`` are (config_type, config_key, value) constants: each tenant
+    seen in the table gets them through a generator (no join with a
+    constant table), and an anti join keeps the configured rows first.
+    Default rows carry a null id.
+    """
     act = cfg.where(F.col("is_active"))
-    return act.groupBy(*CONFIG_KEY).agg(F.max_by("config_value", "id").alias("config_value"),
-                                        F.max("id").alias("id"))
+    eff = act.groupBy(*CONFIG_KEY).agg(F.max_by("config_value", "id").alias("config_value"),
+                                       F.max("id").alias("id"))
+    if not defaults:
+        return eff
+    arr = F.array(*[F.struct(F.lit(t).alias("config_type"), F.lit(k).alias("config_key"),
+                             F.lit(v).alias("config_value")) for t, k, v in defaults])
+    dflt = cfg.select("tenant").distinct().select("tenant", F.inline(arr)) \
+              .join(eff.select(*CONFIG_KEY), CONFIG_KEY, "left_anti")
+    return eff.unionByName(dflt.withColumn("id", F.lit(None).cast("long")))
 
 
 # X2 ------------------------------------------------------------------------

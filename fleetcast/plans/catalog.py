@@ -1125,3 +1125,23 @@ def q_s9(spark, sf):
     root = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex[:8])
     TB.append_table(_pred(spark, sf), root, "predictions", partition_by=["tenant"])
     return TB.read_table(spark, root, "predictions").select(*TB.PREDICTION_COLUMNS)
+
+
+# Setup defaults for keys a tenant may not have configured.
+CONFIG_DEFAULTS = [("model", "retrain_threshold_hours", "24"), ("model", "min_training_records", "100"),
+                   ("alert", "cpu_threshold", "80.0"), ("alert", "memory_threshold", "80.0"),
+                   ("alert", "disk_threshold", "85.0"), ("alert", "notification_cooldown_minutes", "60")]
+_dflt_sql = ", ".join(f"('{t}', '{k}', '{v}')" for t, k, v in CONFIG_DEFAULTS)
+
+
+@register("w9_effective_config_defaults", sql_with(["eff_config", "fx_configurations"], f"""
+WITH d AS (SELECT t.tenant, v.config_type, v.config_key, v.config_value
+           FROM (SELECT DISTINCT tenant FROM fx_configurations) t, (VALUES {_dflt_sql}) v(config_type, config_key, config_value))
+SELECT tenant, config_type, config_key, config_value, id FROM eff_config
+UNION ALL
+SELECT d.tenant, d.config_type, d.config_key, d.config_value, CAST(NULL AS BIGINT) AS id FROM d
+WHERE NOT EXISTS (SELECT 1 FROM eff_config e WHERE e.tenant = d.tenant AND e.config_type = d.config_type
+                  AND e.config_key = d.config_key)"""))
+def q_w9d(spark, sf):
+    """Effective configuration with setup defaults for absent keys."""
+    return CF.effective_config(TB.fx_configurations(spark, sf), CONFIG_DEFAULTS)

@@ -98,27 +98,30 @@ def pivot_mean(df: DataFrame, index: Sequence[str], col: str, value: str, values
 
 
 # A5 ------------------------------------------------------------------------
-def metric_correlations(app_grid: DataFrame, res_grid: DataFrame) -> DataFrame:
+def metric_correlations(app_grid: DataFrame, res_grid: DataFrame, bucket: str | None = None) -> DataFrame:
     """Pearson r per (K, application, metric_type, resource_type) on shared minutes.
 
     Inputs are tall and non-null: app (K, time, application, metric_type,
     value) and resources (K, time, resource_type, value).  The join key
     (K, time) spreads a hot entity over its minutes; aggregation is partial
-    before the shuffle on the 5-column group key.
+    before the shuffle on the 5-column group key.  With ``bucket`` (e.g.
+    '1 hour') there is one r per period (``period`` column, bin start).
     """
     a = app_grid.where(F.col("value").isNotNull()).select(*K, "time", "application", "metric_type",
                                                            F.col("value").alias("x"))
     r = res_grid.where(F.col("value").isNotNull()).select(*K, "time", "resource_type", F.col("value").alias("y"))
     pairs = a.join(r, K + ["time"])
-    return pairs.groupBy(*K, "application", "metric_type", "resource_type").agg(
+    period = [bin_start("time", bucket).alias("period")] if bucket else []
+    return pairs.groupBy(*K, *period, "application", "metric_type", "resource_type").agg(
         pearson("x", "y").alias("correlation"), F.count(F.lit(1)).alias("n_pairs"))
 
 
-def impact_scores(app_grid: DataFrame, res_grid: DataFrame) -> DataFrame:
-    """Mean |r| over the application's metrics; no row if no r is defined."""
-    corr = metric_correlations(app_grid, res_grid)
+def impact_scores(app_grid: DataFrame, res_grid: DataFrame, bucket: str | None = None) -> DataFrame:
+    """Mean |r| over the application's metrics; no row if no r is defined (per period with ``bucket``)."""
+    corr = metric_correlations(app_grid, res_grid, bucket)
+    period = ["period"] if bucket else []
     return (corr.where(F.col("correlation").isNotNull())
-            .groupBy(*K, "application", "resource_type")
+            .groupBy(*K, *period, "application", "resource_type")
             .agg(F.avg(F.abs("correlation")).alias("impact_score"),
                  F.count(F.lit(1)).alias("n_metrics"))
             .withColumn("calculation_method", F.lit("correlation")))

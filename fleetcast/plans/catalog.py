@@ -1145,3 +1145,18 @@ WHERE NOT EXISTS (SELECT 1 FROM eff_config e WHERE e.tenant = d.tenant AND e.con
 def q_w9d(spark, sf):
     """Effective configuration with setup defaults for absent keys."""
     return CF.effective_config(TB.fx_configurations(spark, sf), CONFIG_DEFAULTS)
+
+
+@register("a5_impact_scores_hourly", sql_with(["pairs", "common"], """
+WITH c AS (
+  SELECT tenant, device_id, time_bucket(INTERVAL 1 hour, time) AS period, application, metric_type, resource_type,
+         CASE WHEN isnan(corr(x, y)) THEN NULL ELSE corr(x, y) END AS correlation
+  FROM pairs WHERE (tenant, device_id) IN (SELECT (tenant, device_id) FROM common)
+  GROUP BY tenant, device_id, time_bucket(INTERVAL 1 hour, time), application, metric_type, resource_type)
+SELECT tenant, device_id, period, application, resource_type, avg(abs(correlation)) AS impact_score,
+       count(*) AS n_metrics, 'correlation' AS calculation_method
+FROM c WHERE correlation IS NOT NULL GROUP BY tenant, device_id, period, application, resource_type"""),
+          ["impact_score"])
+def q_a5h(spark, sf):
+    """A5 with a period: one impact score per hour (time-varying impact for the system model)."""
+    return IP.periodic_impact_scores(fx_points(spark, sf), "1 hour")

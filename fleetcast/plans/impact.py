@@ -55,6 +55,12 @@ def impact_score_table(points: DataFrame, **kw) -> DataFrame:
     return _gate(f, impact_scores(f.app_filled, f.res_filled))
 
 
+def periodic_impact_scores(points: DataFrame, bucket: str = "1 hour", **kw) -> DataFrame:
+    """Impact scores per period (the constant score re-computed per ``bucket``)."""
+    f = impact_frames(points, **kw)
+    return _gate(f, impact_scores(f.app_filled, f.res_filled, bucket))
+
+
 def impact_table(points: DataFrame, **kw) -> DataFrame:
     """The public impacts table: each score repeated at every common minute."""
     f = impact_frames(points, **kw)

@@ -147,3 +147,16 @@ def test_new_entities_and_cooldown(spark):
                                "tenant string, device_id string, resource_type string, crossing_time timestamp")
     sup = [r["suppressed"] for r in SE.alert_cooldown(al, 60).orderBy("crossing_time").collect()]
     assert sup == [False, True, False, True]
+
+
+def test_nearest_asof_against_brute_force(spark):
+    from fleetcast.operators.joins import nearest_asof
+    left = [("t", "d", minutes(m)) for m in (0, 3, 7, 10, 20)]
+    right = [("t", "d", T0 + dt.timedelta(seconds=s), float(s)) for s in (50, 170, 190, 540, 545, 1300)]
+    L = spark.createDataFrame(left, "tenant string, device_id string, time timestamp")
+    R = spark.createDataFrame(right, "tenant string, device_id string, time timestamp, value double")
+    got = {r["time"]: r["matched_value"] for r in nearest_asof(L, R, ["tenant", "device_id"], 2).collect()}
+    for _, _, t in left:
+        cands = [(abs((rt - t).total_seconds()), -rt.timestamp(), v) for _, _, rt, v in right
+                 if abs((rt - t).total_seconds()) <= 120]
+        assert got[t] == (min(cands)[2] if cands else None)

@@ -102,13 +102,16 @@ def resource_metrics(points: DataFrame, every: str = "1 minute", label: str = "e
         pick = c if pick is None else (pick | c)
     raw = points.where((F.col("location") == RESOURCE_LOCATION) & (F.col("field") == "value") & pick)
     per_series = window_mean(raw, every, K + ["gateway", "measurement"], ts="ts", value="value", label=label)
+    # A2 on the series key itself (gateway = resource, raw measurement), so it reuses
+    # the A1 partitioning; the public measurement and the cpu flip follow (the flip is
+    # linear, and each public key has exactly one series)
+    merged = mean_by_key(per_series, K + ["time", "gateway", "measurement"])
     public_m = None
     for gw, _, pub in RESOURCE_SOURCES:
         public_m = F.when(F.col("gateway") == gw, pub) if public_m is None else public_m.when(F.col("gateway") == gw, pub)
     value = F.when(F.col("gateway") == "cpu", F.lit(100.0) - F.col("value")).otherwise(F.col("value"))
-    renamed = per_series.select(*K, "time", F.col("gateway").alias("resource_type"),
-                                public_m.alias("measurement"), value.alias("value"))
-    return mean_by_key(renamed, K + ["time", "resource_type", "measurement"])
+    return merged.select(*K, "time", F.col("gateway").alias("resource_type"), public_m.alias("measurement"),
+                         value.alias("value"))
 
 
 def discover_entities(points: DataFrame, now, days: int, origin: str = ORIGIN) -> DataFrame:

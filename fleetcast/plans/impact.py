@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators.aggregate import impact_scores, linear_baseline, metric_correlations
 from ..operators.clean import canonical_resources

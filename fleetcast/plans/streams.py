@@ -8,7 +8,6 @@ window is emitted once ``max(event time) - delay`` has passed its end.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..sources import tables as TB
 from ..sources.fixtures import fx_points_stream

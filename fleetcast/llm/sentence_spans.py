@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, clear_of, table
 
 MIN_SENTENCES, MIN_WORDS = 2, 24
 _SENTENCE = re.compile(r"[^.!?\n。！？]*(?:[.!?\n。！？]+\s*|\Z)")
@@ -69,28 +69,32 @@ def _spans(min_sentences: int, min_words: int):
     return run
 
 
-def _rebuild(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out = []
-        for text, starts, stops in zip(pdf["text"], pdf["starts"], pdf["stops"]):
-            if text is None:
-                out.append((None, 0, 0))
-                continue
-            parts = sentences(text)
-            gone = np.zeros(len(parts) + 1, np.int64)
-            if starts is not None:
-                np.add.at(gone, np.asarray(starts, np.int64), 1)
-                np.add.at(gone, np.asarray(stops, np.int64), -1)
-            stay = np.cumsum(gone)[:-1] == 0
-            # blank pieces inside a removed stretch go with it: they lie inside the covering run
-            out.append(("".join(p for p, s in zip(parts, stay.tolist()) if s) if starts is not None else text,
-                        len(parts), int((~stay).sum())))
-        yield pdf.drop(columns=["starts", "stops", "text", "th"]).assign(
-            text=[o[0] for o in out], n_sentences=[o[1] for o in out], n_removed=[o[2] for o in out])
-
-
-def dedup(docs: DataFrame, scratch: Scratch, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text, n_sentences, n_removed) for every row of ``docs``."""
+RESULT = "text string, n_sentences int, n_removed int"
+
+
+def _rebuilt(text: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.DataFrame:
+    """Texts without the covered sentences; blank pieces inside a covering run go with it."""
+    out = []
+    for t, a, b in zip(text, starts, stops):
+        if t is None:
+            out.append((None, 0, 0))
+            continue
+        parts = sentences(t)
+        if a is None:
+            out.append((t, len(parts), 0))
+            continue
+        depth = np.zeros(len(parts) + 1, np.int64)
+        np.add.at(depth, np.asarray(a, np.int64), 1)
+        np.add.at(depth, np.asarray(b, np.int64), -1)
+        stay = np.cumsum(depth)[:-1] == 0
+        out.append(("".join(p for p, s in zip(parts, stay.tolist()) if s), len(parts), int((~stay).sum())))
+    return pd.DataFrame(out, columns=["text", "n_sentences", "n_removed"])
+
+
+def dedup(docs: DataFrame, scratch: Scratch, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS,
+          name: str = "spans") -> DataFrame:
+    """``docs`` with one more struct column ``name``: text, n_sentences, n_removed."""
+    th, c_doc, c_th, starts, stops = (clear_of(docs, x) for x in ("th", "c_doc", "c_th", "starts", "stops"))
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
     spans = scratch.save(rows.where("length(text) > 0").mapInPandas(
         _spans(min_sentences, min_words), "doc_id long, th long, start int, stop int, h binary"), "spans")
@@ -99,15 +103,16 @@ def dedup(docs: DataFrame, scratch: Scratch, min_sentences: int = MIN_SENTENCES,
     here = F.struct("doc_id", "th", "start")
     covered = (spans.join(twice, "h").where(~here.eqNullSafe(F.col("first")))
                .groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "stop")).alias("runs")))
-    covered = scratch.save(covered.select("doc_id", "th", F.col("runs.start").alias("starts"), F.col("runs.stop").alias("stops")), "covered")
-    c = covered.withColumnsRenamed({"doc_id": "c_doc", "th": "c_th"})
-    joined = rows.join(c, F.col("doc_id").eqNullSafe(F.col("c_doc")) & (F.col("th") == F.col("c_th")), "left").drop("c_doc", "c_th")
-    return joined.mapInPandas(_rebuild, "doc_id long, text string, n_sentences int, n_removed int")
+    covered = scratch.save(covered.select(F.col("doc_id").alias(c_doc), F.col("th").alias(c_th),
+                                          F.col("runs.start").alias(starts), F.col("runs.stop").alias(stops)), "covered")
+    joined = docs.withColumn(th, F.xxhash64("text")).join(covered, F.col("doc_id").eqNullSafe(F.col(c_doc)) & (F.col(th) == F.col(c_th)), "left")
+    rebuilt = F.pandas_udf(_rebuilt, RESULT)
+    return joined.withColumn(name, rebuilt("text", starts, stops)).drop(th, c_doc, c_th, starts, stops)
 
 
 def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the sentences of passages that an earlier place has."""
-    return dedup(table(spark, sf_dir, "documents"), Scratch(spark, "op4"))
+    return dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op4")).select("doc_id", "spans.*")
 
 
 QUERIES = {"op4_sentence_spans": op4_sentence_spans}

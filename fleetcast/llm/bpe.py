@@ -28,7 +28,7 @@ class PieceCoder:
     neighbours first.  The cache is emptied when full.
     """
 
-    LIMIT = 250_000
+    LIMIT = 100_000
 
     def __init__(self, rank_file: str | None = None):
         path = rank_file or default_path("byte_bpe_50k.tiktoken")
@@ -37,6 +37,7 @@ class PieceCoder:
         self.encoding = tiktoken.Encoding("units", pat_str=pattern(), mergeable_ranks=ranks, special_tokens={})
         self.regex = regex.compile(pattern())
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self.names = [str(i) for i in range(1 + max(ranks.values()))]
         self.cache: dict[str, list[int]] = {}
         self.pieces: dict[str, list[int]] = {}
 
@@ -61,7 +62,7 @@ class PieceCoder:
             got = cache.get(u)
             if got is None:
                 got = self.encoding.encode_ordinary(u)
-                if len(u) <= 64:
+                if len(u) <= 32:
                     if len(cache) >= self.LIMIT:
                         cache.clear()
                     cache[u] = got
@@ -73,7 +74,7 @@ class PieceCoder:
         got = self.pieces.get(piece)
         if got is None:
             got = self.encoding.encode_ordinary(piece)
-            if len(piece) <= 64:
+            if len(piece) <= 32:
                 if len(self.pieces) >= self.LIMIT:
                     self.pieces.clear()
                 self.pieces[piece] = got

@@ -30,6 +30,8 @@ from .common import Scratch, table
 CHUNK, OVERLAP = 16_384, 256
 #: A match that ends nearer than this to the end of a chunk may depend on what follows it.
 MARGIN = 4
+#: Texts a worker turns into output rows at a time.
+SLICE = 512
 
 
 def cut_points(text: str, chunk: int, overlap: int) -> list[int]:
@@ -65,19 +67,30 @@ def stitch(mine: np.ndarray, size: int, theirs: np.ndarray, shift: int) -> int:
     return int(both[0])
 
 
-def _ids_digest(ids: list[int]) -> str:
-    return hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+CODED = "rk long, doc_id long, n_tokens long, ids binary"
 
 
-def _encode_whole(rank_file: str | None):
+def as_coded(rank_file: str | None, rows: list[tuple]) -> pd.DataFrame:
+    """The plain form of coded rows (row key, doc_id, ids)."""
+    return pd.DataFrame([(k, d, len(ids), ids.tobytes()) for k, d, ids in rows], columns=["rk", "doc_id", "n_tokens", "ids"])
+
+
+def _encode_whole(rank_file: str | None, finish):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = bpe.coder(rank_file)
         for pdf in batches:
-            out = []
-            for key, doc_id, text in zip(pdf["rk"], pdf["doc_id"], pdf["text"]):
-                ids = c.encode(text)
-                out.append((key, doc_id, len(ids), np.asarray(ids, "<u4").tobytes()))
-            yield pd.DataFrame(out, columns=["rk", "doc_id", "n_tokens", "ids"])
+            for a in range(0, len(pdf), SLICE):
+                rows = pdf.iloc[a : a + SLICE]
+                yield finish(rank_file, [(k, d, np.array(c.encode(t), "<u4")) for k, d, t in zip(rows["rk"], rows["doc_id"], rows["text"])])
+    return run
+
+
+def _finish_joined(rank_file: str | None, finish):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for a in range(0, len(pdf), SLICE):
+                rows = pdf.iloc[a : a + SLICE]
+                yield finish(rank_file, [(k, d, np.frombuffer(b, "<u4")) for k, d, b in zip(rows["rk"], rows["doc_id"], rows["ids"])])
     return run
 
 
@@ -135,18 +148,19 @@ def _encode_chunks(rank_file: str | None):
     return run
 
 
-def encode(docs: DataFrame, scratch: Scratch, rank_file: str | None = None, chunk: int = CHUNK,
-           overlap: int = OVERLAP) -> DataFrame:
+def encode(docs: DataFrame, scratch: Scratch, rank_file: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP,
+           finish=as_coded, schema: str = CODED) -> DataFrame:
     """(rk, doc_id, n_tokens, ids): ids as little-endian unsigned 32-bit numbers, one row per input row.
 
-    Texts of one chunk are encoded where they are read.  Longer ones become
+    ``finish`` (rank file, list of (rk, doc_id, ids)) makes other output rows
+    of ``schema`` in the worker that has the ids.  Texts of one chunk are encoded where they are read.  Longer ones become
     chunk rows that are dealt out by (row, chunk); small rows of boundaries
     find the stitches; the parts of a text meet again as ids.
     """
     rows = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
                        F.monotonically_increasing_id().alias("rk"))
     small = F.length("text") <= chunk + overlap
-    whole = rows.where(small).mapInPandas(_encode_whole(rank_file), "rk long, doc_id long, n_tokens long, ids binary")
+    whole = rows.where(small).mapInPandas(_encode_whole(rank_file, finish), schema)
     parts = (rows.where(~small).mapInPandas(_split(chunk, overlap), "rk long, doc_id long, chunk int, n_chunks int, step int, text string")
              .repartition("rk", "chunk"))
     parts = scratch.save(parts, "chunks")
@@ -163,9 +177,8 @@ def encode(docs: DataFrame, scratch: Scratch, rank_file: str | None = None, chun
     coded = owned.mapInPandas(_encode_chunks(rank_file), "rk long, doc_id long, chunk int, n_chunks int, ids binary")
     joined = (coded.groupBy("rk").agg(F.first("doc_id").alias("doc_id"),
                                       F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
-              .select("rk", "doc_id", F.expr("aggregate(parts, cast('' as binary), (a, p) -> a || p.ids)").alias("ids"))
-              .select("rk", "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids"))
-    return whole.unionByName(joined)
+              .select("rk", "doc_id", F.expr("aggregate(parts, cast('' as binary), (a, p) -> a || p.ids)").alias("ids")))
+    return whole.unionByName(joined.mapInPandas(_finish_joined(rank_file, finish), schema))
 
 
 def decode(coded: DataFrame, rank_file: str | None = None) -> DataFrame:
@@ -177,25 +190,24 @@ def decode(coded: DataFrame, rank_file: str | None = None) -> DataFrame:
     return coded.withColumn("decoded", raw("ids"))
 
 
-def _digests(rank_file: str | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = bpe.coder(rank_file)
-        names = [str(i) for i in range(1 + max(c.bytes_of))]
-        for pdf in batches:
-            out = []
-            for doc_id, n, b in zip(pdf["doc_id"], pdf["n_tokens"], pdf["ids"]):
-                ids = np.frombuffer(b, "<u4").tolist()
-                text = " ".join(map(names.__getitem__, ids))
-                out.append((doc_id, n, hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    return run
+DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def digests(rank_file: str | None, rows: list[tuple]) -> pd.DataFrame:
+    """Digests of ids and of the bytes they decode to."""
+    c = bpe.coder(rank_file)
+    out = []
+    for _, doc_id, ids in rows:
+        ids = ids.tolist()
+        text = " ".join(map(c.names.__getitem__, ids))
+        out.append((doc_id, len(ids), hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()))
+    return pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and what they decode to, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = encode(docs, Scratch(spark, "op8"))
-    return coded.mapInPandas(_digests(None), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encode(docs, Scratch(spark, "op8"), finish=digests, schema=DIGESTS)
 
 
 QUERIES = {"op8_byte_bpe": op8_byte_bpe}

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, table
 from .vectors import finite, search
 
-TREES, BITS, WIDTH = 64, 32, 0.6
+TREES, BITS, WIDTH = 64, 32, 1.2
 SHARD, QUERY_BLOCK = 4096, 1024
 
 

@@ -162,7 +162,7 @@ def train(spark: SparkSession, triples: DataFrame, unigram: np.ndarray, dim: int
     for r in range(rounds):
         sent = spark.sparkContext.broadcast(params)
         parts = triples.mapInPandas(_round(sent, unigram, len(unigram), r), "name string, row int, weight double, v array<double>")
-        mean = F.array(*[F.sum(F.col("weight") * F.col("v")[i]) / F.sum("weight") for i in range(dim)])
+        mean = F.array(*[F.sum(F.col("weight") * F.get("v", F.lit(i))) / F.sum("weight") for i in range(dim)])
         got = parts.groupBy("name", "row").agg(mean.alias("v")).collect()
         if not got:
             break

@@ -112,7 +112,8 @@ def connected_components(scratch: Scratch, edges: DataFrame, label: str, max_rou
             scratch.drop(old)
         e = e2
         if now == sign:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
         sign = now
     raise RuntimeError("components did not settle")
 

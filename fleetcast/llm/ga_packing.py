@@ -224,8 +224,10 @@ def group(items: DataFrame, scratch: Scratch, label: str, capacity: int, islands
     to_genomes = F.udf(_seed_genomes, "array<binary>")
     state = (state.withColumn("genomes", to_genomes("seeds")).drop("seeds")
              .withColumn("migrant", F.lit(None).cast("binary")))
+    # a given number of tasks: the rows are few but take long, so their size must not merge them
+    tasks = max(1, -(-blocks.count() * islands // 2))
     for epoch in range(epochs):
-        done = (state.repartition("block", "island")
+        done = (state.repartition(tasks, "block", "island")
                 .mapInPandas(_epoch(capacity, epoch, seed),
                              "block long, island int, lengths array<long>, genomes array<binary>, n_bins int, worth double"))
         done = scratch.save(done, f"{label}-epoch-{epoch}")

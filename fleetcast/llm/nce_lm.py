@@ -38,6 +38,8 @@ CLASSES, DIM = 1024, 16
 START, OTHER, END = 0, 1, 2
 COMMON = 65_536
 ROUNDS, BATCH, NOISE, RATE = 2, 2048, 64, 0.1
+#: Least steps of a partition in a round, for small corpora.
+LEAST_STEPS = 300
 #: Distinct words or triples a task holds before it hands them on.
 HELD = 250_000
 
@@ -109,14 +111,14 @@ class Model:
 
 def steps(p: dict[str, np.ndarray], context: np.ndarray, w: np.ndarray, c: np.ndarray, noise: np.ndarray, classes: int,
           rng: np.random.Generator) -> dict[str, np.ndarray]:
-    """One partition's noise-contrastive steps: as many draws as it has distinct triples, by their counts."""
+    """One partition's noise-contrastive steps: at least as many draws as it has distinct triples, by their counts."""
     p = {k: v.copy() for k, v in p.items()}
     grown = {k: np.full_like(v, 1e-3) for k, v in p.items()}
     upto = np.cumsum(c / c.sum())
     noise_upto = np.cumsum(noise)
     expected = np.log(NOISE) + np.log(noise)
     sigmoid = lambda x: 0.5 * (1 + np.tanh(0.5 * x))
-    for _ in range(max(8, -(-len(w) // BATCH))):
+    for _ in range(max(LEAST_STEPS, -(-len(w) // BATCH))):
         i = np.minimum(np.searchsorted(upto, rng.random(BATCH)), len(w) - 1)
         t, c2, c1 = w[i], context[i] // classes, context[i] % classes
         n = np.minimum(np.searchsorted(noise_upto, rng.random(NOISE)), classes - 1)

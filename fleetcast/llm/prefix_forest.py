@@ -5,7 +5,8 @@ Distinct vectors are dealt by hash into shards of bounded size.  Each shard has
 around the shard's centre).  A query descends every array by binary search to
 its longest matching prefixes, then ascends all trees at once, one bit at a
 time, until the ranges of rows that share the prefix hold ``WIDTH`` times the
-shard's rows in total (rows count once a tree).  The rows in these ranges are
+shard's rows, and the rows asked for in every tree, in total (rows count once
+a tree).  The rows in these ranges are
 compared exactly, in double precision; the best of all shards are merged.
 Because every shard is searched in proportion to its size, recall does not
 depend on the number of rows.
@@ -75,7 +76,9 @@ def _find(n_trees: int, bits: int, width: float, top: int, seed: int):
         depth = min(bits, int(np.ceil(np.log2(len(x) + 1))) + 2)  # below this, prefixes hold single rows
         short = np.uint64(bits - depth)
         arrays = np.take_along_axis(strings, order, axis=1) >> short
-        lo, hi = ascend(arrays, hash_strings(q - centre, planes) >> short, depth, int(np.ceil(width * len(x))))
+        # room for the rows asked for in every tree, so that a query's own copy cannot end the ascent by itself
+        least = int(np.ceil(width * len(x))) + n_trees * top
+        lo, hi = ascend(arrays, hash_strings(q - centre, planes) >> short, depth, least)
         out = []
         for j, qid in enumerate(asked["qid"].tolist()):
             seen = np.zeros(len(x), bool)

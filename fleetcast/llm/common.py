@@ -82,7 +82,7 @@ def shingle_hashes(word_hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def connected_components(scratch: Scratch, edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
-    """(node, component): smallest node reachable over ``edges`` (a, b); nodes without edges are absent.
+    """(node, component): smallest node reachable over ``edges`` (a, b), roots included; nodes without edges are absent.
 
     Alternates two set-based steps on written tables.  Large star: every node
     hands its larger neighbours to its smallest one.  Small star: it hands its
@@ -92,29 +92,25 @@ def connected_components(scratch: Scratch, edges: DataFrame, label: str, max_rou
     """
     e = (edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     e = scratch.save(e, f"{label}-0")
-    if e.isEmpty():
-        return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    sign = None
     for i in range(1, max_rounds + 1):
+        # done when every edge leads straight to a root: one edge a node, and no node is both ends
+        ends = e.select(F.col("u").alias("x"), F.lit(1).alias("up")).union(e.select(F.col("v").alias("x"), F.lit(0).alias("up")))
+        if ends.groupBy("x").agg(F.sum("up").alias("n"), F.min("up").alias("m")).where("n > 1 or (n = 1 and m = 0)").isEmpty():
+            roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # written, so that both sides of the join are plain exchanges: the engine can then split a hub's rows
+        # written, so that both sides of the joins are plain exchanges: the engine can then split a hub's rows
         low = scratch.save(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{label}-low-{i}")
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
                  .distinct())
         large = scratch.save(large, f"{label}-large-{i}")
         low = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), f"{label}-small-{i}")
         small = large.join(low, "u")
-        e2 = (small.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
-                           F.col("m").alias("v")).where("u <> v").distinct())
-        e2 = scratch.save(e2, f"{label}-{i}")
-        now = e2.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        e = (small.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
+                          F.col("m").alias("v")).where("u <> v").distinct())
+        e = scratch.save(e, f"{label}-{i}")
         for old in (f"{label}-{i - 1}", f"{label}-low-{i}", f"{label}-large-{i}", f"{label}-small-{i}"):
             scratch.drop(old)
-        e = e2
-        if now == sign:
-            roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
-        sign = now
     raise RuntimeError("components did not settle")
 
 

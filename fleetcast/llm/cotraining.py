@@ -7,7 +7,8 @@ labelled sample.  In each round either view labels the unlabelled pool where
 its calibrated probability is near 0 or 1, and hands those pseudo-labels to the
 other.  A part of the labelled sample is kept from all training; on it the
 views are calibrated, and the least score a kept document may have is set so
-that ``KEEP_SHARE`` of its good documents pass.  The calibrated views combine as
+that ``KEEP_SHARE`` of its good documents pass, with a margin where the other
+documents leave room for one.  The calibrated views combine as
 independent evidence (log-odds add, the prior counts once), and all documents
 are scored in one pass over their whole texts.
 
@@ -239,7 +240,10 @@ def cotrain(sample: pd.DataFrame, words: int = WORDS, rounds: int = ROUNDS, sure
     f.n_pseudo = int(sum((pool & ~np.isnan(t)).sum() for t in told.values()))
     at = np.flatnonzero(held)
     score = f.views(xt.take(at), xm.take(at))[2]
-    f.least = float(min(0.5, np.quantile(score[good[at] > 0.5], 1 - keep_share)))
+    # half way (in log-odds) between the least score that good documents need and what others reach, where these are apart
+    passing, others = np.quantile(score[good[at] > 0.5], 1 - keep_share), np.quantile(score[good[at] <= 0.5], 0.95)
+    between = sigmoid((logit(np.clip(passing, 1e-9, 1 - 1e-9)) + logit(np.clip(min(passing, others), 1e-9, 1 - 1e-9))) / 2)
+    f.least = float(min(0.5, passing, between))
     return f
 
 

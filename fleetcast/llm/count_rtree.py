@@ -17,8 +17,8 @@ smaller coordinates.  The tree uses that bound on three levels.
   points, bound the overlap.  The pairs that remain are verified on their texts.
 
 Equal sets are one point from the start.  Before the branches are searched,
-documents with equal minimal groups are compared with the most shared document
-among them, in a few rounds, and linked ones merge: large groups of near copies
+documents with equal minimal groups (under a few orders) are compared with the
+most shared document among them, and linked ones merge: large groups of near copies
 fall into few components, and a branch looks only at pairs of different ones.
 No pair of different components is left out, so the components are exact.
 
@@ -45,8 +45,8 @@ from .common import TILE, Scratch, WordHashes, connected_components, groups_of,
 WIDTH, PERCENT = 4, 85
 #: Documents of a root block on average; coordinates of a folded point; points of a box; entries of a tile.
 BLOCK, FOLD, BOX, TILE_SIZE = 2048, 64, 32, 1024
-#: Rounds of comparison with the most shared document.
-ROUNDS = 2
+#: Keys by which a document is compared with the most shared one of those that have it too.
+ROUNDS = 3
 _WORDS = WordHashes()
 
 
@@ -241,25 +241,20 @@ def links(docs: DataFrame, scratch: Scratch, width: int = WIDTH, percent: int =
     # texts of the survivors, by content: a doc_id may repeat with another text
     alive = found.select("doc_id").distinct()
     texts = scratch.save(rows.join(alive, "doc_id"), "texts")
-    comp = alive.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component"))
-    all_links = same
-    for r in range(rounds):
-        at = (found.join(comp, found["doc_id"] == comp["node"])
-              .select("doc_id", F.col("component").alias("comp"), F.col("keys")[r].alias("key"), "common", "n"))
-        head = at.groupBy("key").agg(F.max(F.struct("common", -F.col("doc_id"))).alias("m"), F.count("*").alias("c")).where("c > 1")
-        head = scratch.save(head.select("key", (-F.col("m.col2")).alias("head")), f"heads-{r}")
-        head = (head.join(at.select(F.col("doc_id").alias("head"), F.col("comp").alias("h_comp"), F.col("n").alias("h_n")), "head"))
-        head = scratch.save(head, f"headed-{r}")
-        pairs = (at.join(head, "key").where("comp <> h_comp").where(F.least("n", "h_n") * 100 >= F.greatest("n", "h_n") * percent)
-                 .select(F.col("head").alias("a"), F.col("doc_id").alias("b")))
-        pairs = scratch.save(pairs, f"star-{r}")
-        all_links = all_links.union(_verified(pairs, texts, scratch, f"star-links-{r}", width, percent))
-        comp = _components(scratch, all_links, alive, f"cc-{r}")
+    # every survivor against the most shared document of each of its keys: pairs in proportion to the survivors
+    keyed = found.select("doc_id", "common", "n", F.posexplode("keys").alias("r", "key"))
+    head = keyed.groupBy("r", "key").agg(F.max(F.struct("common", -F.col("doc_id"), "n")).alias("m"), F.count("*").alias("c")).where("c > 1")
+    head = scratch.save(head.select("r", "key", (-F.col("m.col2")).alias("head"), F.col("m.n").alias("h_n")), "heads")
+    pairs = (keyed.join(head, ["r", "key"]).where("doc_id <> head")
+             .where(F.least("n", "h_n") * 100 >= F.greatest("n", "h_n") * percent)
+             .select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct())
+    stars = _verified(scratch.save(pairs, "star-pairs"), texts, scratch, "star-links", width, percent)
+    comp = _components(scratch, stars, alive, "stars")
     entries = (found.join(comp, found["doc_id"] == comp["node"])
                .select(F.explode("branches").alias("branch"), "doc_id", "n", "point", F.col("component").alias("comp")))
     tiles = tile(scratch, entries, "branch", "doc_id", "comp", tile_size, "branches")
     pairs = scratch.save(tiles.mapInPandas(_leaf_pairs(percent), "a long, b long").distinct(), "pairs")
-    all_links = all_links.union(_verified(pairs, texts, scratch, "links", width, percent))
+    all_links = same.union(stars).union(_verified(pairs, texts, scratch, "links", width, percent))
     return sketch.select("doc_id", "n"), connected_components(scratch, all_links, "cc")
 
 

@@ -74,7 +74,7 @@ def resource_rollup(res: DataFrame, every: str, methods: DataFrame | None = None
     """
     from .config import DEFAULT_ROLLUP
     agg = res.groupBy(*K, "resource_type", bin_start(ts, every, end=True).alias("time")).agg(
-        F.max("value").alias("v_max"), F.max_by("value", F.col(ts)).alias("v_last"), F.avg("value").alias("v_avg"))
+        F.max("value").alias("v_max"), F.max_by("value", F.struct(F.col(ts), F.col("value"))).alias("v_last"), F.avg("value").alias("v_avg"))
     default = None
     for r, m in DEFAULT_ROLLUP:
         default = (F.when(F.col("resource_type") == r, F.lit(m)) if default is None
@@ -213,9 +213,13 @@ def training_gate(app: DataFrame, res: DataFrame, min_app_rows: int = 50, min_ap
 
 
 def input_gate(app: DataFrame, res: DataFrame) -> DataFrame:
-    """A13 input stage: >=20 app rows, >=1 app, >=2 metrics, >=10 resource rows."""
-    return training_gate(app, res, min_app_rows=20, min_apps=1, min_metrics=2, min_res_rows=10) \
-        .drop("missing_resources").withColumnRenamed("is_valid", "input_ok")
+    """A13 input stage: >=20 app rows, >=1 app, >=2 metrics, >=10 resource rows (of any resource, values or not)."""
+    a = app.groupBy(*K).agg(F.count(F.lit(1)).alias("app_rows"), F.countDistinct("application").alias("n_apps"),
+                            F.countDistinct("metric_type").alias("n_metrics"))
+    r = res.groupBy(*K).agg(F.count(F.lit(1)).alias("res_rows"))
+    j = a.join(r, K, "full").na.fill(0, ["app_rows", "n_apps", "n_metrics", "res_rows"])
+    ok = (F.col("app_rows") >= 20) & (F.col("n_apps") >= 1) & (F.col("n_metrics") >= 2) & (F.col("res_rows") >= 10)
+    return j.withColumn("input_ok", ok)
 
 
 def impact_gate(impacts: DataFrame) -> DataFrame:

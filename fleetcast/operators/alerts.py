@@ -53,9 +53,9 @@ def threshold_crossings(fc: DataFrame, limits: DataFrame) -> DataFrame:
 
     ``time_to_threshold`` is hours from the first forecast time; the current
     value is the first forecast.  ``limits`` (resource_type, threshold) is a
-    3-row table, broadcast.
+    small configuration table; the engine decides on a broadcast.
     """
-    j = fc.join(F.broadcast(limits), "resource_type")
+    j = fc.join(limits, "resource_type")
     hit = F.col("predicted_value") >= F.col("threshold")
     g = j.groupBy(*K, "resource_type", "threshold").agg(
         F.min("target_time").alias("_first"),

@@ -78,10 +78,11 @@ def exclude_gateways(df: DataFrame, cfg: DataFrame, column: str = "application",
 def validate_ranges(df: DataFrame, rules: DataFrame, metric: str = "metric_type", value: str = "value") -> DataFrame:
     """Keep rows in ``[min, max]`` of their metric's rule; unknown metrics pass.
 
-    ``rules`` (metric, min, max) is a configuration table of a few rows.
+    ``rules`` (metric, min, max) is a configuration table; the engine
+    broadcasts it when its size allows.
     """
     r = rules.select(F.col("metric").alias("_rm"), F.col("min").alias("_lo"), F.col("max").alias("_hi"))
-    j = df.join(F.broadcast(r), F.col(metric) == F.col("_rm"), "left")
+    j = df.join(r, F.col(metric) == F.col("_rm"), "left")
     ok = F.coalesce(F.col(value).between(F.col("_lo"), F.col("_hi")), F.col("_rm").isNull())
     return j.where(ok).drop("_rm", "_lo", "_hi")
 
@@ -118,7 +119,8 @@ def adaptive_lookback(app: DataFrame, res: DataFrame, now, steps: Sequence[int]
 
     One scan of the widest window; ``count(when)`` per step; the choice is
     joined back.  If no step qualifies, app rows come from the widest window
-    and resource rows from the first.
+    and resource rows from the first; so do the resource rows of an entity
+    without any app row.
     """
     now_c = _now(now)
     widest = max(steps)
@@ -139,5 +141,6 @@ def adaptive_lookback(app: DataFrame, res: DataFrame, now, steps: Sequence[int]
     lo = lambda c: now_c - F.make_dt_interval(F.lit(0), F.lit(0), F.col(c).cast("int"))
     app_out = a.join(chosen, K).where(F.col(ts) > lo("app_minutes")).drop("app_minutes", "res_minutes")
     r = res.where(within(widest) & (F.col(ts) <= now_c))
-    res_out = r.join(chosen, K).where(F.col(ts) > lo("res_minutes")).drop("app_minutes", "res_minutes")
+    r = r.join(chosen, K, "left").withColumn("res_minutes", F.coalesce("res_minutes", F.lit(first)))
+    res_out = r.where(F.col(ts) > lo("res_minutes")).drop("app_minutes", "res_minutes")
     return app_out, res_out

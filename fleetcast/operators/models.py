@@ -1,12 +1,14 @@
 """Model operators on ``pyspark.ml``.
 
 Re-aimed for a cluster: instead of one estimator per (device, application,
-resource) fitted in a driver loop, there is one distributed fit for the
-whole fleet, with the entity, application and resource as indexed
-features, so the number of fits does not grow with the fleet.  Training
-inputs are checkpointed first (iterative fits re-read their input many
-times).  Tree models need no feature scaling (splits are invariant to it),
-so no scaler stage is used.
+resource) fitted in a driver loop, there is one distributed fit for the whole
+fleet, so the number of fits does not grow with it.  What sets the keys apart
+is not an id column in the trees but a target encoding: the label's mean and
+deviation per key, a grouped table of the training rows, and the fit learns the
+label in units of its key.  Scoring joins the table back; a key that was never
+trained has no row there and gets the default.  Training inputs are
+checkpointed first (iterative fits re-read their input many times).  Tree
+models need no feature scaling (splits are invariant to it).
 """
 
 from __future__ import annotations
@@ -50,35 +52,25 @@ def base_feature(name: str) -> str:
     return "_".join(p for p in name.split("_") if p not in STAT_TOKENS and p not in WINDOW_TOKENS)
 
 
-def default_value(name: str, now: _dt.datetime) -> float:
-    low = name.lower()
-    for word, v in KEYWORD_DEFAULTS:
-        if word in low:
-            return v
-    if "hour" in name:
-        return float(now.hour)
-    if "day_of_week" in name:
-        return float(now.weekday())
-    if "is_weekend" in name:
-        return 1.0 if now.weekday() >= 5 else 0.0
-    return 0.0
+def calendar_values(now: _dt.datetime) -> dict[str, float]:
+    return {"hour": float(now.hour), "day_of_week": float(now.weekday()), "is_weekend": float(now.weekday() >= 5)}
 
 
 def resolve_feature(name: str, columns: Sequence[str], now: _dt.datetime) -> tuple[str, object]:
-    """Where an expected feature comes from: ('col', name) or ('lit', value)."""
-    if name in columns:
-        return "col", name
-    if name in CALENDAR:
-        return "lit", float({"hour": now.hour, "day_of_week": now.weekday(),
-                             "is_weekend": 1 if now.weekday() >= 5 else 0}[name])
-    if "_" in name:
-        base = base_feature(name)
-        if base in columns:
-            return "col", base
-        for c in columns:
-            if base in c or c in base:
-                return "col", c
-    return "lit", default_value(name, now)
+    """Where an expected feature comes from: ('col', name) or ('lit', value).
+
+    The first source that applies, in this order: the column itself; the
+    calendar; for compound names the column of the base name, then one whose
+    name contains the base name or lies in it; a keyword's default; a calendar
+    word inside the name; zero.
+    """
+    base = base_feature(name) if "_" in name else None
+    calendar = calendar_values(now)
+    alike = [] if base is None else ([base] if base in columns else []) + [c for c in columns if base in c or c in base]
+    words = [v for w, v in KEYWORD_DEFAULTS if w in name.lower()] + [calendar[w] for w in CALENDAR if w in name]
+    sources = ([("col", c) for c in columns if c == name] + [("lit", calendar[n]) for n in CALENDAR if n == name]
+               + [("col", c) for c in alike] + [("lit", v) for v in words] + [("lit", 0.0)])
+    return sources[0]
 
 
 def align_features(df: DataFrame, expected: Sequence[str], now, keep: Sequence[str] = ()) -> DataFrame:
@@ -104,11 +96,6 @@ def wide(df: DataFrame, index: Sequence[str], names: Sequence[str], col: str = "
     return df.groupBy(*index).pivot(col, list(names)).agg(F.first(value)).na.fill(0.0, list(names))
 
 
-def distinct_names(df: DataFrame, col: str = "feature_name") -> list[str]:
-    """Sorted distinct names (schema-level metadata: bounded by metrics x stats x windows)."""
-    return sorted(r[0] for r in df.select(col).distinct().collect())
-
-
 # M3 ------------------------------------------------------------------------
 def raw_training_set(app: DataFrame, impacts: DataFrame) -> DataFrame:
     """Raw metric means per (entity, time, application, metric) beside the impact label.
@@ -128,46 +115,58 @@ def raw_training_set(app: DataFrame, impacts: DataFrame) -> DataFrame:
 
 
 # M4 / M5 -------------------------------------------------------------------
+IMPACT_KEYS = [*K, "application", "resource_type"]
+SYSTEM_KEYS = [*K, "resource_type"]
+KEYS = {"random_forest": IMPACT_KEYS, "gradient_boosting": SYSTEM_KEYS}
+DEFAULTS = {"random_forest": NO_MODEL_IMPACT, "gradient_boosting": NO_MODEL_FORECAST}
+
+
 @dataclass
 class FittedModels:
-    """One fitted pipeline over all entities and resources (resource is a feature)."""
+    """One fitted pipeline over all keys, their target encoding and their metrics."""
     kind: str
     features: list[str]
     model: PipelineModel | None = None
+    stats: DataFrame | None = None
     metrics: DataFrame | None = None
 
 
-def _estimator(kind: str, label: str = "label"):
-    if kind == "random_forest":
-        return RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", **FOREST)
-    return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", **BOOSTING)
+def label_stats(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target encoding: rows, mean and population deviation of the label per key."""
+    return rows.where(F.col("label").isNotNull()).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.avg("label").alias("label_mean"), F.stddev_pop("label").alias("label_std"))
+
+
+def _unit() -> Column:
+    """A key's unit: its deviation, or 1 where the label does not vary."""
+    return F.when(F.col("label_std") > 0, F.col("label_std")).otherwise(F.lit(1.0))
 
 
-# Group columns: a bounded category set is indexed (resource: 3 levels); open-ended
-# identifiers (entity, application) become a hashed numeric code, so no label list
-# is collected to the driver and no tree needs one bin per category.
-GROUPS = {"random_forest": ["entity", "application", "resource_type"], "gradient_boosting": ["entity", "resource_type"]}
-INDEXED = {"resource_type"}
-HASH_BUCKETS = 1 << 20
+def in_units(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds ``target``: the label in units of its key."""
+    j = rows.join(stats.drop("n_rows"), list(keys))
+    return j.withColumn("target", (F.col("label") - F.col("label_mean")) / _unit()).drop("label_mean", "label_std")
 
 
-def with_group_codes(df: DataFrame, kind: str) -> DataFrame:
-    for g in GROUPS[kind]:
-        if g not in INDEXED:
-            df = df.withColumn(f"{g}_idx", F.pmod(F.xxhash64(g), F.lit(HASH_BUCKETS)).cast("double"))
-    return df
+def _estimator(kind: str):
+    args = {"featuresCol": "features", "labelCol": "target", "predictionCol": "unit_prediction"}
+    return RandomForestRegressor(**args, **FOREST) if kind == "random_forest" else GBTRegressor(**args, **BOOSTING)
 
 
 def _pipeline(kind: str, features: list[str]) -> Pipeline:
-    stages = []
-    idx = []
-    for g in GROUPS[kind]:
-        if g in INDEXED:
-            stages.append(StringIndexer(inputCol=g, outputCol=f"{g}_idx", handleInvalid="keep"))
-        idx.append(f"{g}_idx")
-    stages.append(VectorAssembler(inputCols=idx + list(features), outputCol="features", handleInvalid="keep"))
-    stages.append(_estimator(kind))
-    return Pipeline(stages=stages)
+    # the resource is the one bounded category (three levels); no entity or application id enters the trees
+    return Pipeline(stages=[StringIndexer(inputCol="resource_type", outputCol="resource_idx", handleInvalid="keep"),
+                            VectorAssembler(inputCols=["resource_idx", *features], outputCol="features", handleInvalid="keep"),
+                            _estimator(kind)])
+
+
+def score(model: PipelineModel | None, stats: DataFrame | None, kind: str, rows: DataFrame) -> DataFrame:
+    """Adds ``prediction``: back from units, or the default where the key has no trained model."""
+    if model is None or stats is None:
+        return rows.withColumn("prediction", F.lit(DEFAULTS[kind]))
+    j = model.transform(rows).join(stats.drop("n_rows"), KEYS[kind], "left")
+    value = F.coalesce(F.col("label_mean") + F.col("unit_prediction") * _unit(), F.lit(DEFAULTS[kind]))
+    return j.withColumn("prediction", value).drop("label_mean", "label_std", "features", "resource_idx", "unit_prediction")
 
 
 def _materialize(df: DataFrame) -> DataFrame:
@@ -177,25 +176,47 @@ def _materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _importance(model: PipelineModel, kind: str, features: list[str]) -> str:
+def _importance(model: PipelineModel, features: list[str]) -> str:
     imp = model.stages[-1].featureImportances.toArray().tolist()
-    return json.dumps(dict(zip([f"{g}_idx" for g in GROUPS[kind]] + list(features), imp)), sort_keys=True)
+    return json.dumps(dict(zip(["resource_idx", *features], imp)), sort_keys=True)
 
 
-def fit_impact_models(train: DataFrame, model: str = "random_forest", cv_splits: int = 5,
-                      names: Sequence[str] | None = None) -> FittedModels:
+def _fit(kind: str, features: list[str], rows: DataFrame) -> tuple[PipelineModel, DataFrame]:
+    """The pipeline on rows (keys, features, label) and the encoding it was fitted in."""
+    stats = _materialize(label_stats(rows, KEYS[kind]))
+    return _pipeline(kind, features).fit(in_units(rows, stats, KEYS[kind])), stats
+
+
+def _key_metrics(scored: DataFrame, stats: DataFrame, kind: str) -> DataFrame:
+    """M12 per key beside the error of always saying the key's training mean."""
+    m = regression_metrics(scored, KEYS[kind], "label", "prediction")
+    base = scored.join(stats.drop("n_rows", "label_std"), KEYS[kind]).groupBy(*KEYS[kind]).agg(
+        F.avg(F.abs(F.col("label") - F.col("label_mean"))).alias("mean_mae"))
+    return m.join(base, KEYS[kind], "left")
+
+
+def _no_metrics(rows: DataFrame) -> DataFrame:
+    """Metrics of no model: no rows."""
+    keys = [c for c in IMPACT_KEYS if c in rows.columns]
+    return rows.where("false").select(*keys, F.lit(0).cast("long").alias("n_rows"), *[
+        F.lit(None).cast("double").alias(c) for c in ("mae", "rmse", "r2", "mean_mae")], F.lit(0).cast("long").alias("folds"),
+        F.lit(None).cast("string").alias("feature_importance"))
+
+
+def fit_impact_models(train: DataFrame, names: Sequence[str], model: str = "random_forest", cv_splits: int = 5) -> FittedModels:
     """M4: features -> impact, expanding time folds per (entity, application), then a refit on all rows.
 
-    ``train`` is the tall M1 set, pivoted to one row per (entity,
-    application, time, resource).  Metrics per resource are means over the
-    folds (M12 on each fold's test rows).
+    ``train`` is the tall M1 set, pivoted by the given feature ``names`` to one
+    row per (entity, application, time, resource).  Metrics per (entity,
+    application, resource) are means over the folds that could be run, whose
+    number stands beside them.
     """
-    names = list(names) if names is not None else distinct_names(train)
-    w = wide(train, [*K, "application", "time", "resource_type", "label"], names)
-    d = _materialize(with_group_codes(w.withColumn("entity", F.concat_ws("/", *K)), model))
-    pipe = _pipeline(model, names)
+    names = list(names)
+    d = _materialize(wide(train, [*K, "application", "time", "resource_type", "label"], names))
     fm = FittedModels(model, names)
-    spark = train.sparkSession
+    if d.isEmpty():
+        fm.metrics = _no_metrics(d)
+        return fm
     per_fold = []
     if cv_splits > 1:
         keys = [*K, "application", "time"]
@@ -205,70 +226,76 @@ def fit_impact_models(train: DataFrame, model: str = "random_forest", cv_splits:
             tr = d.join(fr.where(F.col("role") == "train").select(*keys), keys, "left_semi")
             te = d.join(fr.where(F.col("role") == "test").select(*keys), keys, "left_semi")
             if tr.isEmpty() or te.isEmpty():
-                continue
-            scored = pipe.fit(tr).transform(te)
-            per_fold.append(regression_metrics(scored, ["resource_type"], "label", "prediction")
-                            .withColumn("fold", F.lit(f)))
-    if d.isEmpty():
-        fm.metrics = spark.createDataFrame([], "resource_type string, mae double, rmse double, r2 double, "
-                                               "feature_importance string")
-        return fm
-    fm.model = pipe.fit(d)
-    imp = _importance(fm.model, model, names)
-    res = d.select("resource_type").distinct()
+                continue  # counted: the result says over how many folds its means go
+            fitted, stats = _fit(model, names, tr)
+            per_fold.append(_key_metrics(score(fitted, stats, model, te), stats, model))
+    fm.model, fm.stats = _fit(model, names, d)
+    got = fm.stats.select(*IMPACT_KEYS, "n_rows")
     if per_fold:
         u = per_fold[0]
         for x in per_fold[1:]:
             u = u.unionByName(x)
-        m = u.groupBy("resource_type").agg(F.avg("mae").alias("mae"), F.avg("rmse").alias("rmse"),
-                                           F.avg("r2").alias("r2"))
-        res = res.join(m, "resource_type", "left")
+        m = u.groupBy(*IMPACT_KEYS).agg(F.avg("mae").alias("mae"), F.avg("rmse").alias("rmse"), F.avg("r2").alias("r2"),
+                                        F.avg("mean_mae").alias("mean_mae"), F.count(F.lit(1)).alias("folds"))
+        got = got.join(m, IMPACT_KEYS, "left")
     else:
-        res = res.select("resource_type", *[F.lit(None).cast("double").alias(c) for c in ("mae", "rmse", "r2")])
-    fm.metrics = res.withColumn("feature_importance", F.lit(imp))
+        got = got.select("*", *[F.lit(None).cast("double").alias(c) for c in ("mae", "rmse", "r2", "mean_mae")], F.lit(0).cast("long").alias("folds"))
+    fm.metrics = _materialize(got.withColumn("folds", F.coalesce("folds", F.lit(0)))
+                              .withColumn("feature_importance", F.lit(_importance(fm.model, names))))
     return fm
 
 
 def stack_resources(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Wide (cpu, mem, disk) labels -> one row per resource with ``label``."""
-    parts = [df.select(*keep, F.lit(r).alias("resource_type"), F.col(r).alias("label")) for r in RESOURCES]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u
+    pairs = F.array(*[F.struct(F.lit(r).alias("resource_type"), F.col(r).cast("double").alias("label")) for r in RESOURCES])
+    return df.select(*keep, F.inline(pairs))
 
 
-def fit_system_models(train: DataFrame, train_fraction: float = 0.8) -> FittedModels:
-    """M5: impact statistics + calendar -> utilisation, chronological hold-out per entity.
+def system_rows(train: DataFrame, train_fraction: float = 0.8) -> DataFrame:
+    """M5's rows: one per (entity, time, resource), split by time per entity."""
+    return stack_resources(chrono_split(train, K, "time", train_fraction), [*K, "time", "is_train", *STAT_COLUMNS, *CALENDAR])
 
-    One boosted model over (entity, resource) instead of one per resource
-    and device: the boosting iterations run once for the whole fleet.
-    """
+
+def fit_system_models(train: DataFrame, train_fraction: float = 0.8) -> FittedModels:
+    """M5: impact statistics + calendar -> utilisation, chronological hold-out per entity, metrics per (entity, resource)."""
     features = [*STAT_COLUMNS, *CALENDAR]
-    d = chrono_split(train, K, "time", train_fraction).withColumn("entity", F.concat_ws("/", *K))
-    st = _materialize(with_group_codes(stack_resources(d, [*K, "entity", "time", "is_train", *features]),
-                                       "gradient_boosting"))
-    fm = FittedModels("gradient_boosting", features)
-    tr, te = st.where(F.col("is_train")), st.where(~F.col("is_train"))
+    kind = "gradient_boosting"
+    fm = FittedModels(kind, features)
+    rows = _materialize(system_rows(train, train_fraction).where(F.col("label").isNotNull()))
+    tr, te = rows.where(F.col("is_train")), rows.where(~F.col("is_train"))
     if tr.isEmpty():
-        fm.metrics = st.sparkSession.createDataFrame(
-            [], "resource_type string, mae double, rmse double, r2 double, feature_importance string")
+        fm.metrics = _no_metrics(rows)
         return fm
-    fm.model = _pipeline("gradient_boosting", features).fit(tr)
-    imp = _importance(fm.model, "gradient_boosting", features)
-    met = regression_metrics(fm.model.transform(te), ["resource_type"], "label", "prediction")
-    fm.metrics = (st.select("resource_type").distinct().join(met.drop("n"), "resource_type", "left")
-                  .withColumn("feature_importance", F.lit(imp)))
+    fm.model, fm.stats = _fit(kind, features, tr)
+    met = _key_metrics(score(fm.model, fm.stats, kind, te), fm.stats, kind).drop("n")
+    fm.metrics = _materialize(fm.stats.select(*SYSTEM_KEYS, "n_rows").join(met, SYSTEM_KEYS, "left")
+                              .withColumn("folds", F.lit(1).cast("long"))
+                              .withColumn("feature_importance", F.lit(_importance(fm.model, features))))
     return fm
 
 
 # M6 ------------------------------------------------------------------------
-def model_performance_rows(fm: FittedModels, trained_at, application: str | None = None) -> DataFrame:
-    """Model-performance table rows (one per resource model)."""
+# What stands for the application in rows of system models and of forecast accuracy.
+SYSTEM_APPLICATION = "system"
+ACCURACY_APPLICATION, ACCURACY_TYPE = "system", "system_performance"
+
+
+def model_performance_rows(fm: FittedModels, trained_at) -> DataFrame:
+    """Rows of the model-performance table, one per (entity, application, resource) model."""
     t = ts_lit(trained_at) if isinstance(trained_at, (str, _dt.datetime)) else trained_at
-    return fm.metrics.select(F.lit(application).cast("string").alias("application"), "resource_type",
-                             F.lit(fm.kind).alias("model_type"), "mae", "rmse", F.col("r2").alias("r2_score"),
-                             "feature_importance", t.alias("trained_at"), version_stamp(t).alias("version"))
+    application = F.col("application") if "application" in fm.metrics.columns else F.lit(SYSTEM_APPLICATION)
+    return fm.metrics.select(*K, application.alias("application"), "resource_type", F.lit(fm.kind).alias("model_type"),
+                             "mae", "rmse", F.col("r2").alias("r2_score"), "feature_importance", t.alias("trained_at"),
+                             version_stamp(t).alias("version"))
+
+
+def accuracy_rows(performance: DataFrame, checked_at) -> DataFrame:
+    """A16's forecast accuracy as rows of the model-performance table (version with a '_perf' suffix)."""
+    t = ts_lit(checked_at) if isinstance(checked_at, (str, _dt.datetime)) else checked_at
+    return performance.select(*K, F.lit(ACCURACY_APPLICATION).alias("application"), "resource_type",
+                              F.lit(ACCURACY_TYPE).alias("model_type"), "mae", "rmse", F.col("r2").alias("r2_score"),
+                              F.lit(None).cast("string").alias("feature_importance"), t.alias("trained_at"),
+                              F.concat(version_stamp(t), F.lit("_perf")).alias("version"))
 
 
 # M7 ------------------------------------------------------------------------
@@ -277,16 +304,13 @@ def _per_resource(x: DataFrame) -> DataFrame:
 
 
 def predict_impacts(fm: FittedModels, profile: DataFrame, now) -> DataFrame:
-    """Impact per (entity, application, resource) from the latest profile; 0.5 without a model.
+    """Impact per (entity, application, resource) from the latest profile; 0.5 for a key without a trained model.
 
     ``profile`` is wide: (tenant, device_id, application, <metric columns>).
     """
     keep = [*K, "application"]
-    x = _per_resource(align_features(profile, fm.features, now, keep).withColumn("entity", F.concat_ws("/", *K)))
-    x = with_group_codes(x, fm.kind)
-    if fm.model is None:
-        return x.select(*keep, "resource_type", F.lit(NO_MODEL_IMPACT).alias("impact_score"))
-    return fm.model.transform(x).select(*keep, "resource_type", F.col("prediction").alias("impact_score"))
+    x = _per_resource(align_features(profile, fm.features, now, keep))
+    return score(fm.model, fm.stats, fm.kind, x).select(*keep, "resource_type", F.col("prediction").alias("impact_score"))
 
 
 # M10 -----------------------------------------------------------------------
@@ -294,41 +318,47 @@ def forecast(fm: FittedModels, serving_stats: DataFrame, grid: DataFrame) -> Dat
     """Utilisation forecast on the grid: A7 statistics x calendar of each target time.
 
     One ``transform`` over the whole grid x resources (no per-point loop);
-    50.0 where no model exists.
+    50.0 for an (entity, resource) without a trained model.
     """
     from ..functions.time import day_of_week, hour_of_day, is_weekend
     x = grid.join(serving_stats, K).select(
         *K, "step_index", "target_time", *STAT_COLUMNS, hour_of_day("target_time").alias("hour"),
         day_of_week("target_time").alias("day_of_week"), is_weekend("target_time").alias("is_weekend"))
-    x = with_group_codes(_per_resource(x.withColumn("entity", F.concat_ws("/", *K))), fm.kind)
-    if fm.model is None:
-        return x.select(*K, "step_index", "target_time", "resource_type",
-                        F.lit(NO_MODEL_FORECAST).alias("predicted_value"))
-    return fm.model.transform(x).select(*K, "step_index", "target_time", "resource_type",
-                                        F.col("prediction").alias("predicted_value"))
+    return score(fm.model, fm.stats, fm.kind, _per_resource(x)).select(
+        *K, "step_index", "target_time", "resource_type", F.col("prediction").alias("predicted_value"))
 
 
 # M11 -----------------------------------------------------------------------
-def model_path(root: str, kind: str, device: str | None = None) -> str:
-    return os.path.join(root, kind, device or "_generic")
+def model_path(root: str, kind: str, tenant: str | None = None, device: str | None = None) -> str:
+    return os.path.join(root, kind, tenant or "_generic", device or "_generic")
 
 
-def save_models(fm: FittedModels, root: str, device: str | None = None) -> str | None:
-    """Write the fitted pipeline (overwrite) under root/kind/device-or-generic."""
+def save_models(fm: FittedModels, root: str, tenant: str | None = None, device: str | None = None) -> str | None:
+    """Write the fitted pipeline, its encoding and its feature list (overwrite) for a device, a tenant or everyone."""
     if fm.model is None:
         return None
-    p = model_path(root, fm.kind, device)
-    fm.model.write().overwrite().save(p)
+    p = model_path(root, fm.kind, tenant, device)
+    fm.model.write().overwrite().save(f"{p}/pipeline")
+    fm.stats.write.mode("overwrite").parquet(f"{p}/encoding")
+    spark = fm.stats.sparkSession
+    spark.createDataFrame(list(enumerate(fm.features)), "position int, feature string").coalesce(1).write.mode("overwrite").parquet(f"{p}/features")
     return p
 
 
-def load_models(root: str, kind: str, features: list[str], device: str | None = None) -> FittedModels:
-    """Device-specific model first, then the generic one; none found -> defaults at scoring."""
-    fm = FittedModels(kind, features)
-    for dev in ([device] if device else []) + [None]:
-        try:
-            fm.model = PipelineModel.load(model_path(root, kind, dev))
-            break
-        except Exception:  # noqa: BLE001 - missing path -> try the next candidate
-            continue
-    return fm
+def _exists(spark, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def load_models(spark, root: str, kind: str, tenant: str | None = None, device: str | None = None) -> tuple[FittedModels, str | None]:
+    """The device's model, else the tenant's, else the generic one, and where it was; none stored -> defaults at scoring.
+
+    Only a path that does not exist passes on to the next candidate; any
+    other failure to read a stored model is raised.
+    """
+    for t, d in dict.fromkeys([(tenant, device), (tenant, None), (None, None)]):
+        p = model_path(root, kind, t, d)
+        if _exists(spark, f"{p}/pipeline"):
+            names = [r.feature for r in spark.read.parquet(f"{p}/features").orderBy("position").collect()]
+            return FittedModels(kind, names, PipelineModel.load(f"{p}/pipeline"), spark.read.parquet(f"{p}/encoding")), p
+    return FittedModels(kind, []), None

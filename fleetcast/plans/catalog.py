@@ -263,6 +263,36 @@ def q_p9(spark, sf):
     return CL.lookback(ev, "ts", "2024-01-31 00:00:00", "2w").select("event_id", "ts", "value")
 
 
+# resource rows of a device without app rows and with one resource only, beside the others
+cte("p10_res", ["resource_metrics"], """
+SELECT * FROM resource_metrics UNION ALL
+SELECT tenant, 'dev-quiet' AS device_id, time, resource_type, measurement, value FROM resource_metrics
+WHERE device_id = 'dev-0' AND resource_type = 'cpu'""")
+# ... and its app rows, for the gates
+cte("gate_app", ["app_metrics"], """
+SELECT * FROM app_metrics UNION ALL
+SELECT tenant, 'dev-quiet' AS device_id, time, application, metric_type, value FROM app_metrics WHERE device_id = 'dev-0'""")
+# the registry also knows a device of each tenant that never reported
+cte("fx_entities", ["fx_points"], """
+SELECT DISTINCT tenant, device_id FROM fx_points UNION SELECT DISTINCT tenant, 'dev-silent' AS device_id FROM fx_points""")
+
+
+def _quiet_res(spark, sf):
+    res = _res(spark, sf)
+    quiet = res.where((F.col("device_id") == "dev-0") & (F.col("resource_type") == "cpu"))
+    return res.unionByName(quiet.withColumn("device_id", F.lit("dev-quiet")))
+
+
+def _quiet_app(spark, sf):
+    app = _app(spark, sf)
+    return app.unionByName(app.where(F.col("device_id") == "dev-0").withColumn("device_id", F.lit("dev-quiet")))
+
+
+def _entities(spark, sf):
+    seen = fx_points(spark, sf).select(*K).distinct()
+    return seen.unionByName(seen.select("tenant", F.lit("dev-silent").alias("device_id")).distinct())
+
+
 _P10 = f"""
 WITH n AS (
   SELECT tenant, device_id,
@@ -283,12 +313,12 @@ def q_p10a(spark, sf):
     return CL.adaptive_lookback(_app(spark, sf), _res(spark, sf), NOW)[0]
 
 
-@register("p10_adaptive_res", sql_with(["app_metrics", "resource_metrics"], _P10 + f"""
-SELECT r.* FROM resource_metrics r JOIN c USING (tenant, device_id)
-WHERE r.time > {NOW_SQL} - to_minutes(CAST(c.rm AS BIGINT)) AND r.time <= {NOW_SQL}"""), ["value"])
+@register("p10_adaptive_res", sql_with(["app_metrics", "p10_res"], _P10 + f"""
+SELECT r.* FROM p10_res r LEFT JOIN c ON r.tenant = c.tenant AND r.device_id = c.device_id
+WHERE r.time > {NOW_SQL} - to_minutes(CAST(coalesce(c.rm, 30) AS BIGINT)) AND r.time <= {NOW_SQL}"""), ["value"])
 def q_p10r(spark, sf):
     """P10: adaptive lookback, resource rows (follow the app window; 30 min when none qualifies)."""
-    return CL.adaptive_lookback(_app(spark, sf), _res(spark, sf), NOW)[1]
+    return CL.adaptive_lookback(_app(spark, sf), _quiet_res(spark, sf), NOW)[1]
 
 
 # ============================================================== sources
@@ -503,14 +533,18 @@ def q_a12(spark, sf):
     return AG.training_gate(_app(spark, sf), _res(spark, sf))
 
 
-@register("a13_input_gate", sql_with(["app_metrics", "resource_metrics"], _gate_sql + """
-SELECT tenant, device_id, app_rows, n_apps, n_metrics, res_rows,
-       app_rows >= 20 AND n_apps >= 1 AND n_metrics >= 2 AND res_rows >= 10 AND len(missing) = 0
-       AND app_values > 0 AND res_values > 0 AS input_ok
-FROM j"""))
+@register("a13_input_gate", sql_with(["gate_app", "p10_res"], """
+WITH a AS (SELECT tenant, device_id, count(*) AS app_rows, count(DISTINCT application) AS n_apps,
+                  count(DISTINCT metric_type) AS n_metrics FROM gate_app GROUP BY tenant, device_id),
+r AS (SELECT tenant, device_id, count(*) AS res_rows FROM p10_res GROUP BY tenant, device_id)
+SELECT tenant, device_id, coalesce(app_rows, 0) AS app_rows, coalesce(n_apps, 0) AS n_apps,
+       coalesce(n_metrics, 0) AS n_metrics, coalesce(res_rows, 0) AS res_rows,
+       coalesce(app_rows, 0) >= 20 AND coalesce(n_apps, 0) >= 1 AND coalesce(n_metrics, 0) >= 2
+       AND coalesce(res_rows, 0) >= 10 AS input_ok
+FROM a FULL JOIN r USING (tenant, device_id)"""))
 def q_a13(spark, sf):
-    """Processing input gate per entity."""
-    return AG.input_gate(_app(spark, sf), _res(spark, sf))
+    """Processing input gate per entity (one entity reports cpu alone)."""
+    return AG.input_gate(_quiet_app(spark, sf), _quiet_res(spark, sf))
 
 
 @register("a13_impact_gate", sql_with(["impacts"], """
@@ -724,46 +758,48 @@ def q_m12(spark, sf):
 
 
 # ============================================================== health
-@register("w8_latest_resources", sql_with(["canon_res"], f"""
-SELECT tenant, device_id,
-  {', '.join(f"coalesce(arg_max(value, time) FILTER (WHERE resource_type = '{r}'), 0.0) AS {r}_percent" for r in RES3)}
-FROM canon_res WHERE time > {NOW_SQL} - INTERVAL 5 minute AND time <= {NOW_SQL}
-GROUP BY tenant, device_id"""), [f"{r}_percent" for r in RES3])
+cte("w8", ["canon_res", "fx_entities"], f"""
+SELECT e.tenant, e.device_id,
+  {', '.join(f"coalesce(arg_max(c.value, c.time) FILTER (WHERE c.resource_type = '{r}'), 0.0) AS {r}_percent" for r in RES3)}
+FROM fx_entities e LEFT JOIN canon_res c ON c.tenant = e.tenant AND c.device_id = e.device_id
+  AND c.time > {NOW_SQL} - INTERVAL 5 minute AND c.time <= {NOW_SQL}
+GROUP BY e.tenant, e.device_id""")
+
+
+@register("w8_latest_resources", sql_with(["w8"], "SELECT * FROM w8"), [f"{r}_percent" for r in RES3])
 def q_w8(spark, sf):
-    """Latest cpu / mem / disk in the last 5 minutes."""
-    return HE.latest_resources(_res(spark, sf), NOW)
-
-
-@register("h1_resource_status", sql_with(["canon_res"], f"""
-WITH l AS (SELECT tenant, device_id,
-  {', '.join(f"coalesce(arg_max(value, time) FILTER (WHERE resource_type = '{r}'), 0.0) AS {r}_percent" for r in RES3)}
-  FROM canon_res WHERE time > {NOW_SQL} - INTERVAL 5 minute AND time <= {NOW_SQL} GROUP BY tenant, device_id),
-o AS (SELECT *, concat_ws(',', CASE WHEN cpu_percent > 80 THEN 'cpu' END, CASE WHEN mem_percent > 80 THEN 'mem' END,
-                          CASE WHEN disk_percent > 85 THEN 'disk' END) AS over_limit FROM l)
-SELECT *, CASE WHEN over_limit <> '' THEN 'warning' ELSE 'healthy' END AS status FROM o"""),
-          [f"{r}_percent" for r in RES3])
+    """Latest cpu / mem / disk in the last 5 minutes, zeros for a silent entity."""
+    return HE.latest_resources(_res(spark, sf), NOW, entities=_entities(spark, sf))
+
+
+cte("h1", ["w8"], """
+WITH o AS (SELECT *, concat_ws(',', CASE WHEN cpu_percent > 80 THEN 'cpu' END, CASE WHEN mem_percent > 80 THEN 'mem' END,
+                          CASE WHEN disk_percent > 85 THEN 'disk' END) AS over_limit FROM w8)
+SELECT *, CASE WHEN over_limit <> '' THEN 'warning' ELSE 'healthy' END AS status FROM o""")
+
+
+@register("h1_resource_status", sql_with(["h1"], "SELECT * FROM h1"), [f"{r}_percent" for r in RES3])
 def q_h1(spark, sf):
     """H1: resource status from the latest values."""
-    return HE.resource_status(HE.latest_resources(_res(spark, sf), NOW))
+    return HE.resource_status(HE.latest_resources(_res(spark, sf), NOW, entities=_entities(spark, sf)))
 
 
 _h2_sql = f"""
-WITH a AS (SELECT tenant, device_id, count(*) AS app_rows FROM app_metrics WHERE time > {NOW_SQL} - INTERVAL 60 minute
-           GROUP BY tenant, device_id),
-r AS (SELECT tenant, device_id, count(*) AS res_rows FROM resource_metrics WHERE time > {NOW_SQL} - INTERVAL 60 minute
-      GROUP BY tenant, device_id),
-j AS (SELECT coalesce(a.tenant, r.tenant) AS tenant, coalesce(a.device_id, r.device_id) AS device_id,
-             coalesce(app_rows, 0) AS app_rows, coalesce(res_rows, 0) AS res_rows
-      FROM a FULL JOIN r ON a.tenant = r.tenant AND a.device_id = r.device_id)
+WITH a AS (SELECT tenant, device_id, count(*) AS app_rows FROM app_metrics
+           WHERE time > {NOW_SQL} - INTERVAL 60 minute AND time <= {NOW_SQL} GROUP BY tenant, device_id),
+r AS (SELECT tenant, device_id, count(*) AS res_rows FROM resource_metrics
+      WHERE time > {NOW_SQL} - INTERVAL 60 minute AND time <= {NOW_SQL} GROUP BY tenant, device_id),
+j AS (SELECT tenant, device_id, coalesce(app_rows, 0) AS app_rows, coalesce(res_rows, 0) AS res_rows
+      FROM fx_entities LEFT JOIN a USING (tenant, device_id) LEFT JOIN r USING (tenant, device_id))
 SELECT *, CASE WHEN app_rows < 10 AND res_rows < 10 THEN 'critical'
                WHEN app_rows < 10 OR res_rows < 10 THEN 'warning' ELSE 'healthy' END AS status FROM j"""
-cte("h2", ["app_metrics", "resource_metrics"], _h2_sql)
+cte("h2", ["app_metrics", "resource_metrics", "fx_entities"], _h2_sql)
 
 
 @register("h2_collection_status", sql_with(["h2"], "SELECT * FROM h2"))
 def q_h2(spark, sf):
     """H2: data collection status over the last hour."""
-    return HE.collection_status(_app(spark, sf), _res(spark, sf), NOW)
+    return HE.collection_status(_app(spark, sf), _res(spark, sf), NOW, entities=_entities(spark, sf))
 
 
 cte("t2", ["fx_model_performance"], """
@@ -780,46 +816,49 @@ def q_t2(spark, sf):
     return HE.recent_models(TB.fx_model_performance(spark, sf)).withColumn("rank", F.col("rank").cast("long"))
 
 
-cte("h3", ["t2"], f"""
+cte("h3", ["t2", "fx_entities"], f"""
 WITH g AS (
   SELECT tenant, device_id, count(*) AS model_count, max(trained_at) AS latest_training,
          array_to_string(list_sort(list(application || '-' || resource_type)
                                    FILTER (WHERE r2_score < 0.5 OR mae > 20)), ', ') AS poor_models,
          count(*) FILTER (WHERE r2_score < 0.5 OR mae > 20) AS n_poor
   FROM t2 GROUP BY tenant, device_id)
-SELECT tenant, device_id, model_count, latest_training,
-       CAST(epoch_us({NOW_SQL}) - epoch_us(latest_training) AS DOUBLE) / 3600000000.0 AS age_hours, n_poor,
+SELECT tenant, device_id, coalesce(model_count, 0) AS model_count, latest_training,
+       CAST(epoch_us({NOW_SQL}) - epoch_us(latest_training) AS DOUBLE) / 3600000000.0 AS age_hours, coalesce(n_poor, 0) AS n_poor,
        coalesce(poor_models, '') AS poor_models,
-       CASE WHEN CAST(epoch_us({NOW_SQL}) - epoch_us(latest_training) AS DOUBLE) / 3600000000.0 > 168 OR n_poor > 0
+       CASE WHEN model_count IS NULL OR CAST(epoch_us({NOW_SQL}) - epoch_us(latest_training) AS DOUBLE) / 3600000000.0 > 168 OR n_poor > 0
             THEN 'warning' ELSE 'healthy' END AS status
-FROM g""")
+FROM fx_entities LEFT JOIN g USING (tenant, device_id)""")
 
 
 @register("h3_model_status", sql_with(["h3"], "SELECT * FROM h3"), ["age_hours"])
 def q_h3(spark, sf):
     """H3: model age and poor-model list per entity."""
-    return HE.model_status(TB.fx_model_performance(spark, sf), NOW)
+    return HE.model_status(TB.fx_model_performance(spark, sf), NOW, entities=_entities(spark, sf))
 
 
-cte("h4", ["pred_actual"], f"""
-WITH e AS (SELECT DISTINCT tenant, device_id FROM pred_actual),
-r AS (SELECT tenant, device_id, max(prediction_time) AS latest_prediction, count(*) AS prediction_count,
-             avg(error) AS avg_error FROM pred_actual WHERE prediction_time > {NOW_SQL} - INTERVAL 120 minute
-      GROUP BY tenant, device_id)
+cte("h4", ["pred_actual", "fx_entities"], f"""
+WITH r AS (SELECT tenant, device_id, max(prediction_time) AS latest_prediction, count(*) AS prediction_count,
+             avg(error) AS avg_error FROM pred_actual
+      WHERE prediction_time > {NOW_SQL} - INTERVAL 120 minute AND prediction_time <= {NOW_SQL} GROUP BY tenant, device_id)
 SELECT e.tenant, e.device_id, r.latest_prediction, coalesce(r.prediction_count, 0) AS prediction_count, r.avg_error,
        CASE WHEN r.latest_prediction IS NULL THEN 'warning'
             WHEN coalesce(r.prediction_count, 0) < 1.0 OR coalesce(r.avg_error, 0.0) > 15 THEN 'warning'
             ELSE 'healthy' END AS status
-FROM e LEFT JOIN r USING (tenant, device_id)""")
+FROM fx_entities e LEFT JOIN r USING (tenant, device_id)""")
 
 
 @register("h4_prediction_status", sql_with(["h4"], "SELECT * FROM h4"), ["avg_error"])
 def q_h4(spark, sf):
     """H4: forecast status over the last 2 hours."""
-    return HE.prediction_status(_pred_actual(spark, sf), NOW)
+    return HE.prediction_status(_pred_actual(spark, sf), NOW, entities=_entities(spark, sf))
 
 
-cte("a21", ["fx_jobs"], f"""
+cte("a21", ["fx_jobs", "fx_entities"], f"""
+SELECT tenant, device_id, coalesce(jobs, 0) AS jobs, coalesce(success_pct, 0.0) AS success_pct,
+       coalesce(avg_duration_s, 0.0) AS avg_duration_s, coalesce(failure_rate, 0.0) AS failure_rate,
+       coalesce(status, 'critical') AS status
+FROM fx_entities LEFT JOIN (
 SELECT tenant, device_id, count(*) AS jobs,
        avg(CASE WHEN status = 'completed' THEN 1.0 ELSE 0.0 END) * 100.0 AS success_pct,
        avg(CAST(epoch_us(end_time) - epoch_us(start_time) AS DOUBLE) / 1000000.0) AS avg_duration_s,
@@ -827,28 +866,36 @@ SELECT tenant, device_id, count(*) AS jobs,
        CASE WHEN avg(CASE WHEN status = 'completed' THEN 1.0 ELSE 0.0 END) * 100.0 > 80 THEN 'healthy'
             WHEN avg(CASE WHEN status = 'completed' THEN 1.0 ELSE 0.0 END) * 100.0 > 50 THEN 'warning'
             ELSE 'critical' END AS status
-FROM fx_jobs WHERE start_time >= {NOW_SQL} - INTERVAL 24 hour GROUP BY tenant, device_id""")
+FROM fx_jobs WHERE start_time >= {NOW_SQL} - INTERVAL 24 hour GROUP BY tenant, device_id) USING (tenant, device_id)""")
 
 
 @register("a21_job_stats", sql_with(["a21"], "SELECT * FROM a21"), ["success_pct", "avg_duration_s", "failure_rate"])
 def q_a21(spark, sf):
     """Job statistics per entity over 24 h."""
-    return HE.job_stats(TB.fx_jobs(spark, sf), NOW)
+    return HE.job_stats(TB.fx_jobs(spark, sf), NOW, entities=_entities(spark, sf))
 
 
-cte("h5", ["a21"], """
-SELECT tenant, device_id, jobs, failure_rate, avg_duration_s,
-       CASE WHEN failure_rate > 0.3 OR avg_duration_s > 300 THEN 'warning' ELSE 'healthy' END AS status FROM a21""")
+cte("h5", ["fx_jobs", "fx_entities"], f"""
+WITH t AS (SELECT tenant, device_id, job_type, count(*) AS jobs,
+                  avg(CASE WHEN status = 'completed' THEN 1.0 ELSE 0.0 END) * 100.0 AS success_pct,
+                  avg(CAST(epoch_us(end_time) - epoch_us(start_time) AS DOUBLE) / 1000000.0) AS avg_duration_s
+           FROM fx_jobs WHERE start_time >= {NOW_SQL} - INTERVAL 24 hour GROUP BY tenant, device_id, job_type),
+g AS (SELECT tenant, device_id, CAST(sum(jobs) AS BIGINT) AS jobs,
+             count(*) FILTER (WHERE success_pct < 70.0 OR avg_duration_s > 300) AS bad_types,
+             min(success_pct) AS worst_success_pct, max(avg_duration_s) AS slowest_type_s FROM t GROUP BY tenant, device_id)
+SELECT tenant, device_id, coalesce(jobs, 0) AS jobs, coalesce(bad_types, 0) AS bad_types, worst_success_pct, slowest_type_s,
+       CASE WHEN coalesce(bad_types, 0) > 0 THEN 'warning' ELSE 'healthy' END AS status
+FROM fx_entities LEFT JOIN g USING (tenant, device_id)""")
 
 
-@register("h5_job_status", sql_with(["h5"], "SELECT * FROM h5"), ["failure_rate", "avg_duration_s"])
+@register("h5_job_status", sql_with(["h5"], "SELECT * FROM h5"), ["worst_success_pct", "slowest_type_s"])
 def q_h5(spark, sf):
-    """H5: job status (failure rate > 30 % or mean duration > 300 s -> warning)."""
-    return HE.job_status(TB.fx_jobs(spark, sf), NOW)
+    """H5: job status (a job type under 70 % success or over 300 s on average -> warning)."""
+    return HE.job_status(TB.fx_jobs(spark, sf), NOW, entities=_entities(spark, sf))
 
 
-@register("h6_overall_status", sql_with(["h2", "h3", "h4", "h5"], """
-WITH u AS (SELECT tenant, device_id, status FROM h2 UNION ALL SELECT tenant, device_id, status FROM h3
+@register("h6_overall_status", sql_with(["h1", "h2", "h3", "h4", "h5"], """
+WITH u AS (SELECT tenant, device_id, status FROM h1 UNION ALL SELECT tenant, device_id, status FROM h2 UNION ALL SELECT tenant, device_id, status FROM h3
            UNION ALL SELECT tenant, device_id, status FROM h4 UNION ALL SELECT tenant, device_id, status FROM h5)
 SELECT tenant, device_id, count(*) AS components,
        ['healthy', 'warning', 'critical'][max(CASE WHEN status = 'critical' THEN 2 WHEN status = 'warning' THEN 1
@@ -856,17 +903,19 @@ SELECT tenant, device_id, count(*) AS components,
 FROM u GROUP BY tenant, device_id"""))
 def q_h6(spark, sf):
     """H6: worst component status per entity."""
+    ents = _entities(spark, sf)
     return HE.overall_status({
-        "collection": HE.collection_status(_app(spark, sf), _res(spark, sf), NOW),
-        "model": HE.model_status(TB.fx_model_performance(spark, sf), NOW),
-        "prediction": HE.prediction_status(_pred_actual(spark, sf), NOW),
-        "jobs": HE.job_status(TB.fx_jobs(spark, sf), NOW)})
+        "system": HE.resource_status(HE.latest_resources(_res(spark, sf), NOW, entities=ents)),
+        "collection": HE.collection_status(_app(spark, sf), _res(spark, sf), NOW, entities=ents),
+        "model": HE.model_status(TB.fx_model_performance(spark, sf), NOW, entities=ents),
+        "prediction": HE.prediction_status(_pred_actual(spark, sf), NOW, entities=ents),
+        "jobs": HE.job_status(TB.fx_jobs(spark, sf), NOW, entities=ents)})
 
 
 @register("h7_entity_summary", sql_with(["fx_points"], f"""
 WITH d AS (SELECT DISTINCT tenant, device_id FROM fx_points
            WHERE origin = 'server_data' AND ts >= {NOW_SQL} - INTERVAL 7 day AND ts < {NOW_SQL})
-SELECT tenant, count(DISTINCT device_id) AS devices, array_to_string(list_sort(list(DISTINCT device_id)), ',') AS device_ids
+SELECT tenant, count(DISTINCT device_id) AS devices, min(device_id) AS first_device, max(device_id) AS last_device
 FROM d GROUP BY tenant"""))
 def q_h7(spark, sf):
     """H7: devices per tenant."""

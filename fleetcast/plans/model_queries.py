@@ -1,21 +1,25 @@
 """Registered model queries.
 
-Fits are checked by rows and schema only (no SQL twin); the data steps
-around them (J6, M1, M3) have DuckDB twins.
+The data steps have plain DuckDB twins.  Of the fits SQL can say which keys
+they must cover, in what encoding, on how many rows, what always saying the
+mean would cost, and where defaults stand in; these columns are compared.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators import accuracy as ACC
 from ..operators import aggregate as AG
 from ..operators import alerts as AL
+from ..operators import joins as JN
 from ..operators import models as MD
 from ..operators.features import app_training_set, feature_table, system_training_set
 from ..session import ensure_checkpoint_dir
+from ..sources import tables as TB
 from ..sources.fixtures import fx_points
 from . import impact as IP
 from .catalog import EVENT_TYPES, NOW, NOW_SQL
@@ -23,7 +27,6 @@ from .oracle import cte, sql_with
 from .registry import _app, _res, register
 
 K = ["tenant", "device_id"]
-NOW_DT = _dt.datetime.fromisoformat(NOW)
 
 # The expected model inputs used to exercise the alignment rules
 # (windowed names of every fixture metric, calendar, and keyword-only names).
@@ -47,13 +50,15 @@ FROM (SELECT tenant, device_id, application, metric_type, avg(value) AS value FR
 GROUP BY tenant, device_id, application""")
 
 
+# Where each expected input must come from, written out: the fixture metrics have no windowed columns, so their
+# windowed names take the metric itself; 2024-01-01 04:00 is a Monday.
+ALIGN_SOURCES = ({f"{m}_{s}_{w}min": m for m in EVENT_TYPES for s in ("mean", "std", "max", "min") for w in (5, 15, 30, 60)}
+                 | {"hour": 4.0, "day_of_week": 0.0, "is_weekend": 0.0, "click": "click", "click_rate": "click",
+                    "heap_used_bytes": 1000000000.0, "gc_count": 1000.0, "thread_count": 50.0, "process_cpu": 30.0, "other_metric": 0.0})
+
+
 def _align_sql() -> str:
-    cols = EVENT_TYPES
-    parts = []
-    for name in ALIGN_EXPECTED:
-        kind, src = MD.resolve_feature(name, cols, NOW_DT)
-        e = f"CAST({src} AS DOUBLE)" if kind == "col" else f"CAST({float(src)!r} AS DOUBLE)"
-        parts.append(f"coalesce({e}, 0.0) AS \"{name}\"")
+    parts = [f"coalesce(CAST({src} AS DOUBLE), 0.0) AS \"{name}\"" for name, src in ALIGN_SOURCES.items()]
     return f"SELECT tenant, device_id, application, {', '.join(parts)} FROM profile_wide"
 
 
@@ -108,61 +113,159 @@ def _sys_train(spark, sf):
     return system_training_set(IP.impact_table(fx_points(spark, sf)), _res(spark, sf))
 
 
-_FITS: dict = {}
+# the feature names of W2 and the calendar for the fixture metrics
+IMPACT_FEATURES = [f"{m}_{s}_{w}min" for m in EVENT_TYPES for s in ("mean", "std", "max", "min") for w in (5, 15, 30, 60)] + MD.CALENDAR
 
 
 def _fit(spark, sf, kind: str, cv_splits: int = 5):
-    """Fit once per (session, data set, kind): several queries score the same models."""
-    key = (spark.sparkContext.applicationId, sf, kind, cv_splits)
-    if key not in _FITS:
-        if kind == "system":
-            _FITS[key] = MD.fit_system_models(_sys_train(spark, sf))
-        else:
-            _FITS[key] = MD.fit_impact_models(_app_train(spark, sf), "random_forest", cv_splits=cv_splits)
-    return _FITS[key]
-
-
-@register("m4_impact_models")
+    if kind == "system":
+        return MD.fit_system_models(_sys_train(spark, sf))
+    return MD.fit_impact_models(_app_train(spark, sf), IMPACT_FEATURES, cv_splits=cv_splits)
+
+
+# the rows the fits see, in SQL: what they must report about keys and labels
+cte("impact_rows", ["app_train"], """
+SELECT DISTINCT tenant, device_id, application, time, resource_type, label FROM app_train WHERE label IS NOT NULL""")
+cte("system_rows", ["sys_train"], """
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY tenant, device_id ORDER BY time) AS i,
+                  count(*) OVER (PARTITION BY tenant, device_id) AS n FROM sys_train)
+SELECT tenant, device_id, time, i <= floor(n * 0.8) AS is_train, resource_type, label
+FROM (SELECT *, unnest(['cpu', 'mem', 'disk']) AS resource_type, unnest([cpu, mem, disk]) AS label FROM r)
+WHERE label IS NOT NULL""")
+
+
+@register("m4_impact_encoding", sql_with(["impact_rows"], """
+SELECT tenant, device_id, application, resource_type, count(*) AS n_rows, avg(label) AS label_mean,
+       stddev_pop(label) AS label_std
+FROM impact_rows GROUP BY tenant, device_id, application, resource_type"""), ["label_mean", "label_std"])
+def q_m4e(spark, sf):
+    """M4: the target encoding of the impact models."""
+    w = MD.wide(_app_train(spark, sf), [*K, "application", "time", "resource_type", "label"], IMPACT_FEATURES)
+    return MD.label_stats(w, MD.IMPACT_KEYS)
+
+
+@register("m4_impact_models", sql_with(["impact_rows"], """
+SELECT tenant, device_id, application, resource_type, count(*) AS n_rows, 5 AS folds, true AS as_good_as_mean
+FROM impact_rows GROUP BY tenant, device_id, application, resource_type"""))
 def q_m4(spark, sf):
-    """M4: impact forest per resource with 5 expanding folds (metrics rows)."""
-    return MD.model_performance_rows(_fit(spark, sf, "impact"), NOW)
-
-
-@register("m5_system_models")
+    """M4: impact forest with 5 expanding folds; per key its rows, its folds, and whether it is no worse than the key's mean."""
+    m = _fit(spark, sf, "impact").metrics
+    return m.select(*MD.IMPACT_KEYS, "n_rows", "folds", (F.col("mae") <= F.col("mean_mae") + F.lit(1e-6)).alias("as_good_as_mean"))
+
+
+@register("m5_system_encoding", sql_with(["system_rows"], """
+SELECT tenant, device_id, resource_type, count(*) AS n_rows, avg(label) AS label_mean, stddev_pop(label) AS label_std
+FROM system_rows WHERE is_train GROUP BY tenant, device_id, resource_type"""), ["label_mean", "label_std"])
+def q_m5e(spark, sf):
+    """M5: the target encoding of the system models (training rows of the chronological split)."""
+    return MD.label_stats(MD.system_rows(_sys_train(spark, sf)).where("is_train"), MD.SYSTEM_KEYS)
+
+
+@register("m5_system_models", sql_with(["system_rows"], """
+WITH m AS (SELECT tenant, device_id, resource_type, count(*) AS n_rows, avg(label) AS label_mean
+           FROM system_rows WHERE is_train GROUP BY tenant, device_id, resource_type)
+SELECT s.tenant, s.device_id, s.resource_type, any_value(m.n_rows) AS n_rows, avg(abs(s.label - m.label_mean)) AS mean_mae,
+       true AS has_error
+FROM system_rows s JOIN m USING (tenant, device_id, resource_type) WHERE NOT s.is_train
+GROUP BY s.tenant, s.device_id, s.resource_type"""), ["mean_mae"])
 def q_m5(spark, sf):
-    """M5: utilisation boosting per resource with a chronological hold-out (metrics)."""
-    return _fit(spark, sf, "system").metrics
+    """M5: utilisation boosting with a chronological hold-out: rows and mean-predictor error per key beside the model's own."""
+    m = _fit(spark, sf, "system").metrics
+    return m.select(*MD.SYSTEM_KEYS, "n_rows", "mean_mae", (F.col("mae") >= 0).alias("has_error"))
 
 
-@register("m6_model_performance_rows")
+@register("m6_model_performance_rows", sql_with(["system_rows", "impact_rows"], f"""
+SELECT DISTINCT tenant, device_id, application, resource_type, 'random_forest' AS model_type, {NOW_SQL} AS trained_at, true AS scored
+FROM impact_rows
+UNION ALL
+SELECT DISTINCT tenant, device_id, 'system', resource_type, 'gradient_boosting', {NOW_SQL}, true FROM system_rows WHERE is_train"""))
 def q_m6(spark, sf):
-    """M6: model-performance table rows for the system models."""
-    return MD.model_performance_rows(_fit(spark, sf, "system"), NOW)
-
-
-@register("m7_predict_impacts")
+    """M6: both kinds of models appended to a model-performance table and read back."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    for kind in ("impact", "system"):
+        TB.append_table(MD.model_performance_rows(_fit(spark, sf, kind, 2), NOW), root, "model_performance", partition_by=["tenant"])
+    t = TB.read_table(spark, root, "model_performance")
+    return t.select(*K, "application", "resource_type", "model_type", "trained_at", F.col("mae").isNotNull().alias("scored"))
+
+
+@register("m7_predict_impacts", sql_with(["profile_wide", "impact_rows"], """
+WITH k AS (SELECT DISTINCT tenant, device_id, application, resource_type FROM impact_rows),
+p AS (SELECT tenant, device_id, application FROM profile_wide
+      UNION ALL SELECT DISTINCT tenant, device_id, 'app-new' FROM profile_wide)
+SELECT p.tenant, p.device_id, p.application, r.resource_type, k.tenant IS NOT NULL AS trained,
+       CASE WHEN k.tenant IS NULL THEN 0.5 END AS default_score
+FROM p CROSS JOIN (SELECT unnest(['cpu', 'mem', 'disk']) AS resource_type) r
+LEFT JOIN k ON k.tenant = p.tenant AND k.device_id = p.device_id AND k.application = p.application
+  AND k.resource_type = r.resource_type"""), ["default_score"])
 def q_m7(spark, sf):
-    """M7: impact per application and resource from the latest profile (0.5 without a model)."""
-    return MD.predict_impacts(_fit(spark, sf, "impact"), _profile(spark, sf), NOW)
+    """M7: which profiles are scored by a model and which get 0.5 (each entity has an application never trained)."""
+    fm = _fit(spark, sf, "impact", 1)
+    prof = _profile(spark, sf)
+    new = prof.dropDuplicates(K).withColumn("application", F.lit("app-new"))
+    got = MD.predict_impacts(fm, prof.unionByName(new), NOW).join(
+        fm.metrics.select(*MD.IMPACT_KEYS, F.lit(True).alias("_t")), MD.IMPACT_KEYS, "left")
+    trained = F.coalesce("_t", F.lit(False))
+    return got.select(*MD.IMPACT_KEYS, trained.alias("trained"), F.when(~trained, F.col("impact_score")).alias("default_score"))
 
 
-def _forecast(spark, sf, fm):
-    scores = IP.impact_score_table(fx_points(spark, sf))
-    grid = AL.forecast_grid(_res(spark, sf), NOW, 24)
-    return MD.forecast(fm, AG.serving_impact_stats(scores), grid)
+def _chain(spark, sf, system):
+    """M7 -> A7 -> M10: the impact models feed the system models."""
+    impacts = MD.predict_impacts(_fit(spark, sf, "impact", 1), _profile(spark, sf), NOW)
+    return MD.forecast(system, AG.serving_impact_stats(impacts), AL.forecast_grid(_res(spark, sf), NOW, 24))
 
 
-@register("m10_forecast")
-def q_m10(spark, sf):
-    """24 h utilisation forecast on the grid from the system models."""
-    return _forecast(spark, sf, _fit(spark, sf, "system"))
+cte("chain_grid", ["profile_wide", "canon_res"], f"""
+SELECT p.tenant, p.device_id, CAST(i AS INTEGER) AS step_index, {NOW_SQL} + to_minutes(CAST(30 * i AS BIGINT)) AS target_time, resource_type
+FROM (SELECT DISTINCT tenant, device_id FROM profile_wide SEMI JOIN canon_res USING (tenant, device_id)) p,
+     (SELECT unnest(generate_series(1, 48)) AS i), (SELECT unnest(['cpu', 'mem', 'disk']) AS resource_type)""")
 
 
-@register("m11_save_load_forecast")
+@register("m10_forecast", sql_with(["chain_grid"], """
+SELECT tenant, device_id, target_time, resource_type, true AS in_range FROM chain_grid"""))
+def q_m10(spark, sf):
+    """24 h forecast through the chain M7 -> A7 -> M10: every grid point, with a utilisation near 0..100."""
+    f = _chain(spark, sf, _fit(spark, sf, "system"))
+    return f.select(*K, "target_time", "resource_type", F.col("predicted_value").between(-50.0, 150.0).alias("in_range"))
+
+
+@register("m10_forecast_alerts")
+def q_m10a(spark, sf):
+    """The chain to its end: M10's forecast becomes prediction rows (S6), crossings (W7) and alert rows."""
+    f = _chain(spark, sf, _fit(spark, sf, "system"))
+    limits = TB.thresholds(spark).withColumn("threshold", F.col("threshold") - F.lit(40.0))
+    return TB.to_alert_rows(AL.threshold_crossings(f, limits), NOW)
+
+
+@register("m6_accuracy_rows", sql_with(["pred_actual"], f"""
+WITH a AS (SELECT * FROM pred_actual WHERE actual_value IS NOT NULL),
+m AS (SELECT tenant, device_id, resource_type, avg(actual_value) AS mean FROM a GROUP BY ALL),
+r AS (SELECT a.*, m.mean FROM a JOIN m USING (tenant, device_id, resource_type) WHERE a.prediction_time >= {NOW_SQL} - INTERVAL 24 hour)
+SELECT tenant, device_id, 'system' AS application, resource_type, 'system_performance' AS model_type, avg(error) AS mae,
+       sqrt(avg(error * error)) AS rmse,
+       1.0 - sum(error * error) / nullif(sum((actual_value - mean) * (actual_value - mean)), 0) AS r2_score,
+       CAST(NULL AS VARCHAR) AS feature_importance, {NOW_SQL} AS trained_at, '20240101040000_perf' AS version
+FROM r GROUP BY tenant, device_id, resource_type"""), ["mae", "rmse", "r2_score"])
+def q_m6a(spark, sf):
+    """A16's accuracy as rows of the model-performance table."""
+    pred = JN.attach_actuals(TB.fx_predictions(spark, sf), _res(spark, sf), NOW)
+    return MD.accuracy_rows(ACC.prediction_performance(pred, NOW), NOW)
+
+
+@register("m11_save_load_forecast", sql_with(["scores", "canon_res"], f"""
+SELECT p.tenant, p.device_id, {NOW_SQL} + to_minutes(CAST(30 * i AS BIGINT)) AS target_time, resource_type, true AS same,
+       'dev-0' AS loaded_for, '_generic' AS loaded_else
+FROM (SELECT DISTINCT tenant, device_id FROM scores) p,
+     (SELECT unnest(generate_series(1, 48)) AS i), (SELECT unnest(['cpu', 'mem', 'disk']) AS resource_type)"""))
 def q_m11(spark, sf):
-    """Save the system models, load them back (device first, then generic), forecast."""
+    """A device's model and the generic one, both stored; each is found where it should be and forecasts alike."""
     fm = _fit(spark, sf, "system")
-    root = os.path.join(ensure_checkpoint_dir(spark), "models", spark.sparkContext.applicationId)
+    root = os.path.join(ensure_checkpoint_dir(spark), "models", uuid.uuid4().hex)
     MD.save_models(fm, root)
-    loaded = MD.load_models(root, fm.kind, fm.features, device="dev-0")
-    return _forecast(spark, sf, loaded).withColumn("model_loaded", F.lit(loaded.model is not None))
+    MD.save_models(fm, root, "t-0", "dev-0")
+    mine, at = MD.load_models(spark, root, fm.kind, "t-0", "dev-0")
+    _, other = MD.load_models(spark, root, fm.kind, "t-1", "dev-1")
+    key = [*K, "target_time", "resource_type"]
+    grid, stats = AL.forecast_grid(_res(spark, sf), NOW, 24), AG.serving_impact_stats(IP.impact_score_table(fx_points(spark, sf)))
+    a, b = MD.forecast(fm, stats, grid), MD.forecast(mine, stats, grid).withColumnRenamed("predicted_value", "again").drop("step_index")
+    return a.join(b, key).select(*key, (F.abs(F.col("predicted_value") - F.col("again")) < 1e-9).alias("same"),
+                                 F.lit(os.path.basename(at)).alias("loaded_for"), F.lit(os.path.basename(other)).alias("loaded_else"))

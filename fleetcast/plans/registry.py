@@ -61,7 +61,6 @@ def register(name: str, sql: str | None = None, doubles: list[str] | None = None
         run.__name__ = name
         run.__qualname__ = f"query.{name}"
         run.__doc__ = fn.__doc__
-        run = memo_plan(run)
         QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = rounded(sql, doubles or [])

@@ -79,7 +79,7 @@ def stream_alerts(stream: DataFrame, limits: DataFrame) -> DataFrame:
     r = _server(stream).where((F.col("location") == RESOURCE_LOCATION) & pick)
     util = F.when(F.col("gateway") == "cpu", F.lit(100.0) - F.col("value")).otherwise(F.col("value"))
     r = r.select(*K, "ts", F.col("gateway").alias("resource_type"), util.alias("value"))
-    return r.join(F.broadcast(limits), "resource_type").where(F.col("value") > F.col("threshold"))
+    return r.join(limits, "resource_type").where(F.col("value") > F.col("threshold"))
 
 
 def stream_resource_minutes(stream: DataFrame, every: str = "1 minute", delay: str = "10 minutes") -> DataFrame:

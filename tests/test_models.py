@@ -1,11 +1,13 @@
-"""Model queries have no SQL twin: they must run and keep their schema (rows-only check)."""
+"""Model fits: a planted signal, defaults for untrained keys, save and load, alignment rules."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.01"
-MODEL_QUERIES = sorted(set(E.queries()) - set(E.oracle_sql()))
+# the training-data queries have tests of their own
+MODEL_QUERIES = sorted(n for n in set(E.queries()) - set(E.oracle_sql()) if not n.startswith(("op", "pipeline")))
 
 
 @pytest.mark.parametrize("name", MODEL_QUERIES)
@@ -16,6 +18,33 @@ def test_model_query_runs(spark, name):
     assert len(df.columns) >= 3
 
 
+def test_fit_finds_a_planted_signal_and_defaults_stand_in(spark, tmp_path):
+    from fleetcast.operators import models as MD
+    from fleetcast.operators.aggregate import STAT_COLUMNS
+    rows = [("t", f"d{d}", f"2024-01-01 {h:02d}:{m:02d}:00", *[float(10 * d + h)] * 12, float(h), 0.0, 0.0, 30.0 * d + 2 * h, 50.0 + h, None)
+            for d in range(3) for h in range(20) for m in range(0, 60, 10)]
+    cols = ["tenant string", "device_id string", "time string"] + [f"{c} double" for c in STAT_COLUMNS] + [
+        f"{c} double" for c in ("hour", "day_of_week", "is_weekend", "cpu", "mem", "disk")]
+    train = spark.createDataFrame(rows, ", ".join(cols)).withColumn("time", F.col("time").cast("timestamp"))
+    fm = MD.fit_system_models(train)
+    met = {(r.device_id, r.resource_type): r for r in fm.metrics.collect()}
+    assert set(met) == {(f"d{d}", r) for d in range(3) for r in ("cpu", "mem")}
+    assert all(r.mae < 0.6 * r.mean_mae for r in met.values())
+    seen = train.limit(1).select("tenant", "device_id", *STAT_COLUMNS)
+    stats = seen.unionByName(seen.withColumn("device_id", F.lit("never")))
+    grid = stats.select("tenant", "device_id", F.lit(0).alias("step_index"), F.lit("2024-01-02 05:00:00").cast("timestamp").alias("target_time"))
+    got = {(r.device_id, r.resource_type): r.predicted_value for r in MD.forecast(fm, stats, grid).collect()}
+    device = seen.first().device_id
+    assert got["never", "cpu"] == 50.0 and got[device, "disk"] == 50.0 and got[device, "cpu"] != 50.0
+    MD.save_models(fm, str(tmp_path), "t", device)
+    again, at = MD.load_models(spark, str(tmp_path), fm.kind, "t", device)
+    assert at.endswith(f"t/{device}") and again.features == fm.features
+    assert {(r.device_id, r.resource_type): r.predicted_value for r in MD.forecast(again, stats, grid).collect()} == got
+    none, at = MD.load_models(spark, str(tmp_path), fm.kind, "other", device)
+    assert at is None and none.model is None
+    assert {r.predicted_value for r in MD.forecast(none, stats, grid).collect()} == {50.0}
+
+
 def test_alignment_rules():
     import datetime as dt
 

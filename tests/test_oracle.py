@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = os.environ.get("FLEETCAST_TEST_SF", "/root/testdata/sf0.001")
-TABLES = ["events"]
+TABLES = ["events", "documents", "embeddings", "conversations"]
 
 
 def _norm(v):

@@ -84,11 +84,6 @@ def parse_period(text: str) -> _dt.timedelta:
     return _dt.timedelta(days=n if unit == "d" else 7 * n)
 
 
-def minutes_between(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """Whole minutes from ``a`` to ``b`` (both minute aligned)."""
-    return ((F.unix_micros(_c(b)) - F.unix_micros(_c(a))) / F.lit(60_000_000)).cast("long")
-
-
 def hours_between(a: ColumnOrName, b: ColumnOrName) -> Column:
     return (F.unix_micros(_c(b)) - F.unix_micros(_c(a))) / F.lit(3_600_000_000.0)
 

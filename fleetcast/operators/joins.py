@@ -42,14 +42,6 @@ def common_times(a: DataFrame, b: DataFrame, min_common: int = 5, ts: str = "tim
     return out.where((F.col("common_start") <= F.col("common_end")) & (F.col("n_common") >= min_common))
 
 
-def common_rows(a: DataFrame, b: DataFrame, keys: Sequence[str], min_common: int = 10,
-                ts: str = "time") -> DataFrame:
-    """Inner join of two wide tables on (keys, time), kept only where the key has >= ``min_common`` times."""
-    j = a.join(b, list(keys) + [ts])
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return j.withColumn("_n", n).where(F.col("_n") >= min_common).drop("_n")
-
-
 # J2 ------------------------------------------------------------------------
 def expand_scores(scores: DataFrame, common: DataFrame, keys: Sequence[str] = K) -> DataFrame:
     """Repeat each constant score at every common minute of its entity.
@@ -69,21 +61,24 @@ def attach_actuals(pred: DataFrame, res: DataFrame, now, lookback_hours: int = 2
     Due: actual still null, ``target_time <= now``, whole-minute target, made
     within ``lookback_hours``.  The actual is the row of the same entity,
     resource, mapped measurement and exact minute (deduplicated first).  The
-    result is the new version of the whole prediction table.
+    result is the new version of the whole prediction table: only due rows
+    meet the resource table, and of that only the minutes that due rows can
+    ask for (a forecast is made before its target, so not before the
+    look-back); all other rows pass by without a shuffle.
     """
     now_c = _now(now)
-    due = (F.col("actual_value").isNull() & (F.col("target_time") <= now_c)
-           & (F.second("target_time") == 0)
-           & (F.col("prediction_time") >= now_c - F.make_dt_interval(F.lit(0), F.lit(lookback_hours))))
+    since = now_c - F.make_dt_interval(F.lit(0), F.lit(lookback_hours))
+    due = F.coalesce(F.col("actual_value").isNull() & (F.col("target_time") <= now_c) & (F.second("target_time") == 0)
+                     & (F.col("prediction_time") >= since) & (F.col("target_time") >= since), F.lit(False))
     measurement = F.when(F.col("resource_type") == "cpu", "usage_user").otherwise("used_percent")
-    act = (res.groupBy(*K, "resource_type", "measurement", F.col("time").alias("target_time"))
+    act = (res.where((F.col("time") >= since) & (F.col("time") <= now_c))
+           .groupBy(*K, "resource_type", F.col("measurement").alias("_m"), F.col("time").alias("target_time"))
            .agg(F.min("value").alias("_actual")))
-    p = pred.withColumn("_due", due).withColumn("_m", measurement)
-    j = p.join(act.withColumnRenamed("measurement", "_m"), K + ["resource_type", "_m", "target_time"], "left")
-    hit = F.col("_due") & F.col("_actual").isNotNull()
-    out = j.withColumn("actual_value", F.when(hit, F.col("_actual")).otherwise(F.col("actual_value"))) \
-           .withColumn("error", F.when(hit, F.abs(F.col("predicted_value") - F.col("_actual"))).otherwise(F.col("error")))
-    return out.select(*pred.columns)
+    j = pred.where(due).withColumn("_m", measurement).join(act, K + ["resource_type", "_m", "target_time"], "left")
+    hit = F.col("_actual").isNotNull()
+    done = j.withColumn("actual_value", F.when(hit, F.col("_actual")).otherwise(F.col("actual_value"))) \
+            .withColumn("error", F.when(hit, F.abs(F.col("predicted_value") - F.col("_actual"))).otherwise(F.col("error")))
+    return done.select(*pred.columns).unionByName(pred.where(~due))
 
 
 # J4 ------------------------------------------------------------------------

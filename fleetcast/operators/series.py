@@ -20,10 +20,6 @@ DEFAULT_WINDOWS = [5, 15, 30, 60]
 DEFAULT_STATS = ["mean", "std", "max", "min"]
 
 
-def _minute_index(ts: str, step_minutes: int = 1):
-    return (F.unix_micros(F.col(ts)) / F.lit(step_minutes * MINUTE_US)).cast("long")
-
-
 # W3 ------------------------------------------------------------------------
 def grid_bounds(df: DataFrame, ts: str = "time", keys: Sequence[str] = K) -> DataFrame:
     """Global first/last time per entity (the grid spans the entity's whole set)."""

@@ -277,8 +277,8 @@ cte("fx_entities", ["fx_points"], """
 SELECT DISTINCT tenant, device_id FROM fx_points UNION SELECT DISTINCT tenant, 'dev-silent' AS device_id FROM fx_points""")
 
 
-def _quiet_res(spark, sf):
-    res = _res(spark, sf)
+def _quiet_res(spark, sf, minutes=None):
+    res = _res(spark, sf) if minutes is None else _recent_res(spark, sf, minutes)
     quiet = res.where((F.col("device_id") == "dev-0") & (F.col("resource_type") == "cpu"))
     return res.unionByName(quiet.withColumn("device_id", F.lit("dev-quiet")))
 
@@ -288,6 +288,14 @@ def _quiet_app(spark, sf):
     return app.unionByName(app.where(F.col("device_id") == "dev-0").withColumn("device_id", F.lit("dev-quiet")))
 
 
+def _recent_res(spark, sf, minutes):
+    return PT.resource_metrics(PT.recent_points(fx_points(spark, sf), NOW, minutes))
+
+
+def _recent_app(spark, sf, minutes):
+    return PT.app_metrics(PT.recent_points(fx_points(spark, sf), NOW, minutes))
+
+
 def _entities(spark, sf):
     seen = fx_points(spark, sf).select(*K).distinct()
     return seen.unionByName(seen.select("tenant", F.lit("dev-silent").alias("device_id")).distinct())
@@ -310,7 +318,7 @@ SELECT a.* FROM app_metrics a JOIN c USING (tenant, device_id)
 WHERE a.time > {NOW_SQL} - to_minutes(CAST(c.am AS BIGINT)) AND a.time <= {NOW_SQL}"""), ["value"])
 def q_p10a(spark, sf):
     """P10: adaptive lookback, application rows."""
-    return CL.adaptive_lookback(_app(spark, sf), _res(spark, sf), NOW)[0]
+    return CL.adaptive_lookback(_recent_app(spark, sf, 360), _recent_res(spark, sf, 360), NOW)[0]
 
 
 @register("p10_adaptive_res", sql_with(["app_metrics", "p10_res"], _P10 + f"""
@@ -318,7 +326,7 @@ SELECT r.* FROM p10_res r LEFT JOIN c ON r.tenant = c.tenant AND r.device_id = c
 WHERE r.time > {NOW_SQL} - to_minutes(CAST(coalesce(c.rm, 30) AS BIGINT)) AND r.time <= {NOW_SQL}"""), ["value"])
 def q_p10r(spark, sf):
     """P10: adaptive lookback, resource rows (follow the app window; 30 min when none qualifies)."""
-    return CL.adaptive_lookback(_app(spark, sf), _quiet_res(spark, sf), NOW)[1]
+    return CL.adaptive_lookback(_recent_app(spark, sf, 360), _quiet_res(spark, sf, 360), NOW)[1]
 
 
 # ============================================================== sources
@@ -481,7 +489,7 @@ FROM app_metrics WHERE time > {NOW_SQL} - INTERVAL 30 minute AND time <= {NOW_SQ
 GROUP BY tenant, device_id, application, metric_type"""), ["value"])
 def q_a8(spark, sf):
     """Mean per application metric over the last 30 minutes."""
-    return AG.latest_profile(_app(spark, sf), NOW, 30)
+    return AG.latest_profile(_recent_app(spark, sf, 30), NOW, 30)
 
 
 @register("a9_last_profile", sql_with(["app_metrics"], """
@@ -769,7 +777,7 @@ GROUP BY e.tenant, e.device_id""")
 @register("w8_latest_resources", sql_with(["w8"], "SELECT * FROM w8"), [f"{r}_percent" for r in RES3])
 def q_w8(spark, sf):
     """Latest cpu / mem / disk in the last 5 minutes, zeros for a silent entity."""
-    return HE.latest_resources(_res(spark, sf), NOW, entities=_entities(spark, sf))
+    return HE.latest_resources(_recent_res(spark, sf, 5), NOW, entities=_entities(spark, sf))
 
 
 cte("h1", ["w8"], """
@@ -781,7 +789,7 @@ SELECT *, CASE WHEN over_limit <> '' THEN 'warning' ELSE 'healthy' END AS status
 @register("h1_resource_status", sql_with(["h1"], "SELECT * FROM h1"), [f"{r}_percent" for r in RES3])
 def q_h1(spark, sf):
     """H1: resource status from the latest values."""
-    return HE.resource_status(HE.latest_resources(_res(spark, sf), NOW, entities=_entities(spark, sf)))
+    return HE.resource_status(HE.latest_resources(_recent_res(spark, sf, 5), NOW, entities=_entities(spark, sf)))
 
 
 _h2_sql = f"""
@@ -799,7 +807,7 @@ cte("h2", ["app_metrics", "resource_metrics", "fx_entities"], _h2_sql)
 @register("h2_collection_status", sql_with(["h2"], "SELECT * FROM h2"))
 def q_h2(spark, sf):
     """H2: data collection status over the last hour."""
-    return HE.collection_status(_app(spark, sf), _res(spark, sf), NOW, entities=_entities(spark, sf))
+    return HE.collection_status(_recent_app(spark, sf, 60), _recent_res(spark, sf, 60), NOW, entities=_entities(spark, sf))
 
 
 cte("t2", ["fx_model_performance"], """
@@ -905,8 +913,8 @@ def q_h6(spark, sf):
     """H6: worst component status per entity."""
     ents = _entities(spark, sf)
     return HE.overall_status({
-        "system": HE.resource_status(HE.latest_resources(_res(spark, sf), NOW, entities=ents)),
-        "collection": HE.collection_status(_app(spark, sf), _res(spark, sf), NOW, entities=ents),
+        "system": HE.resource_status(HE.latest_resources(_recent_res(spark, sf, 5), NOW, entities=ents)),
+        "collection": HE.collection_status(_recent_app(spark, sf, 60), _recent_res(spark, sf, 60), NOW, entities=ents),
         "model": HE.model_status(TB.fx_model_performance(spark, sf), NOW, entities=ents),
         "prediction": HE.prediction_status(_pred_actual(spark, sf), NOW, entities=ents),
         "jobs": HE.job_status(TB.fx_jobs(spark, sf), NOW, entities=ents)})
@@ -1145,22 +1153,29 @@ def q_m14(spark, sf):
     return IP.baseline_table(fx_points(spark, sf))
 
 
-@register("s8_snapshot_freshness", sql_with(["impacts"], f"""
-SELECT tenant, device_id, count(*) AS n_rows, count(DISTINCT application) AS n_application,
-       count(DISTINCT resource_type) AS n_resource_type, min(impact_score) AS min_value,
-       max(impact_score) AS max_value, avg(impact_score) AS mean_value, {NOW_SQL} AS created_at, true AS is_fresh
-FROM impacts GROUP BY tenant, device_id"""), ["min_value", "max_value", "mean_value"])
+@register("s8_snapshot_reuse", sql_with(["impacts"], f"""
+WITH p AS (SELECT count(*) AS n_rows, count(DISTINCT application) AS n_application, count(DISTINCT resource_type) AS n_resource_type
+           FROM impacts)
+SELECT asked_at, created_at, reused, n_rows, n_application, n_resource_type
+FROM p, (VALUES ({NOW_SQL}, {NOW_SQL}, false), ({NOW_SQL} + INTERVAL 1 hour, {NOW_SQL}, true),
+                ({NOW_SQL} + INTERVAL 7 hour, {NOW_SQL} + INTERVAL 7 hour, false)) v(asked_at, created_at, reused)"""))
 def q_s8s(spark, sf):
-    """Write the impacts snapshot, profile it, and judge freshness one hour later (TTL 6 h)."""
+    """A snapshot is written, found fresh one hour later and reused, and rebuilt after seven (TTL 6 h)."""
     import os
     import uuid
 
     from ..session import ensure_checkpoint_dir
-    path = os.path.join(ensure_checkpoint_dir(spark), "snapshots", f"impacts-{uuid.uuid4().hex[:8]}")
-    snap = TB.materialize(IP.impact_table(fx_points(spark, sf)), path, partition_by=["tenant"])
-    prof = TB.profile(snap, K, ["application", "resource_type"], "impact_score").withColumn(
-        "created_at", T.ts_lit(NOW))
-    return TB.is_fresh(prof, "2024-01-01 05:00:00", 6.0)
+    path = os.path.join(ensure_checkpoint_dir(spark), "snapshots", f"impacts-{uuid.uuid4().hex}")
+    out = None
+    for asked in (NOW, "2024-01-01 05:00:00", "2024-01-01 11:00:00"):
+        snap = TB.snapshot(spark, path, lambda: IP.impact_table(fx_points(spark, sf)), asked, ["application", "resource_type"], 6.0,
+                           partition_by=["tenant"])
+        row = snap.rows.agg(F.count(F.lit(1)).alias("n_seen")).select(
+            T.ts_lit(asked).alias("asked_at"), F.lit(snap.meta["created_at"]).cast("timestamp").alias("created_at"),
+            F.lit(snap.reused).alias("reused"), F.col("n_seen").alias("n_rows"),
+            *[F.lit(snap.meta[c]).cast("long").alias(c) for c in ("n_application", "n_resource_type")])
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @register("s9_table_roundtrip", sql_with(["fx_predictions"], "SELECT * FROM fx_predictions"),

@@ -8,6 +8,7 @@ window is emitted once ``max(event time) - delay`` has passed its end.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from ..sources import tables as TB
 from ..sources.fixtures import fx_points_stream
@@ -56,8 +57,11 @@ def q_r2(spark, sf):
 @register("r3_stream_dedup", sql_with(["fx_points"], """
 SELECT DISTINCT tenant, device_id, location, gateway, measurement, field, ts FROM fx_points"""))
 def q_r3(spark, sf):
-    """Duplicate removal on (series, ts) within the watermark."""
-    out = J.run_available(spark, J.stream_dedup(fx_points_stream(spark, sf)), "r3")
+    """Duplicate removal on (series, ts) within the watermark; points of every seventh minute arrive twice."""
+    src = fx_points_stream(spark, sf)
+    again = F.when(F.minute("ts") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    twice = src.withColumn("arrival", F.explode(again)).drop("arrival")
+    out = J.run_available(spark, J.stream_dedup(twice), "r3")
     return out.select("tenant", "device_id", "location", "gateway", "measurement", "field", "ts")
 
 
@@ -90,10 +94,27 @@ def q_r5(spark, sf):
     return J.run_available(spark, J.stream_attach_actuals(minutes, TB.fx_predictions(spark, sf)), "r5")
 
 
-@register("r6_stream_silence", sql_with(["st_src", "st_wm"], """
+# one device stops after two hours, one pauses for two hours and returns
+cte("st_src6", ["st_src"], """
+SELECT * FROM st_src
+UNION ALL SELECT * REPLACE ('dev-quiet' AS device_id) FROM st_src
+          WHERE device_id = 'dev-0' AND ts < TIMESTAMP '2024-01-01 02:00:00'
+UNION ALL SELECT * REPLACE ('dev-back' AS device_id) FROM st_src
+          WHERE device_id = 'dev-0' AND (ts < TIMESTAMP '2024-01-01 01:00:00' OR ts >= TIMESTAMP '2024-01-01 03:00:00')""")
+
+
+def _stop_and_pause(stream):
+    own = F.col("device_id") == "dev-0"
+    at = lambda h: F.lit(f"2024-01-01 0{h}:00:00").cast("timestamp")
+    quiet = F.when(own & (F.col("ts") < at(2)), "dev-quiet")
+    back = F.when(own & ((F.col("ts") < at(1)) | (F.col("ts") >= at(3))), "dev-back")
+    return stream.withColumn("device_id", F.explode(F.filter(F.array("device_id", quiet, back), lambda d: d.isNotNull())))
+
+
+@register("r6_stream_silence", sql_with(["st_src6", "st_wm"], """
 SELECT tenant, device_id, max(ts) AS last_seen, max(ts) + INTERVAL 60 minute AS silent_at
-FROM st_src GROUP BY tenant, device_id
+FROM st_src6 GROUP BY tenant, device_id
 HAVING max(ts) + INTERVAL 60 minute < (SELECT wm FROM st_wm)"""))
 def q_r6(spark, sf):
     """Entities silent for an hour of event time (stateful, event-time timeout)."""
-    return J.run_available(spark, J.stream_silence(fx_points_stream(spark, sf)), "r6")
+    return J.run_available(spark, J.stream_silence(_stop_and_pause(fx_points_stream(spark, sf))), "r6")

@@ -9,6 +9,7 @@ metric, one host resource metric), giving the ``points`` schema.
 from __future__ import annotations
 
 import os
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,28 +22,25 @@ COMPRESSION = 180
 NOW = "2024-01-01 04:00:00"
 TENANTS = 2
 APPS = 3
-RESOURCE_GATEWAYS = ["cpu", "mem", "disk"]
 
-DEFAULT_SF_DIR = os.environ.get("FLEETCAST_SF_DIR", "/root/testdata/sf0.01")
 
-
-_PLANS: dict = {}
+# plans by session; an entry goes with its session
+_PLANS: WeakKeyDictionary[SparkSession, dict] = WeakKeyDictionary()
 
 
 def memo_plan(fn):
-    """Build a derived DataFrame once per (session, directory, arguments).
+    """Build a base view once per (session, directory, arguments).
 
-    DataFrames are immutable logical plans, so handing the same object out
-    again only skips re-analysis on the driver; every action re-reads the
-    files.  Keyed by the JVM session so a new session never sees stale plans.
+    Only the logical plan over the files is kept, as a view would keep it:
+    every action reads and computes anew.  The list of files is the one found
+    first, so a directory whose files change needs a new session.
     """
     def wrapper(spark: SparkSession, sf_dir: str, *args, **kw):
-        key = (fn.__module__, fn.__qualname__, id(spark._jsparkSession), spark.sparkContext.applicationId,
-               sf_dir, args, tuple(sorted(kw.items())))
-        df = _PLANS.get(key)
-        if df is None:
-            df = _PLANS[key] = fn(spark, sf_dir, *args, **kw)
-        return df
+        plans = _PLANS.setdefault(spark, {})
+        key = (fn.__module__, fn.__qualname__, sf_dir, args, tuple(sorted(kw.items())))
+        if key not in plans:
+            plans[key] = fn(spark, sf_dir, *args, **kw)
+        return plans[key]
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
     wrapper.__wrapped__ = fn
@@ -113,7 +111,3 @@ def points_from(ev: DataFrame) -> DataFrame:
         F.inline(F.array(app_row, res_row)),
     ).select("ts", "origin", "tenant", "device_id", "location", "gateway", "measurement",
              F.lit("value").alias("field"), "value")
-
-
-def now_lit() -> Column:
-    return F.to_timestamp(F.lit(NOW))

@@ -78,6 +78,15 @@ def _ts(v):
     return ts_lit(v) if isinstance(v, (str, _dt.datetime)) else v
 
 
+def recent_points(points: DataFrame, now, minutes: int, origin: str = ORIGIN) -> DataFrame:
+    """The points of ``[now - minutes, now)``: what a look-back over minute rows (end labels) is made of.
+
+    Look-backs cut the points, not the minute rows, so that the range reaches
+    the files and the date folders.  ``now`` should be a whole minute.
+    """
+    return scan_points(points, start=_ts(now) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes)), stop=now, origin=origin)
+
+
 def app_metrics(points: DataFrame, every: str = "1 minute", label: str = "end") -> DataFrame:
     """S2 + A1 + A2: per-minute mean per application metric.
 
@@ -117,7 +126,7 @@ def resource_metrics(points: DataFrame, every: str = "1 minute", label: str = "e
 def discover_entities(points: DataFrame, now, days: int, origin: str = ORIGIN) -> DataFrame:
     """Distinct (tenant, device_id) seen in the last ``days``; null/empty ids dropped."""
     lo = _ts(now) - F.make_dt_interval(F.lit(days))
-    return (points.where((F.col("origin") == origin) & (F.col("ts") >= lo) & (F.col("ts") < _ts(now))
-                         & F.col("tenant").isNotNull() & (F.col("tenant") != "")
-                         & F.col("device_id").isNotNull() & (F.col("device_id") != ""))
+    return (scan_points(points, start=lo, stop=now, origin=origin)
+            .where(F.col("tenant").isNotNull() & (F.col("tenant") != "")
+                   & F.col("device_id").isNotNull() & (F.col("device_id") != ""))
             .select(*K).dropDuplicates())

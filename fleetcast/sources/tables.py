@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -207,6 +210,45 @@ def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.parquet(path)
 
 
+@dataclass
+class Snapshot:
+    """A stored table with what was written about it, and whether it was there already."""
+    rows: DataFrame
+    meta: dict
+    reused: bool
+
+
+def snapshot(spark: SparkSession, path: str, build: Callable[[], DataFrame], now, counts: list[str], ttl_hours: float = 6.0,
+             partition_by: list[str] | None = None) -> Snapshot:
+    """The newest snapshot under ``path`` if it is younger than the TTL, else a new one from ``build``.
+
+    Each snapshot has a folder of its own; beside them a metadata table holds
+    one row a snapshot (creation time, folder, rows, distinct counts).  The
+    metadata row is written last, so a half-written snapshot is never used.
+    """
+    meta_path = f"{path}/metadata"
+    p = spark._jvm.org.apache.hadoop.fs.Path(meta_path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        meta = spark.read.parquet(meta_path).withColumn("age_ok", F.unix_micros(_ts_of(now)) - F.unix_micros("created_at") < int(ttl_hours * 3.6e9))
+        last = meta.where("age_ok").orderBy(F.desc("created_at")).limit(1).select(
+            "*", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_text")).collect()
+        if last:
+            m = last[0].asDict()
+            return Snapshot(spark.read.parquet(m["folder"]), m | {"created_at": m["created_text"]}, True)
+    folder = f"{path}/rows-{uuid.uuid4().hex}"
+    rows = materialize(build(), folder, partition_by)
+    found = rows.agg(F.count(F.lit(1)).alias("n_rows"), *[F.countDistinct(c).alias(f"n_{c}") for c in counts])
+    found.select(_ts_of(now).alias("created_at"), F.lit(folder).alias("folder"), "*").coalesce(1).write.mode("append").parquet(meta_path)
+    m = (spark.read.parquet(meta_path).where(F.col("folder") == folder)
+         .select("*", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_text")).first().asDict())
+    return Snapshot(rows, m | {"created_at": m["created_text"]}, False)
+
+
+def _ts_of(v):
+    from ..functions.time import ts_lit
+    return ts_lit(v) if isinstance(v, (str, _dt.datetime)) else v
+
+
 def is_fresh(meta: DataFrame, now, ttl_hours: float = 6.0, created: str = "created_at") -> DataFrame:
     """Flag snapshot metadata rows younger than the TTL."""
     from ..functions.time import ts_lit

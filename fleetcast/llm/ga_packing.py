@@ -193,7 +193,7 @@ def _epoch(capacity: int, epoch: int, seed: int):
     return run
 
 
-def _seed_genomes(seeds) -> list[bytes] | None:
+def _seed_genomes(seeds):
     return None if seeds is None or any(s < 0 for s in seeds) else [tidy(np.asarray(seeds, np.int64)).tobytes()]
 
 

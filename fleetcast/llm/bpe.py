@@ -39,7 +39,6 @@ class PieceCoder:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.names = [str(i) for i in range(1 + max(ranks.values()))]
         self.cache: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
 
     def units(self, text: str) -> list[str]:
         parts = text.split(" ")
@@ -71,13 +70,13 @@ class PieceCoder:
 
     def encode_piece(self, piece: str) -> list[int]:
         """Ids of one match of the pattern."""
-        got = self.pieces.get(piece)
+        got = self.cache.get(piece)  # a match by itself is a unit as well
         if got is None:
             got = self.encoding.encode_ordinary(piece)
             if len(piece) <= 32:
-                if len(self.pieces) >= self.LIMIT:
-                    self.pieces.clear()
-                self.pieces[piece] = got
+                if len(self.cache) >= self.LIMIT:
+                    self.cache.clear()
+                self.cache[piece] = got
         return got
 
     def decode(self, ids: list[int]) -> bytes:

@@ -48,7 +48,7 @@ def words_of(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """word -> 64-bit hash; emptied when full, so a worker's memory is bounded."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -60,6 +60,10 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: One cache of a worker for all operators.
+WORDS = WordHashes()
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """The finishing steps of a 64-bit mixer (wrap-around arithmetic)."""
     h = h ^ (h >> np.uint64(33))
@@ -155,24 +159,57 @@ def tile(scratch: Scratch, entries: DataFrame, key: str, node: str, comp: str, s
 TILE = ["tile_kind", "tile_i", "tile_j"]
 
 
-def groups_of(batches, key: list[str]):
-    """The rows of each key from partitions sorted by it; a key may run over several Arrow batches."""
+def slices(batches, n: int):
+    """Frames of at most ``n`` rows: what a worker holds beside the Arrow batch stays small."""
+    for pdf in batches:
+        for a in range(0, len(pdf), n):
+            yield pdf.iloc[a : a + n]
+
+
+def whole_keys(batches, key: list[str]):
+    """(frame, group number of each row) with whole keys only, from partitions sorted by the key."""
     rest = None
     for pdf in batches:
-        if rest is not None:
-            pdf = pd.concat([rest, pdf], ignore_index=True)
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
         if not len(pdf):
             continue
-        change = np.zeros(len(pdf), bool)
-        for k in key:
-            v = pdf[k].to_numpy()
-            change[1:] |= v[1:] != v[:-1]
-        starts = np.r_[0, np.flatnonzero(change)]
+        number = _numbers(pdf, key)
+        cut = int(np.searchsorted(number, number[-1]))  # the last key may go on in the next batch
+        if cut:
+            yield pdf.iloc[:cut].reset_index(drop=True), number[:cut]
+        rest = pdf.iloc[cut:]
+    if rest is not None and len(rest):
+        yield rest.reset_index(drop=True), np.zeros(len(rest), np.int64)
+
+
+def _numbers(pdf: pd.DataFrame, key: list[str]) -> np.ndarray:
+    change = np.zeros(len(pdf), bool)
+    for k in key:
+        v = pdf[k].to_numpy()
+        change[1:] |= v[1:] != v[:-1]
+    return np.cumsum(change)
+
+
+def groups_of(batches, key: list[str]):
+    """The rows of each key from partitions sorted by it; a key may run over several Arrow batches."""
+    for pdf, number in whole_keys(batches, key):
+        starts = np.r_[0, np.flatnonzero(np.diff(number)) + 1, len(pdf)]
         for a, b in zip(starts[:-1], starts[1:]):
             yield pdf.iloc[a:b]
-        rest = pdf.iloc[starts[-1] :]
-    if rest is not None and len(rest):
-        yield rest
+
+
+def pairs_within(number: np.ndarray):
+    """Pairs of rows of the same group, as index arrays: all at distance 1, then 2, and so on."""
+    i = np.arange(len(number))
+    k = 1
+    while True:
+        i = i[i + k < len(number)]
+        i = i[number[i] == number[i + k]]
+        if not len(i):
+            return
+        for a in range(0, len(i), 500_000):
+            yield i[a : a + 500_000], i[a : a + 500_000] + k
+        k += 1
 
 
 def clear_of(df: DataFrame, name: str) -> str:

@@ -282,7 +282,7 @@ def scorer(spark: SparkSession, fitted: Fitted):
             words = raw.lower().split()
             distinct = set(words)
             styles[i] = style(raw, words, len(distinct))
-            ids.append(word_ids(distinct))
+            ids.append(np.array([k for k in word_ids(distinct).tolist() if k in f.words], np.int64))  # the rest says nothing
         metas = [meta_ids(*m) for m in zip(lang, source, n_chars)]
         pt, pm, p = f.views(f.text_rows(ids, styles), f.meta_rows(metas))
         return pd.DataFrame({"text_score": pt, "meta_score": pm, "score": p, "keep": p >= f.least})

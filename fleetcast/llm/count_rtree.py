@@ -39,7 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import TILE, Scratch, WordHashes, connected_components, groups_of, shingle_hashes, table, tile, words_of
+from .common import (TILE, WORDS, Scratch, connected_components, groups_of, pairs_within, shingle_hashes, slices, table, tile,
+                     whole_keys, words_of)
 
 #: The contract of op9: four words, 85 of 100.
 WIDTH, PERCENT = 4, 85
@@ -47,7 +48,6 @@ WIDTH, PERCENT = 4, 85
 BLOCK, FOLD, BOX, TILE_SIZE = 2048, 64, 32, 1024
 #: Keys by which a document is compared with the most shared one of those that have it too.
 ROUNDS = 3
-_WORDS = WordHashes()
 
 
 def needed(n, percent: int):
@@ -71,7 +71,7 @@ def asked(n, percent: int):
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
-    return shingle_hashes(_WORDS.of(words_of(text)), width)
+    return shingle_hashes(WORDS.of(words_of(text)), width)
 
 
 def fold(h: np.ndarray) -> bytes:
@@ -81,7 +81,7 @@ def fold(h: np.ndarray) -> bytes:
 
 def _sketch(width: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in slices(batches, 1000):
             out = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
                 h = shingles(text, width)
@@ -153,43 +153,61 @@ def _survivors(percent: int, rounds: int):
     return run
 
 
+def _boxed(n: np.ndarray, points: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, partners) of a large branch sorted by set size: boxes first, then the points of the boxes that are left."""
+    starts = np.arange(0, len(n), BOX)
+    upper = np.maximum.reduceat(points, starts, axis=0)
+    largest = np.maximum.reduceat(n, starts)
+    smallest = np.minimum.reduceat(n, starts)
+    for i in range(len(n)):
+        # each pair is found from its smaller set (ties: the earlier one)
+        boxes = (starts + BOX > i + 1) & (smallest * percent <= 100 * n[i])
+        bound = np.minimum(upper, points[i]).sum(1)
+        least = (100 + percent) * bound >= percent * (n[i] + np.minimum(np.maximum(smallest, n[i]), largest))
+        for b in np.flatnonzero(boxes & least).tolist():
+            lo, hi = max(int(starts[b]), i + 1), min(int(starts[b]) + BOX, len(n))
+            if lo < hi:
+                both = np.minimum(points[lo:hi], points[i]).sum(1)
+                yield i, np.flatnonzero((100 + percent) * both >= percent * (n[lo:hi] + n[i])) + lo
+
+
 def _leaf_pairs(percent: int):
-    """Pairs of a branch's points whose summed minima allow a link."""
+    """Pairs of a branch's points whose summed minima allow a link.
+
+    Branches of up to a box are one leaf each; the leaves of a batch are
+    looked at together.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a_out: list[int] = []
-        b_out: list[int] = []
-        for g in groups_of(batches, ["branch", *TILE]):
-            if len(g) < 2:
-                continue
-            n = g["n"].to_numpy()
-            order = np.argsort(n, kind="stable")
-            n, ids, comp, side = n[order], g["doc_id"].to_numpy()[order], g["comp"].to_numpy()[order], g["side"].to_numpy()[order]
-            crossed = bool(g["crossed"].iloc[0])
-            points = np.stack([np.frombuffer(p, "<u2") for p in g["point"]])[order].astype(np.int32)
-            starts = np.arange(0, len(n), BOX)
-            upper = np.maximum.reduceat(points, starts, axis=0)
-            largest = np.maximum.reduceat(n, starts)
-            smallest = np.minimum.reduceat(n, starts)
-            for i in range(len(n)):
-                # each pair is found from its smaller set (ties: the earlier one)
-                boxes = (starts + BOX > i + 1) & (smallest * percent <= 100 * n[i])
-                bound = np.minimum(upper, points[i]).sum(1)
-                least = (100 + percent) * bound >= percent * (n[i] + np.minimum(np.maximum(smallest, n[i]), largest))
-                for b in np.flatnonzero(boxes & least).tolist():
-                    lo, hi = max(int(starts[b]), i + 1), min(int(starts[b]) + BOX, len(n))
-                    if lo >= hi:
-                        continue
-                    both = np.minimum(points[lo:hi], points[i]).sum(1)
-                    ok = ((100 + percent) * both >= percent * (n[lo:hi] + n[i])) & (comp[lo:hi] != comp[i])
-                    if crossed:
-                        ok &= side[lo:hi] != side[i]
-                    js = np.flatnonzero(ok) + lo
-                    a_out += [int(ids[i])] * len(js)
-                    b_out += ids[js].tolist()
-            if len(a_out) > 20_000:
-                yield pd.DataFrame({"a": a_out, "b": b_out})
-                a_out, b_out = [], []
-        yield pd.DataFrame({"a": a_out, "b": b_out}, dtype=np.int64)
+        for g, number in whole_keys(batches, ["branch", *TILE]):
+            ids, n, comp = g["doc_id"].to_numpy(), g["n"].to_numpy(), g["comp"].to_numpy()
+            side, crossed = g["side"].to_numpy(), g["crossed"].to_numpy()
+            raw = np.stack([np.frombuffer(p, "<u2") for p in g["point"]])
+            sizes = np.bincount(number)
+            large = sizes[number] > BOX
+            small = np.flatnonzero(~large)
+            for i, j in pairs_within(number[small]):
+                i, j = small[i], small[j]
+                ok = (comp[i] != comp[j]) & (~crossed[i] | (side[i] != side[j]))
+                ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+                i, j = i[ok], j[ok]
+                for a in range(0, len(i), 50_000):
+                    x, y = i[a : a + 50_000], j[a : a + 50_000]
+                    both = np.minimum(raw[x], raw[y]).sum(1, dtype=np.int64)
+                    ok = (100 + percent) * both >= percent * (n[x] + n[y])
+                    yield pd.DataFrame({"a": ids[x[ok]], "b": ids[y[ok]]})
+            for k in np.flatnonzero(sizes > BOX).tolist():
+                at = np.arange(*np.searchsorted(number, [k, k + 1]))
+                at = at[np.argsort(n[at], kind="stable")]
+                a_out: list[int] = []
+                b_out: list[int] = []
+                for i, js in _boxed(n[at], raw[at].astype(np.int32), percent):
+                    js = js[(comp[at[js]] != comp[at[i]]) & (not crossed[at[i]] or (side[at[js]] != side[at[i]]))]
+                    a_out += [int(ids[at[i]])] * len(js)
+                    b_out += ids[at[js]].tolist()
+                    if len(a_out) > 20_000:
+                        yield pd.DataFrame({"a": a_out, "b": b_out}, dtype=np.int64)
+                        a_out, b_out = [], []
+                yield pd.DataFrame({"a": a_out, "b": b_out}, dtype=np.int64)
     return run
 
 

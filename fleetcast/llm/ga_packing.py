@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import Scratch, table
+from .common import Scratch, slices, table
 
 CAPACITY = 1024
 END_ID = 2
@@ -67,7 +67,7 @@ def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
 def _pieces(capacity: int, end_id: int, vocabulary: str | None, rank_file: str | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = DocumentCoder(vocabulary, rank_file)
-        for pdf in batches:
+        for pdf in slices(batches, 1000):
             out = []
             for key, doc_id, text in zip(pdf["rk"], pdf["doc_id"], pdf["text"]):
                 ids = np.array(c.encode(text) + [end_id], "<u4")

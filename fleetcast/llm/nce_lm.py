@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table, words_of
+from .common import Scratch, slices, table, words_of
 
 CLASSES, DIM = 1024, 16
 START, OTHER, END = 0, 1, 2
@@ -217,7 +217,7 @@ def _score(common, model, classes: int):
         ids, cls, logs = common.value
         p, z = model.value
         a1, a2, q, b = p["R"] @ p["C1"].T, p["R"] @ p["C2"].T, p["Q"], p["b"][:, 0]
-        for pdf in batches:
+        for pdf in slices(batches, 1000):
             out = []
             for key, doc_id, held, text in zip(pdf["rk"], pdf["doc_id"], pdf["held_out"], pdf["text"]):
                 ws = words_of(text)

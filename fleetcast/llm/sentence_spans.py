@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, clear_of, table
+from .common import Scratch, clear_of, slices, table
 
 MIN_SENTENCES, MIN_WORDS = 2, 24
 _SENTENCE = re.compile(r"[^.!?\n。！？]*(?:[.!?\n。！？]+\s*|\Z)")
@@ -56,7 +56,7 @@ def runs(parts: list[str], min_sentences: int, min_words: int) -> tuple[np.ndarr
 
 def _spans(min_sentences: int, min_words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in slices(batches, 500):
             cols: list[list] = [[], [], [], [], []]
             for doc_id, th, text in zip(pdf["doc_id"], pdf["th"], pdf["text"]):
                 a, b, h = runs(sentences(text), min_sentences, min_words)

@@ -118,7 +118,7 @@ def connected_components(scratch: Scratch, edges: DataFrame, label: str, max_rou
     raise RuntimeError("components did not settle")
 
 
-def tile(scratch: Scratch, entries: DataFrame, key: str, node: str, comp: str, size: int, label: str) -> DataFrame:
+def tile(scratch: Scratch, entries: DataFrame, key: str, node: str, comp: str | None, size: int, label: str) -> DataFrame:
     """Deal the entries of every key into tiles of bounded size for pair search.
 
     Adds ``tile_kind``, ``tile_i``, ``tile_j``, ``side`` and ``crossed``.
@@ -127,30 +127,39 @@ def tile(scratch: Scratch, entries: DataFrame, key: str, node: str, comp: str, s
     entries is one tile.  In a larger one, pairs inside its most frequent
     component need no look either, so the rest is cut into parts that meet
     each other and the parts of that component; a key with one large component
-    and few others costs rows in proportion to its size.
+    and few others costs rows in proportion to its size.  Without ``comp``
+    every entry counts as a component, and only the (few) large keys are
+    looked up, all others are tiles as they are.
     """
+    if comp is None:
+        large = scratch.save(entries.groupBy(key).agg(F.count("*").alias("node_n")).where(F.col("node_n") > size), f"{label}-nodes")
+        e = entries.join(large, key, "left").withColumn("node_n", F.coalesce("node_n", F.lit(1)))
+        return _tiles(e, entries.columns, key, node, None, size)
     per = scratch.save(entries.groupBy(key, comp).agg(F.count("*").alias("c")), f"{label}-per")
     nodes = (per.groupBy(key).agg(F.count("*").alias("comps"), F.sum("c").alias("node_n"), F.max("c").alias("node_top"),
                                   F.max_by(comp, F.struct("c", comp)).alias("node_dom"))
              .where("comps > 1").drop("comps"))
     nodes = scratch.save(nodes, f"{label}-nodes")
-    e = entries.join(nodes, key)
+    return _tiles(entries.join(nodes, key), entries.columns, key, node, comp, size)
+
+
+def _tiles(e: DataFrame, columns: list[str], key: str, node: str, comp: str | None, size: int) -> DataFrame:
     small = F.col("node_n") <= size
     parts = lambda c: F.ceil(c / size).cast("int")
-    big = (e.where(~small).withColumn("is_dom", F.col(comp) == F.col("node_dom"))
-           .withColumn("pr", F.greatest(F.lit(1), parts(F.col("node_n") - F.col("node_top"))))
-           .withColumn("pd", parts(F.col("node_top")))
-           .withColumn("own", F.pmod(F.xxhash64(node), F.when(F.col("is_dom"), F.col("pd")).otherwise(F.col("pr"))).cast("int")))
+    big = (e.where(~small).withColumn("tile_dom", F.lit(False) if comp is None else F.col(comp) == F.col("node_dom"))
+           .withColumn("tile_pr", F.greatest(F.lit(1), parts(F.col("node_n") - (0 if comp is None else F.col("node_top")))))
+           .withColumn("tile_pd", F.lit(0) if comp is None else parts(F.col("node_top")))
+           .withColumn("tile_part", F.pmod(F.xxhash64(node), F.when(F.col("tile_dom"), F.col("tile_pd")).otherwise(F.col("tile_pr"))).cast("int")))
     to = lambda c: F.sequence(F.lit(0), c - 1)
     spot = lambda kind, i, j, side, crossed: F.struct(F.lit(kind).alias("tile_kind"), i.alias("tile_i"), j.alias("tile_j"),
                                                       side.cast("int").alias("side"), crossed.alias("crossed"))
-    own, no, yes = F.col("own"), F.lit(0), F.lit(True)
-    spots = F.when(F.col("is_dom"), F.transform(to(F.col("pr")), lambda i: spot(2, i, own, F.lit(1), yes))).otherwise(F.concat(
-        F.transform(to(F.col("pr")), lambda j: spot(1, F.least(own, j), F.greatest(own, j), own > j, own != j)),
-        F.transform(to(F.col("pd")), lambda j: spot(2, own, j, no, yes))))
-    cols = [*entries.columns, "tile_kind", "tile_i", "tile_j", "side", "crossed"]
-    big = big.withColumn("spot", F.explode(spots)).select("*", "spot.*").select(*cols)
-    one = e.where(small).select(*entries.columns, F.lit(0).alias("tile_kind"), no.alias("tile_i"), no.alias("tile_j"),
+    own, no, yes = F.col("tile_part"), F.lit(0), F.lit(True)
+    rest = F.transform(to(F.col("tile_pr")), lambda j: spot(1, F.least(own, j), F.greatest(own, j), own > j, own != j))
+    spots = rest if comp is None else F.when(F.col("tile_dom"), F.transform(to(F.col("tile_pr")), lambda i: spot(2, i, own, F.lit(1), yes))).otherwise(
+        F.concat(rest, F.transform(to(F.col("tile_pd")), lambda j: spot(2, own, j, no, yes))))
+    cols = [*columns, "tile_kind", "tile_i", "tile_j", "side", "crossed"]
+    big = big.withColumn("tile_spot", F.explode(spots)).select("*", "tile_spot.*").select(*cols)
+    one = e.where(small).select(*columns, F.lit(0).alias("tile_kind"), no.alias("tile_i"), no.alias("tile_j"),
                                 no.alias("side"), F.lit(False).alias("crossed"))
     return (one.unionByName(big).repartition(key, "tile_kind", "tile_i", "tile_j")
             .sortWithinPartitions(key, "tile_kind", "tile_i", "tile_j", node))

@@ -246,7 +246,9 @@ def _plain_lines(rows):
     return gone
 
 
-def test_lines_equal_plain_python(spark, documents, scratch):
+@pytest.mark.parametrize("size", [1024, 2])
+def test_lines_equal_plain_python(spark, documents, scratch, monkeypatch, size):
+    monkeypatch.setattr(fuzzy_lines, "TILE_SIZE", size)  # 2: every key of three lines is cut into tiles
     rng = random.Random(5)
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     long_lines = [x for _, t in rows for x in t.split("\n") if len(x) > 200][:20]

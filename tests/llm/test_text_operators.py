@@ -263,6 +263,28 @@ def test_lines_equal_plain_python(spark, documents, scratch, monkeypatch, size):
         assert r.n_removed == len(gone[d, t])
 
 
+def test_changed_lines_are_found_at_every_length(spark, documents, scratch):
+    """Recall against edit similarity alone: no SimHash on the side that checks."""
+    rng = random.Random(9)
+    distinct = sorted({x for r in documents.collect() for x in fuzzy_lines.normalised(r.text or "") if x.isascii()})
+    rng.shuffle(distinct)
+    rows, planted = [], collections.defaultdict(list)
+    for low, high in ((20, 60), (60, 120), (120, 200), (200, 400), (400, 800)):
+        for line in [x for x in distinct if low <= len(x) < high][:60]:
+            for share in (0, 0.02, 0.05):
+                other = bytearray(line)
+                for i in rng.sample([i for i, c in enumerate(line) if c != 32], max(1, int(share * len(line)))):
+                    other[i] = rng.choice([c for c in b"abcdefghijklmnopqrstuvwxyz" if c != other[i]])
+                assert _edits(line, bytes(other)) <= (1 - fuzzy_lines.SIMILARITY) * len(line) if len(line) < 100 else True
+                planted[low, share].append(10_000 + len(rows))
+                rows.append((10_000 + len(rows), bytes(other).decode()))
+            rows.append((len(rows), line.decode()))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {r.doc_id for r in fuzzy_lines.dedup(df, scratch()).collect() if r.lines.n_removed}
+    for key, ids in planted.items():
+        assert len(ids) >= 10 and len(gone.intersection(ids)) >= 0.9 * len(ids), key
+
+
 def test_lines_odd_rows(odd_documents, no_documents, scratch):
     out = fuzzy_lines.dedup(odd_documents, scratch(), name="result")
     got = {r.doc_id: r.result for r in out.collect()}

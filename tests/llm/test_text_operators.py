@@ -285,6 +285,13 @@ def test_changed_lines_are_found_at_every_length(spark, documents, scratch):
         assert len(ids) >= 10 and len(gone.intersection(ids)) >= 0.9 * len(ids), key
 
 
+def test_short_lines_repeat_too(spark, scratch):
+    rows = [(1, "Ok.\nAll rights reserved.\n\n--"), (2, "ok\nall rights reserved\n\n--\nNo 7"), (3, "a\n\nNO 8!"), (4, "b\nA"), (5, "bc")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.lines.text for r in fuzzy_lines.dedup(df, scratch()).collect()}
+    assert got == {1: rows[0][1], 2: "\n--\nNo 7", 3: "a\n", 4: "b", 5: "bc"}
+
+
 def test_lines_odd_rows(odd_documents, no_documents, scratch):
     out = fuzzy_lines.dedup(odd_documents, scratch(), name="result")
     got = {r.doc_id: r.result for r in out.collect()}

@@ -12,7 +12,12 @@ documents leave room for one.  The calibrated views combine as
 independent evidence (log-odds add, the prior counts once), and all documents
 are scored in one pass over their whole texts.
 
-A document is good when its label says quality 1 and not toxic.
+A document is good when its label says quality 1 and not toxic.  Toxic documents
+look like good ones but for some words, so a third model learns them as a class
+of their own, from words without punctuation that say much about toxicity.  Its
+limit comes from both sides of the held rows: half way between what
+``TOXIC_SHARE`` of the toxic ones reach and what ``MILD_SHARE`` of the good ones
+stay under, and the latter where the two overlap.  A kept document passes both.
 
 Bounds (of the fit alone): ``LABELLED`` labelled and ``POOL`` unlabelled rows,
 those with the smallest hashes of ``doc_id``; ``WORDS`` telling words.
@@ -20,6 +25,7 @@ those with the smallest hashes of ``doc_id``; ``WORDS`` telling words.
 Edge cases: a null or empty text has zero ratios and no words; null metadata is
 a value of its own; labels without a document, or with a null in them, are
 passed over, and contradicting labels of a document count as not good; without
+toxic ones among the labels the third model lets all pass; without
 labels of both kinds every score is the share of good labels (1 without any)
 and all documents are kept; an empty table gives no rows; input columns with
 clashing names are kept apart.
@@ -44,8 +50,11 @@ LABELLED, POOL, WORDS = 8000, 8000, 2000
 ROUNDS, SURE, KEEP_SHARE = 3, 0.98, 0.995
 #: Share of the labelled sample kept for calibration (one in so many, by hash).
 HELD_ONE_IN = 4
+#: Share of the held toxic documents to reject, of the held good ones to let pass; chi-squared of a word that counts; weight of the penalty.
+TOXIC_SHARE, MILD_SHARE, TOXIC_WORTH, TOXIC_L2, TOXIC_STEPS = 0.98, 0.99, 15.0, 3e-4, 400
 SPACE = 1 << 20
 _UPPER, _DIGIT = string.ascii_uppercase.encode(), string.digits.encode()
+_PUNCTUATION = string.punctuation.encode()
 _STOPS, _MARKS = b".,;:?'\"()-", bytes(set(string.punctuation.encode()) - set(b".,;:?'\"()-"))
 
 
@@ -65,6 +74,11 @@ def word_ids(words: set[bytes]) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(w) & (SPACE - 1) for w in words), np.int64, len(words)))
 
 
+def bare_ids(raw: bytes) -> np.ndarray:
+    """Of the words without punctuation."""
+    return word_ids(set(raw.lower().translate(None, _PUNCTUATION).split()))
+
+
 def meta_ids(lang, source, n_chars) -> list[int]:
     size = "none" if n_chars is None or n_chars != n_chars else str(int(np.log2(max(1.0, float(n_chars))) * 2))
     return [xxhash.xxh3_64_intdigest(f"{k}={v}") & (SPACE - 1) for k, v in (("lang", lang), ("source", source), ("size", size))]
@@ -77,9 +91,9 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             raw = (r.text or "").encode("utf-8", "surrogatepass")
             words = raw.lower().split()
             distinct = set(words)
-            out.append((r.doc_id, r.good, style(raw, words, len(distinct)), word_ids(distinct).astype("<u4").tobytes(),
-                        meta_ids(r.lang, r.source, r.n_chars)))
-        yield pd.DataFrame(out, columns=["doc_id", "good", "style", "words", "meta"])
+            out.append((r.doc_id, r.good, r.toxic, style(raw, words, len(distinct)), word_ids(distinct).astype("<u4").tobytes(),
+                        bare_ids(raw).astype("<u4").tobytes(), meta_ids(r.lang, r.source, r.n_chars)))
+        yield pd.DataFrame(out, columns=["doc_id", "good", "toxic", "style", "words", "bare", "meta"])
 
 
 # ---------------------------------------------------------------- models
@@ -173,6 +187,10 @@ class Fitted:
     text_fit: tuple[float, float] = (0.0, 0.0)
     meta_fit: tuple[float, float] = (0.0, 0.0)
     n_pseudo: int = 0
+    bare: dict[int, int] = field(default_factory=dict)
+    toxic: Logistic | None = None
+    toxic_fit: tuple[float, float] = (0.0, 0.0)
+    most: float = np.inf
 
     def dense(self, rows: np.ndarray) -> np.ndarray:
         return np.clip((rows - self.mean) / self.scale, -5, 5)
@@ -180,6 +198,12 @@ class Fitted:
     def text_rows(self, ids: list[np.ndarray], styles: np.ndarray) -> Sparse:
         return Sparse.of([np.array([self.words[i] for i in r.tolist() if i in self.words], np.int64) for r in ids], self.dense(styles))
 
+    def toxic_margin(self, ids: list[np.ndarray], styles: np.ndarray) -> np.ndarray:
+        """How toxic texts are; at most ``most`` for a kept one."""
+        if self.toxic is None:
+            return np.full(len(ids), -np.inf)
+        return self.toxic.margin(Sparse.of([np.array([self.bare[i] for i in r.tolist() if i in self.bare], np.int64) for r in ids], self.dense(styles)))
+
     def meta_rows(self, ids: list[list[int]]) -> Sparse:
         return Sparse.of([np.array([self.metas[i] for i in r if i in self.metas], np.int64) for r in ids], np.empty((len(ids), 0)))
 
@@ -189,7 +213,7 @@ class Fitted:
         return sigmoid(lt), sigmoid(lm), sigmoid(lt + lm - logit(self.prior))
 
 
-def telling(rows: list[np.ndarray], y: np.ndarray, most: int) -> dict[int, int]:
+def telling(rows: list[np.ndarray], y: np.ndarray, most: int, least: float = 0.0) -> dict[int, int]:
     """The words whose presence says most about the label (chi-squared; in at least five documents)."""
     all_ids = np.concatenate(rows)
     ids, inverse = np.unique(all_ids, return_inverse=True)
@@ -198,11 +222,11 @@ def telling(rows: list[np.ndarray], y: np.ndarray, most: int) -> dict[int, int]:
     expected = n * y.mean()
     worth = np.where(n >= 5, (n1 - expected) ** 2 / np.maximum(expected * (1 - y.mean()), 1e-9), 0)
     best = np.argsort(-worth, kind="stable")[:most]
-    return {int(ids[i]): k for k, i in enumerate(best) if worth[i] > 0}
+    return {int(ids[i]): k for k, i in enumerate(best) if worth[i] > least}
 
 
 def cotrain(sample: pd.DataFrame, words: int = WORDS, rounds: int = ROUNDS, sure: float = SURE, keep_share: float = KEEP_SHARE) -> Fitted:
-    """Fit both views on rows (doc_id, good or null, style, words, meta)."""
+    """Fit both views on rows (doc_id, good and toxic or null, style, words, bare words, meta)."""
     sample = sample.sort_values("doc_id", kind="stable").reset_index(drop=True)
     good = sample["good"].to_numpy(np.float64)
     known = ~np.isnan(good)
@@ -244,20 +268,38 @@ def cotrain(sample: pd.DataFrame, words: int = WORDS, rounds: int = ROUNDS, sure
     passing, others = np.quantile(score[good[at] > 0.5], 1 - keep_share), np.quantile(score[good[at] <= 0.5], 0.95)
     between = sigmoid((logit(np.clip(passing, 1e-9, 1 - 1e-9)) + logit(np.clip(min(passing, others), 1e-9, 1 - 1e-9))) / 2)
     f.least = float(min(0.5, passing, between))
+    _learn_toxic(f, sample, styles, good, learn, held, words)
     return f
 
 
+def _learn_toxic(f: Fitted, sample: pd.DataFrame, styles: np.ndarray, good: np.ndarray, learn: np.ndarray, held: np.ndarray, words: int) -> None:
+    toxic = sample["toxic"].to_numpy(np.float64)
+    taught, at = np.flatnonzero(learn), np.flatnonzero(held)
+    bad, mild = toxic[at] > 0.5, good[at] > 0.5
+    if not bad.any() or not mild.any() or len(set(toxic[taught])) < 2:
+        return
+    ids = [np.frombuffer(b, "<u4").astype(np.int64) for b in sample["bare"]]
+    f.bare = telling([ids[i] for i in taught], toxic[taught], words, TOXIC_WORTH)
+    x = Sparse.of([np.array([f.bare[i] for i in ids[k].tolist() if i in f.bare], np.int64) for k in taught], f.dense(styles[taught]))
+    f.toxic = Logistic(len(f.bare), N_STYLE, TOXIC_L2, TOXIC_STEPS).fit(x, toxic[taught])
+    margin = f.toxic_margin([ids[i] for i in at], styles[at])
+    f.toxic_fit = platt(margin, toxic[at])
+    caught, passing = np.quantile(margin[bad], 1 - TOXIC_SHARE), np.quantile(margin[mild], MILD_SHARE)
+    f.most = float(max(passing, (passing + caught) / 2))
+
+
 # ---------------------------------------------------------------- Spark
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> Fitted:
     marks = (labels.where("doc_id is not null and quality is not null and toxic is not null")
-             .groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("double").alias("good")))
+             .groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("double").alias("good"),
+                                    F.max(F.col("toxic") != 0).cast("double").alias("toxic")))
     ids = docs.select("doc_id").where("doc_id is not null").distinct()
     by_hash = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     taught = by_hash(ids.join(marks, "doc_id"), labelled)
-    others = by_hash(ids.join(marks, "doc_id", "left_anti"), pool).withColumn("good", F.lit(None).cast("double"))
+    others = by_hash(ids.join(marks, "doc_id", "left_anti"), pool).withColumns({c: F.lit(None).cast("double") for c in ("good", "toxic")})
     wanted = taught.unionByName(others)  # at most labelled + pool rows: a proven bound for a broadcast
     rows = (docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(wanted), "doc_id")
-            .mapInPandas(_features, "doc_id long, good double, style array<double>, words binary, meta array<long>"))
+            .mapInPandas(_features, "doc_id long, good double, toxic double, style array<double>, words binary, bare binary, meta array<long>"))
     sample = rows.toPandas().drop_duplicates("doc_id")
     return cotrain(sample)
 
@@ -276,16 +318,22 @@ def scorer(spark: SparkSession, fitted: Fitted):
         if f.text is None:
             p = np.full(n, f.prior)
             return pd.DataFrame({"text_score": p, "meta_score": p, "score": p, "keep": np.ones(n, bool)})
-        ids, styles = [], np.zeros((n, N_STYLE))
+        ids, bare, styles = [], [], np.zeros((n, N_STYLE))
         for i, t in enumerate(text):
             raw = (t or "").encode("utf-8", "surrogatepass")
             words = raw.lower().split()
             distinct = set(words)
             styles[i] = style(raw, words, len(distinct))
             ids.append(np.array([k for k in word_ids(distinct).tolist() if k in f.words], np.int64))  # the rest says nothing
+            bare.append(np.array([k for k in bare_ids(raw).tolist() if k in f.bare] if f.bare else [], np.int64))
         metas = [meta_ids(*m) for m in zip(lang, source, n_chars)]
         pt, pm, p = f.views(f.text_rows(ids, styles), f.meta_rows(metas))
-        return pd.DataFrame({"text_score": pt, "meta_score": pm, "score": p, "keep": p >= f.least})
+        margin = f.toxic_margin(bare, styles)
+        if f.toxic is not None:
+            good = p * sigmoid(-f.toxic_fit[0] * margin - f.toxic_fit[1])
+        else:
+            good = p
+        return pd.DataFrame({"text_score": pt, "meta_score": pm, "score": good, "keep": (p >= f.least) & (margin <= f.most)})
     return F.pandas_udf(of, SCORES)
 
 

@@ -7,6 +7,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -79,6 +80,18 @@ def test_classifier_on_labels_it_has_not_seen(spark):
     assert fitted.n_pseudo > 0 and fitted.text.w is not None and fitted.meta.w is not None
 
 
+def test_toxic_documents_are_rejected(spark):
+    """Held-out recall on toxic documents, apart from low quality."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    seen = labels.where("pmod(xxhash64(doc_id, 'part'), 3) > 0")
+    rest = labels.where("pmod(xxhash64(doc_id, 'part'), 3) = 0").groupBy("doc_id").agg(
+        F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    rows = cotraining.scored(docs, seen, "result").join(rest, "doc_id").select("result.keep", "quality", "toxic").collect()
+    toxic, junk, good = ([r.keep for r in rows if (r.quality, r.toxic) in kinds] for kinds in ([(1, 1)], [(0, 0), (0, 1)], [(1, 0)]))
+    assert len(toxic) >= 80 and np.mean(toxic) <= 0.1 and np.mean(junk) <= 0.05 and np.mean(good) >= 0.97
+
+
 def test_classifier_odd_rows(spark, odd_documents, no_documents):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (4, 1, 0), (5, 1, 0), (5, 0, 0), (None, 1, 0), (6, None, 0), (77, 1, 1)],
                                    "doc_id long, quality int, toxic int")

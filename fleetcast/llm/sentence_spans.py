@@ -1,17 +1,21 @@
 """Operator 4: substring dedup by sliding runs of sentences.
 
-A run starts at every sentence and takes sentences until it has at least
-``MIN_SENTENCES`` of them and ``MIN_WORDS`` words, so that a passage repeated
-elsewhere is cut into the same runs whatever surrounds it, and chance repeats
-of two-word sentences are no evidence.  All runs are hashed (128 bits) and
-counted over the corpus.  The first occurrence of a run, by ``doc_id``, text
+Sentences of over ``LONG_WORDS`` words are cut into pieces behind commas and
+between some pairs of words, chosen by their hash, so that a passage inside a
+long sentence is cut alike wherever it stands.  A run starts at every sentence
+or piece and takes more until it has at least ``MIN_SENTENCES`` of them and
+``MIN_WORDS`` words; another ends at every one and grows backwards.  So a passage
+repeated elsewhere is cut into the same runs whatever surrounds it, from its
+first whole piece to its last, and chance repeats of two-word sentences are no
+evidence.  All runs are hashed (128 bits) and counted over the corpus.  The first occurrence of a run, by ``doc_id``, text
 hash and place, stays; sentences covered by any other occurrence of a
 repeated run go.
 
 Edge cases: a null text stays null and an empty one empty, with no sentences;
 rows that repeat both ``doc_id`` and text are one document and get the same
 result; a null ``doc_id`` comes first in the order; a text without full stops
-is one sentence a line; a text shorter than a run has no run and is kept; an
+is one sentence a line; one word over and over is not cut, having no place to
+tell from another; ``n_sentences`` and ``n_removed`` count pieces; a text shorter than a run has no run and is kept; an
 empty table gives no rows; extra columns are ignored.
 """
 
@@ -26,30 +30,65 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, clear_of, slices, table
+from .common import Scratch, WordHashes, clear_of, slices, table
 
 MIN_SENTENCES, MIN_WORDS = 2, 24
+#: A sentence of more words is cut, behind commas and at one pair of words in so many.
+LONG_WORDS, ONE_IN = 12, 4
+_COMMAS = (",", ";", ":", "，", "；", "、")
+_WORD = re.compile(r"\S+\s*")
 _SENTENCE = re.compile(r"[^.!?\n。！？]*(?:[.!?\n。！？]+\s*|\Z)")
 
 
 def sentences(text: str) -> list[str]:
-    """Pieces that join to the text; each ends behind its stops and white space."""
-    return [s for s in _SENTENCE.findall(text) if s]
+    """Pieces that join to the text; each ends behind its stops and white space, or inside a long sentence."""
+    out = []
+    for s in _SENTENCE.findall(text):
+        if s:
+            out += _pieces(s) if len(s) > 2 * LONG_WORDS else [s]
+    return out
+
+
+def _pieces(sentence: str) -> list[str]:
+    words = sentence.lower().split()
+    if len(words) <= LONG_WORDS:
+        return [sentence]
+    h = [_HASHES[w] for w in words]
+    at = [i for i, (a, b, w) in enumerate(zip(h, h[1:], words), 1) if a != b and ((a + 3 * b) >> 9 & ONE_IN - 1 == 0 or w[-1] in _COMMAS)]
+    if not at:
+        return [sentence]
+    ends = [m.end() for m in _WORD.finditer(sentence)]
+    cuts = [0, *[ends[i - 1] for i in at], len(sentence)]
+    return [sentence[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+class _Hashes(WordHashes):
+    """As the words' own, of str."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+
+_HASHES = _Hashes()
 
 
 def runs(parts: list[str], min_sentences: int, min_words: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """(first piece, end piece, hash) of every run; pieces without words are passed over."""
+    """(first piece, end piece, hash) of every run, forwards and backwards; pieces without words are passed over."""
     words = [p.lower().split() for p in parts]
     real = [i for i, w in enumerate(words) if w]
     if len(real) < min_sentences:
         return np.empty(0, np.int64), np.empty(0, np.int64), []
     place = np.array(real, np.int64)
     sizes = np.array([len(words[i]) for i in real], np.int64)
-    hashes = np.array([xxhash.xxh3_64_intdigest(" ".join(words[i])) for i in real], np.uint64)
-    upto = np.r_[0, np.cumsum(sizes)]
-    end = np.maximum(np.searchsorted(upto, upto[:-1] + min_words), np.arange(len(real)) + min_sentences)
-    keep = end <= len(real)
-    first, end = np.flatnonzero(keep), end[keep]
+    hashes = np.array([xxhash.xxh3_64_intdigest(" ".join(words[i]).encode("utf-8", "surrogatepass")) for i in real], np.uint64)
+    upto, n = np.r_[0, np.cumsum(sizes)], len(real)
+    end = np.maximum(np.searchsorted(upto, upto[:-1] + min_words), np.arange(n) + min_sentences)
+    begin = np.minimum(np.searchsorted(upto, upto[1:] - min_words, "right") - 1, np.arange(n) + 1 - min_sentences)
+    forth, back = np.flatnonzero(end <= n), np.flatnonzero(begin >= 0)
+    first, end = np.divmod(np.unique(np.r_[forth * (n + 1) + end[forth], begin[back] * (n + 1) + back + 1]), n + 1)
     raw = hashes.tobytes()
     return place[first], place[end - 1] + 1, [xxhash.xxh3_128_digest(raw[8 * a : 8 * b]) for a, b in zip(first.tolist(), end.tolist())]
 

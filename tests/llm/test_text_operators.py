@@ -194,6 +194,29 @@ def test_spans_odd_rows(odd_documents, no_documents, scratch):
     assert sentence_spans.dedup(no_documents, scratch(), name="result").count() == 0
 
 
+def test_planted_passages_go(spark, scratch):
+    """Passages inside long sentences, and tails after a long one; no runs() on the side that checks."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows, total = [], 0
+    for k in range(40):
+        # no stop inside; one long sentence and two short ones
+        passage = text(80) if k % 2 else ". ".join(text(n) for n in (30, 12, 11)) + "."
+        total += len(passage.split())
+        rows += [(k, f"{text(9)} {passage} {text(9)}."), (1000 + k, f"{text(11)}. {text(7)} {passage} {text(5)}.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans.text for r in sentence_spans.dedup(df, scratch()).collect()}
+    left = 0
+    for k in range(40):
+        first, words = rows[2 * k][1], set(rows[2 * k][1].split())
+        assert got[k] == first
+        here = sum(w in words for w in got[1000 + k].split())
+        assert here < 40, k
+        left += here
+    assert left <= 0.15 * total
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="ab .!?\n。", max_size=80))
 def test_sentences_join_to_the_text(text):

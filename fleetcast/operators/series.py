@@ -1,4 +1,4 @@
-"""Window and time-series operators.
+"""Window and time-series operators.
 
 Every window is partitioned by a series key that leads with the entity key,
 and runs *after* the minute aggregation (A1), so a window partition holds
@@ -157,18 +157,3 @@ def ts_folds(df: DataFrame, keys: Sequence[str], ts: str, n_splits: int = 5) ->
             .when(F.col("_i") < test_start + F.col("_t"), F.lit("test")))
     return ex.withColumn("role", role).where(F.col("role").isNotNull() & (F.col("_t") > 0)) \
         .drop("_i", "_n", "_t")
-
-
-# W13 -----------------------------------------------------------------------
-def alert_cooldown(alerts: DataFrame, minutes: int = 60, ts: str = "crossing_time",
-                   keys: Sequence[str] = (*K, "resource_type")) -> DataFrame:
-    """Suppress an alert within ``minutes`` of the previous alert of the same key.
-
-    "Previous" is the previous alert row (``lag``), not the previous *sent*
-    alert: the sent-only rule is sequential per key, this form stays in one
-    window operator.
-    """
-    w = Window.partitionBy(*keys).orderBy(ts)
-    prev = F.lag(F.col(ts)).over(w)
-    gap_min = (F.unix_micros(F.col(ts)) - F.unix_micros(prev)) / F.lit(MINUTE_US)
-    return alerts.withColumn("suppressed", F.coalesce(gap_min < minutes, F.lit(False)))

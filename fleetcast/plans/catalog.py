@@ -19,6 +19,7 @@ from ..operators import health as HE
 from ..operators import joins as JN
 from ..operators import retention as RT
 from ..operators import series as SE
+from ..operators.cooldown import alert_cooldown
 from ..sources import points as PT
 from ..sources import tables as TB
 from ..sources.fixtures import events, fx_points
@@ -671,12 +672,20 @@ def q_l4(spark, sf):
 
 
 @register("w13_alert_cooldown", sql_with(["fx_alerts"], """
-SELECT *, coalesce((epoch_us(crossing_time) - epoch_us(lag(crossing_time) OVER (
-         PARTITION BY tenant, device_id, resource_type ORDER BY crossing_time))) / 60000000.0 < 60, false) AS suppressed
-FROM fx_alerts"""), ["threshold", "time_to_threshold", "current_value", "predicted_value"])
+WITH RECURSIVE times AS (SELECT DISTINCT tenant, device_id, resource_type, crossing_time FROM fx_alerts),
+sent AS (
+  SELECT tenant, device_id, resource_type, min(crossing_time) AS crossing_time FROM times GROUP BY tenant, device_id, resource_type
+  UNION ALL
+  SELECT s.tenant, s.device_id, s.resource_type, min(t.crossing_time)
+  FROM sent s JOIN times t ON s.tenant = t.tenant AND s.device_id = t.device_id AND s.resource_type = t.resource_type
+   AND t.crossing_time >= s.crossing_time + INTERVAL 60 minute
+  GROUP BY s.tenant, s.device_id, s.resource_type, s.crossing_time)
+SELECT a.*, s.crossing_time IS NULL AS suppressed
+FROM fx_alerts a LEFT JOIN sent s ON a.tenant = s.tenant AND a.device_id = s.device_id AND a.resource_type = s.resource_type
+ AND a.crossing_time = s.crossing_time"""), ["threshold", "time_to_threshold", "current_value", "predicted_value"])
 def q_w13(spark, sf):
-    """Suppress alerts within 60 minutes of the previous one."""
-    return SE.alert_cooldown(TB.fx_alerts(spark, sf), 60)
+    """Suppress alerts within 60 minutes of the last one sent."""
+    return alert_cooldown(TB.fx_alerts(spark, sf), 60)
 
 
 # ============================================================== accuracy

@@ -33,6 +33,8 @@ def sql_with(needs: list[str], final: str) -> str:
     names = _order(needs)
     parts = [f"{n} AS (\n{CTES[n][0].strip()}\n)" for n in names]
     final = final.strip()
+    if final[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + ",\n".join(parts) + ",\n" + final[15:]
     if final[:5].upper() == "WITH ":
         # the final query's own CTEs continue the list
         return "WITH " + ",\n".join(parts) + ",\n" + final[5:]

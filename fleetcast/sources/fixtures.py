@@ -20,6 +20,9 @@ from ..session import ensure_utc
 EPOCH_US = 1704067200000000  # 2024-01-01 00:00:00 UTC
 COMPRESSION = 180
 NOW = "2024-01-01 04:00:00"
+# Deliveries of the streams: so many, of so many minutes of event time each.
+ARRIVALS = 3
+ARRIVAL_MINUTES = 80
 TENANTS = 2
 APPS = 3
 
@@ -69,6 +72,31 @@ def events_stream(spark: SparkSession, sf_dir: str, compress: bool = True) -> Da
     return events_from(raw, compress)
 
 
+def arrival() -> Column:
+    """The delivery (0, 1, ...) an event comes with: its third of the range, every eleventh event one later."""
+    third = F.floor((F.unix_micros("ts") - F.lit(EPOCH_US)) / F.lit(ARRIVAL_MINUTES * 60_000_000))
+    third = F.least(F.greatest(third, F.lit(0)), F.lit(ARRIVALS - 1))
+    return F.least(third + F.when(F.col("event_id") % 11 == 0, 1).otherwise(0), F.lit(ARRIVALS - 1)).cast("int")
+
+
+def deliver(spark: SparkSession, sf_dir: str, repeats: bool = False):
+    """(i, folder) -> write the i-th delivery of events there; with ``repeats``, those of every seventh minute come again with the next."""
+    def write(i: int, folder: str) -> None:
+        ensure_utc(spark)
+        came = events(spark, sf_dir).withColumn("arrival", arrival())
+        if repeats:
+            again = F.when(F.minute("ts") % 7 == 0, F.array("arrival", F.least(F.col("arrival") + 1, F.lit(ARRIVALS - 1)))).otherwise(F.array("arrival"))
+            came = came.withColumn("arrival", F.explode(again))
+        came.where(F.col("arrival") == i).drop("arrival").write.mode("append").parquet(folder)
+    return write
+
+
+def delivered(spark: SparkSession, sf_dir: str):
+    """folder -> stream of the points of the events delivered there."""
+    schema = events(spark, sf_dir).schema
+    return lambda folder: points_from(spark.readStream.schema(schema).parquet(folder))
+
+
 def events_from(ev: DataFrame, compress: bool = True) -> DataFrame:
     ts = ev["ts"].cast("timestamp")
     if compress:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -23,6 +23,9 @@ K = ["tenant", "device_id"]
 
 PREDICTION_COLUMNS = ["tenant", "device_id", "prediction_time", "target_time", "resource_type", "predicted_value",
                       "actual_value", "error", "model_version", "confidence_score", "batch_id"]
+PREDICTION_SCHEMA = ("tenant string, device_id string, prediction_time timestamp, target_time timestamp, resource_type string, "
+                     "predicted_value double, actual_value double, error double, model_version string, confidence_score double, "
+                     "target_date date, batch_id string")
 ALERT_COLUMNS = ["tenant", "device_id", "resource_type", "threshold", "crossing_time", "time_to_threshold",
                  "current_value", "predicted_value", "is_notified", "notified_at", "alert_level", "created_at",
                  "batch_id"]
@@ -181,6 +184,25 @@ def to_prediction_rows(fc: DataFrame, run_time, model_version: str | None = None
                      stamp.alias("batch_id"))
 
 
+def store_predictions(rows: DataFrame, path: str) -> None:
+    """S6 sink: prediction rows by target date and run; see ``write_batches``."""
+    write_batches(rows.withColumn("target_date", F.to_date("target_time")), path, ["target_date"])
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Stored prediction rows; the schema keeps batch ids, which are folder names, from being read as numbers."""
+    return spark.read.schema(PREDICTION_SCHEMA).parquet(path)
+
+
+def write_batches(rows: DataFrame, path: str, partition_by: Sequence[str] = (), batch: str = "batch_id") -> None:
+    """Append the batches in ``rows``, each in folders of its own, which are overwritten if they are there.
+
+    A run that is repeated with its batch id, after a failure or by mistake,
+    leaves its rows once.  Folders of other batches are not touched.
+    """
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by, batch).parquet(path))
+
+
 def to_alert_rows(alerts: DataFrame, run_time) -> DataFrame:
     """Threshold crossings -> alert table rows (not yet notified)."""
     from ..functions.time import ts_lit

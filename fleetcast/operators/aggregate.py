@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K = ["tenant", "device_id"]
@@ -160,14 +160,22 @@ def serving_impact_stats(scores: DataFrame) -> DataFrame:
 
 # A8 ------------------------------------------------------------------------
 def latest_profile(app: DataFrame, now, lookback_minutes: int = 30) -> DataFrame:
-    """Mean per (K, application, metric_type) over the lookback, with the app's newest time."""
-    from ..functions.time import ts_lit
+    """Mean per (K, application, metric_type) over the lookback, with the calendar of the application's newest time.
+
+    The calendar (hour, day_of_week, is_weekend) is that of the newest row of
+    any metric of the application.  Newest times are one row per application, from
+    the same aggregation as the means.
+    """
+    from ..functions.time import day_of_week, hour_of_day, is_weekend, ts_lit
     now_c = ts_lit(now) if isinstance(now, str) else now
     lo = now_c - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(lookback_minutes))
     # points in [now - m, now) carry end labels in (now - m, now]
     recent = app.where((F.col("time") > lo) & (F.col("time") <= now_c))
-    return recent.groupBy(*K, "application", "metric_type").agg(
-        F.avg("value").alias("value"), F.max("time").alias("latest_time"))
+    per = recent.groupBy(*K, "application", "metric_type").agg(F.avg("value").alias("value"), F.max("time").alias("latest_time"))
+    newest = F.max("latest_time").over(Window.partitionBy(*K, "application"))  # a row per metric
+    return per.withColumn("_newest", newest).select(
+        *K, "application", "metric_type", "value", "latest_time", hour_of_day("_newest").alias("hour"),
+        day_of_week("_newest").alias("day_of_week"), is_weekend("_newest").alias("is_weekend"))
 
 
 # A9 ------------------------------------------------------------------------

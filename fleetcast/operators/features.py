@@ -68,20 +68,29 @@ def feature_table(app: DataFrame, **kw) -> DataFrame:
 
 
 # M1 ------------------------------------------------------------------------
-def app_training_set(features: DataFrame, impacts: DataFrame, min_common: int = 10) -> DataFrame:
+def app_training_set(features: DataFrame, scores: DataFrame, common: DataFrame, min_common: int = 10,
+                     period: str | None = None) -> DataFrame:
     """Tall training rows: features x impact label on common times, >= ``min_common`` times per app.
 
     Output (K, application, time, feature_name, value, resource_type, label).
     Nulls of the wide form become 0 at model input (``pivot`` + ``na.fill``).
+
+    The impacts table holds a score at every common minute of its entity, so a
+    feature time has a label if it lies in the entity's span and the application
+    has a score: the scores are joined as they are, one row per key, and last.
+    With ``period`` (e.g. '1 hour') ``scores`` has one row per period and a
+    feature time takes the label of its own, so labels vary in time.
     """
-    f = features.select(*K, "application", "time", "feature_name", "value")
-    y = impacts.select(*K, "application", "time", "resource_type", F.col("impact_score").alias("label"))
-    ft = f.select(*K, "application", "time").distinct()
-    yt = y.select(*K, "application", "time").distinct()
-    both = ft.join(yt, K + ["application", "time"])
-    n = both.groupBy(*K, "application").agg(F.count(F.lit(1)).alias("n_times"))
-    keep = both.join(n.where(F.col("n_times") >= min_common).select(*K, "application"), K + ["application"], "left_semi")
-    return keep.join(f, K + ["application", "time"]).join(y, K + ["application", "time"])
+    at = [bin_start("time", period).alias("period")] if period else []
+    key = [*K, "application", *(["period"] if period else [])]
+    span = common.select(*K, "common_start", "common_end")
+    f = (features.select(*K, "application", "time", "feature_name", "value", *at).join(span, K)
+         .where(F.col("time").between(F.col("common_start"), F.col("common_end"))).drop("common_start", "common_end"))
+    y = scores.select(*key, "resource_type", F.col("impact_score").alias("label"))
+    times = f.select(*K, "application", "time", *(["period"] if period else [])).distinct().join(y.select(*key).distinct(), key, "left_semi")
+    enough = times.groupBy(*K, "application").agg(F.count(F.lit(1)).alias("n_times")).where(F.col("n_times") >= min_common)
+    kept = f.join(enough.select(*K, "application"), [*K, "application"], "left_semi")
+    return kept.join(y, key).select(*K, "application", "time", "feature_name", "value", "resource_type", "label")
 
 
 # M2 ------------------------------------------------------------------------

@@ -1,8 +1,10 @@
-"""Model operators on ``pyspark.ml``.
+"""Model operators on Spark.
 
-Re-aimed for a cluster: instead of one estimator per (device, application,
-resource) fitted in a driver loop, there is one distributed fit for the whole
-fleet, so the number of fits does not grow with it.  What sets the keys apart
+Re-aimed for a cluster: one estimator per (device, application, resource) is not
+fitted in a driver loop.  Impact models are a ridge regression per key, all of
+them at once from grouped sufficient statistics (``gram``).  Tree models are one
+distributed fit for the whole fleet, so the number of fits does not grow with it.
+What sets the keys apart
 is not an id column in the trees but a target encoding: the label's mean and
 deviation per key, a grouped table of the training rows, and the fit learns the
 label in units of its key.  Scoring joins the table back; a key that was never
@@ -26,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_lit, version_stamp
-from .aggregate import STAT_COLUMNS, regression_metrics
+from . import gram
+from .aggregate import STAT_COLUMNS, bin_start, regression_metrics
 from .series import chrono_split, ts_folds
 
 K = ["tenant", "device_id"]
@@ -97,38 +100,79 @@ def wide(df: DataFrame, index: Sequence[str], names: Sequence[str], col: str = "
 
 
 # M3 ------------------------------------------------------------------------
-def raw_training_set(app: DataFrame, impacts: DataFrame) -> DataFrame:
-    """Raw metric means per (entity, time, application, metric) beside the impact label.
-
-    Missing metric means are imputed with the (entity, application, metric)
-    mean; a label stays as is.  Tall output, pivoted only at model input.
+def raw_training_set(app: DataFrame, scores: DataFrame, common: DataFrame, min_common: int = 10, period: str | None = None) -> DataFrame:
+    """Raw metric means and calendar per (entity, application, minute) beside the impact labels, typed imputation.
+
+    Wide in what is fixed, tall in what is not: one row for every (K,
+    application, time, feature_name, resource_type).  Times are those where the
+    application has metrics and a label for some resource, at least
+    ``min_common`` of them.  A metric missing at a time takes its mean over the
+    application's times, a calendar column its mode (the smallest of several),
+    a label missing for a resource that the application has elsewhere the mean
+    label of that resource; 0 for what is still missing.  ``imputed`` and
+    ``label_imputed`` tell which.
+
+    ``scores`` has one row per (K, application, resource_type), with ``period``
+    per period too; nothing is repeated over minutes before the last join, and
+    all joins of minute rows carry the time.
     """
-    per = app.groupBy(*K, "application", "metric_type").agg(F.avg("value").alias("_mean"))
-    t = impacts.select(*K, "time", "application").distinct()
-    grid = t.join(per, [*K, "application"])
-    vals = app.select(*K, "time", "application", "metric_type", "value")
-    j = grid.join(vals, [*K, "time", "application", "metric_type"], "left")
-    x = j.select(*K, "time", "application", "metric_type",
-                 F.coalesce("value", "_mean").alias("value"), F.col("value").isNull().alias("imputed"))
-    y = impacts.select(*K, "time", "application", "resource_type", F.col("impact_score").alias("label"))
-    return x.join(y, [*K, "time", "application"])
+    at = [bin_start("time", period).alias("period")] if period else []
+    key = [*K, "application", *(["period"] if period else [])]
+    per_app = [*K, "application"]
+    span = common.select(*K, "common_start", "common_end")
+    minute = (app.join(span, K).where(F.col("time").between(F.col("common_start"), F.col("common_end")))
+              .groupBy(*per_app, "time", "metric_type").agg(F.avg("value").alias("value")))
+    y = scores.groupBy(*key, "resource_type").agg(F.avg("impact_score").alias("label"))
+    times = minute.select(*per_app, "time", *at).distinct().join(y.select(*key).distinct(), key, "left_semi")
+    enough = times.groupBy(*per_app).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_common).select(*per_app)
+    times = times.join(enough, per_app, "left_semi")
+    kept = minute.join(times.select(*per_app, "time"), [*per_app, "time"], "left_semi")
+    # what a missing metric becomes: one row per application and metric
+    means = kept.groupBy(*per_app, "metric_type").agg(F.avg("value").alias("_mean"))
+    grid = times.join(means, per_app)
+    x = grid.join(kept, [*per_app, "time", "metric_type"], "left").select(
+        *key, "time", F.col("metric_type").alias("feature_name"), F.coalesce("value", "_mean", F.lit(0.0)).alias("value"),
+        F.col("value").isNull().alias("imputed"))
+    calendar = times.select(*key, "time", F.inline(calendar_columns("time")))
+    modes = calendar.groupBy(*per_app, "feature_name").agg(F.mode("value", deterministic=True).alias("_mode"))
+    calendar = calendar.join(modes, [*per_app, "feature_name"]).select(
+        *key, "time", "feature_name", F.coalesce("value", "_mode", F.lit(0.0)).alias("value"), F.col("value").isNull().alias("imputed"))
+    # labels of every resource the application has anywhere: a row per application, resource and period, weighted by its minutes
+    weight = times.groupBy(*key).agg(F.count(F.lit(1)).alias("_minutes"))
+    had = y.join(weight, key)
+    label_means = had.groupBy(*per_app, "resource_type").agg((F.sum(F.col("label") * F.col("_minutes")) / F.sum("_minutes")).alias("_label_mean"))
+    labels = weight.join(label_means, per_app).join(y, [*key, "resource_type"], "left").select(
+        *key, "resource_type", F.coalesce("label", "_label_mean", F.lit(0.0)).alias("label"), F.col("label").isNull().alias("label_imputed"))
+    return x.unionByName(calendar).join(labels, key).select(
+        *per_app, "time", "feature_name", "value", "imputed", "resource_type", "label", "label_imputed")
+
+
+def calendar_columns(ts: str) -> Column:
+    """Calendar features of a time as (feature_name, value) structs."""
+    from ..functions.time import day_of_week, hour_of_day, is_weekend
+    parts = zip(CALENDAR, (hour_of_day(ts), day_of_week(ts), is_weekend(ts)))
+    return F.array(*[F.struct(F.lit(n).alias("feature_name"), c.cast("double").alias("value")) for n, c in parts])
 
 
 # M4 / M5 -------------------------------------------------------------------
 IMPACT_KEYS = [*K, "application", "resource_type"]
 SYSTEM_KEYS = [*K, "resource_type"]
-KEYS = {"random_forest": IMPACT_KEYS, "gradient_boosting": SYSTEM_KEYS}
-DEFAULTS = {"random_forest": NO_MODEL_IMPACT, "gradient_boosting": NO_MODEL_FORECAST}
+# what a model is for decides its keys and its default, not which estimator it is
+KEYS = {"impact": IMPACT_KEYS, "system": SYSTEM_KEYS}
+DEFAULTS = {"impact": NO_MODEL_IMPACT, "system": NO_MODEL_FORECAST}
+PER_KEY = "ridge"
 
 
 @dataclass
 class FittedModels:
-    """One fitted pipeline over all keys, their target encoding and their metrics."""
+    """The fitted models of a purpose and their metrics: a pipeline over all keys with their encoding, or a model per key in ``linear``."""
     kind: str
     features: list[str]
+    purpose: str
     model: PipelineModel | None = None
     stats: DataFrame | None = None
     metrics: DataFrame | None = None
+    linear: DataFrame | None = None
 
 
 def label_stats(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -160,12 +204,17 @@ def _pipeline(kind: str, features: list[str]) -> Pipeline:
                             _estimator(kind)])
 
 
-def score(model: PipelineModel | None, stats: DataFrame | None, kind: str, rows: DataFrame) -> DataFrame:
-    """Adds ``prediction``: back from units, or the default where the key has no trained model."""
-    if model is None or stats is None:
-        return rows.withColumn("prediction", F.lit(DEFAULTS[kind]))
-    j = model.transform(rows).join(stats.drop("n_rows"), KEYS[kind], "left")
-    value = F.coalesce(F.col("label_mean") + F.col("unit_prediction") * _unit(), F.lit(DEFAULTS[kind]))
+def score(fm: FittedModels, rows: DataFrame) -> DataFrame:
+    """Adds ``prediction``: the key's own model, or the fleet's back from units, or the default where the key was never trained."""
+    default = F.lit(DEFAULTS[fm.purpose])
+    if fm.linear is not None:
+        own = fm.linear.where(F.col("fold") == gram.FINAL).select(*KEYS[fm.purpose], "intercept", "coef")
+        j = rows.join(own, KEYS[fm.purpose], "left")
+        return j.withColumn("prediction", F.coalesce(gram.linear(fm.features), default)).drop("intercept", "coef")
+    if fm.model is None or fm.stats is None:
+        return rows.withColumn("prediction", default)
+    j = fm.model.transform(rows).join(fm.stats.drop("n_rows"), KEYS[fm.purpose], "left")
+    value = F.coalesce(F.col("label_mean") + F.col("unit_prediction") * _unit(), default)
     return j.withColumn("prediction", value).drop("label_mean", "label_std", "features", "resource_idx", "unit_prediction")
 
 
@@ -181,18 +230,21 @@ def _importance(model: PipelineModel, features: list[str]) -> str:
     return json.dumps(dict(zip(["resource_idx", *features], imp)), sort_keys=True)
 
 
-def _fit(kind: str, features: list[str], rows: DataFrame) -> tuple[PipelineModel, DataFrame]:
-    """The pipeline on rows (keys, features, label) and the encoding it was fitted in."""
-    stats = _materialize(label_stats(rows, KEYS[kind]))
-    return _pipeline(kind, features).fit(in_units(rows, stats, KEYS[kind])), stats
+def _fit(fm: FittedModels, rows: DataFrame) -> FittedModels:
+    """A pipeline on rows (keys, features, label) and the encoding it was fitted in."""
+    stats = _materialize(label_stats(rows, KEYS[fm.purpose]))
+    model = _pipeline(fm.kind, fm.features).fit(in_units(rows, stats, KEYS[fm.purpose]))
+    return FittedModels(fm.kind, fm.features, fm.purpose, model, stats)
 
 
-def _key_metrics(scored: DataFrame, stats: DataFrame, kind: str) -> DataFrame:
+def _key_metrics(fm: FittedModels, rows: DataFrame) -> DataFrame:
     """M12 per key beside the error of always saying the key's training mean."""
-    m = regression_metrics(scored, KEYS[kind], "label", "prediction")
-    base = scored.join(stats.drop("n_rows", "label_std"), KEYS[kind]).groupBy(*KEYS[kind]).agg(
+    keys = KEYS[fm.purpose]
+    scored = score(fm, rows)
+    m = regression_metrics(scored, keys, "label", "prediction")
+    base = scored.join(fm.stats.drop("n_rows", "label_std"), keys).groupBy(*keys).agg(
         F.avg(F.abs(F.col("label") - F.col("label_mean"))).alias("mean_mae"))
-    return m.join(base, KEYS[kind], "left")
+    return m.join(base, keys, "left")
 
 
 def _no_metrics(rows: DataFrame) -> DataFrame:
@@ -203,20 +255,55 @@ def _no_metrics(rows: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("feature_importance"))
 
 
-def fit_impact_models(train: DataFrame, names: Sequence[str], model: str = "random_forest", cv_splits: int = 5) -> FittedModels:
-    """M4: features -> impact, expanding time folds per (entity, application), then a refit on all rows.
+MEANS = ["mae", "rmse", "r2", "mean_mae"]
+
+
+def impact_rows(train: DataFrame, names: Sequence[str]) -> DataFrame:
+    """M1's tall set as one row per (entity, application, time, resource) with a column for each feature name."""
+    return wide(train, [*K, "application", "time", "resource_type", "label"], list(names))
+
+
+def fit_impact_models(train: DataFrame, names: Sequence[str], model: str = PER_KEY, cv_splits: int = 5) -> FittedModels:
+    """M4: features -> impact, expanding time folds per (entity, application), then a fit on all rows.
 
-    ``train`` is the tall M1 set, pivoted by the given feature ``names`` to one
-    row per (entity, application, time, resource).  Metrics per (entity,
-    application, resource) are means over the folds that could be run, whose
-    number stands beside them.
+    ``train`` is the tall M1 set.  ``model`` 'ridge' is a model for every
+    (entity, application, resource), from grouped sufficient statistics
+    (``gram``); 'random_forest' and 'gradient_boosting' are one fit for the
+    fleet in units of each key.  Metrics per key are means over the folds that
+    could be run, whose number stands beside them.
     """
-    names = list(names)
-    d = _materialize(wide(train, [*K, "application", "time", "resource_type", "label"], names))
-    fm = FittedModels(model, names)
+    fm = FittedModels(model, list(names), "impact")
+    d = _materialize(impact_rows(train, names))
     if d.isEmpty():
         fm.metrics = _no_metrics(d)
         return fm
+    return _fit_per_key(fm, d, cv_splits) if model == PER_KEY else _fit_fleet(fm, d, cv_splits)
+
+
+def _fit_per_key(fm: FittedModels, d: DataFrame, cv_splits: int) -> FittedModels:
+    keys = [*K, "application", "time"]
+    if cv_splits > 1:
+        blocks = gram.time_blocks(d.select(*keys).distinct(), [*K, "application"], "time", cv_splits)
+        d = _materialize(d.join(blocks, keys))
+    else:
+        d = d.withColumn("block", F.lit(0))
+    fm.linear = _materialize(gram.fit_per_key(d, IMPACT_KEYS, fm.features))
+    final = fm.linear.where(F.col("fold") == gram.FINAL)
+    # the rows of a block are tested by the model of the blocks before
+    tested = d.where("block > 0").withColumn("fold", F.col("block") - 1).join(fm.linear, [*IMPACT_KEYS, "fold"])
+    tested = tested.withColumn("prediction", gram.linear(fm.features))
+    per_fold = regression_metrics(tested, [*IMPACT_KEYS, "fold"], "label", "prediction")
+    base = tested.groupBy(*IMPACT_KEYS, "fold").agg(F.avg(F.abs(F.col("label") - F.col("label_mean"))).alias("mean_mae"))
+    m = per_fold.join(base, [*IMPACT_KEYS, "fold"]).groupBy(*IMPACT_KEYS).agg(
+        *[F.avg(c).alias(c) for c in MEANS], F.count(F.lit(1)).alias("folds"))
+    names = F.array(*map(F.lit, fm.features))
+    got = final.select(*IMPACT_KEYS, "n_rows", "label_mean", "label_std",
+                       F.to_json(F.map_from_arrays(names, "importance")).alias("feature_importance"))
+    fm.metrics = _materialize(got.join(m, IMPACT_KEYS, "left").withColumn("folds", F.coalesce("folds", F.lit(0))))
+    return fm
+
+
+def _fit_fleet(fm: FittedModels, d: DataFrame, cv_splits: int) -> FittedModels:
     per_fold = []
     if cv_splits > 1:
         keys = [*K, "application", "time"]
@@ -227,22 +314,20 @@ def fit_impact_models(train: DataFrame, names: Sequence[str], model: str = "rand
             te = d.join(fr.where(F.col("role") == "test").select(*keys), keys, "left_semi")
             if tr.isEmpty() or te.isEmpty():
                 continue  # counted: the result says over how many folds its means go
-            fitted, stats = _fit(model, names, tr)
-            per_fold.append(_key_metrics(score(fitted, stats, model, te), stats, model))
-    fm.model, fm.stats = _fit(model, names, d)
-    got = fm.stats.select(*IMPACT_KEYS, "n_rows")
+            per_fold.append(_key_metrics(_fit(fm, tr), te))
+    fitted = _fit(fm, d)
+    got = fitted.stats.select(*IMPACT_KEYS, "n_rows", "label_mean", "label_std")
     if per_fold:
         u = per_fold[0]
         for x in per_fold[1:]:
             u = u.unionByName(x)
-        m = u.groupBy(*IMPACT_KEYS).agg(F.avg("mae").alias("mae"), F.avg("rmse").alias("rmse"), F.avg("r2").alias("r2"),
-                                        F.avg("mean_mae").alias("mean_mae"), F.count(F.lit(1)).alias("folds"))
+        m = u.groupBy(*IMPACT_KEYS).agg(*[F.avg(c).alias(c) for c in MEANS], F.count(F.lit(1)).alias("folds"))
         got = got.join(m, IMPACT_KEYS, "left")
     else:
-        got = got.select("*", *[F.lit(None).cast("double").alias(c) for c in ("mae", "rmse", "r2", "mean_mae")], F.lit(0).cast("long").alias("folds"))
-    fm.metrics = _materialize(got.withColumn("folds", F.coalesce("folds", F.lit(0)))
-                              .withColumn("feature_importance", F.lit(_importance(fm.model, names))))
-    return fm
+        got = got.select("*", *[F.lit(None).cast("double").alias(c) for c in MEANS], F.lit(0).cast("long").alias("folds"))
+    fitted.metrics = _materialize(got.withColumn("folds", F.coalesce("folds", F.lit(0)))
+                                  .withColumn("feature_importance", F.lit(_importance(fitted.model, fm.features))))
+    return fitted
 
 
 def stack_resources(df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -258,19 +343,17 @@ def system_rows(train: DataFrame, train_fraction: float = 0.8) -> DataFrame:
 
 def fit_system_models(train: DataFrame, train_fraction: float = 0.8) -> FittedModels:
     """M5: impact statistics + calendar -> utilisation, chronological hold-out per entity, metrics per (entity, resource)."""
-    features = [*STAT_COLUMNS, *CALENDAR]
-    kind = "gradient_boosting"
-    fm = FittedModels(kind, features)
+    fm = FittedModels("gradient_boosting", [*STAT_COLUMNS, *CALENDAR], "system")
     rows = _materialize(system_rows(train, train_fraction).where(F.col("label").isNotNull()))
     tr, te = rows.where(F.col("is_train")), rows.where(~F.col("is_train"))
     if tr.isEmpty():
         fm.metrics = _no_metrics(rows)
         return fm
-    fm.model, fm.stats = _fit(kind, features, tr)
-    met = _key_metrics(score(fm.model, fm.stats, kind, te), fm.stats, kind).drop("n")
+    fm = _fit(fm, tr)
+    met = _key_metrics(fm, te).drop("n")
     fm.metrics = _materialize(fm.stats.select(*SYSTEM_KEYS, "n_rows").join(met, SYSTEM_KEYS, "left")
                               .withColumn("folds", F.lit(1).cast("long"))
-                              .withColumn("feature_importance", F.lit(_importance(fm.model, features))))
+                              .withColumn("feature_importance", F.lit(_importance(fm.model, fm.features))))
     return fm
 
 
@@ -289,6 +372,38 @@ def model_performance_rows(fm: FittedModels, trained_at) -> DataFrame:
                              version_stamp(t).alias("version"))
 
 
+# What stands for the application, resource and model type in the row of a training run.
+RUN_APPLICATION, RUN_RESOURCE, RUN_TYPE, RUN_METHOD = "streaming_metadata", "training_info", "cache_based", "streaming_cache"
+
+
+def run_metadata_rows(impacts: DataFrame, features: DataFrame, cache_key: str, trained_at) -> DataFrame:
+    """One model-performance row per entity and training run: its counts as JSON in ``feature_importance``.
+
+    ``impact_records`` and ``feature_records`` are the rows of the two tables,
+    ``applications`` the distinct applications of the impacts; entities of either
+    table have a row.
+    """
+    t = ts_lit(trained_at) if isinstance(trained_at, (str, _dt.datetime)) else trained_at
+    # distinct applications in two steps, so that the second counts a row per application
+    n = impacts.groupBy(*K, "application").agg(F.count(F.lit(1)).alias("_r")).groupBy(*K).agg(
+        F.sum("_r").alias("impact_records"), F.count("application").alias("applications"))
+    m = features.groupBy(*K).agg(F.count(F.lit(1)).alias("feature_records"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    counts = F.to_json(F.struct(F.lit(cache_key).alias("cache_key"), zero("impact_records"), zero("feature_records"), zero("applications"),
+                                F.lit(RUN_METHOD).alias("training_method")))
+    none = F.lit(0.0)
+    return n.join(m, K, "full").select(
+        *K, F.lit(RUN_APPLICATION).alias("application"), F.lit(RUN_RESOURCE).alias("resource_type"), F.lit(RUN_TYPE).alias("model_type"),
+        none.alias("mae"), none.alias("rmse"), none.alias("r2_score"), counts.alias("feature_importance"), t.alias("trained_at"),
+        F.concat(F.lit(f"streaming_{cache_key}_"), version_stamp(t)).alias("version"))
+
+
+def importances(performance: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, feature_name, importance) out of the importance JSON of model-performance rows (T1's input)."""
+    parsed = F.from_json("feature_importance", "map<string,double>")
+    return performance.select(*keys, F.explode(parsed).alias("feature_name", "importance"))
+
+
 def accuracy_rows(performance: DataFrame, checked_at) -> DataFrame:
     """A16's forecast accuracy as rows of the model-performance table (version with a '_perf' suffix)."""
     t = ts_lit(checked_at) if isinstance(checked_at, (str, _dt.datetime)) else checked_at
@@ -310,7 +425,7 @@ def predict_impacts(fm: FittedModels, profile: DataFrame, now) -> DataFrame:
     """
     keep = [*K, "application"]
     x = _per_resource(align_features(profile, fm.features, now, keep))
-    return score(fm.model, fm.stats, fm.kind, x).select(*keep, "resource_type", F.col("prediction").alias("impact_score"))
+    return score(fm, x).select(*keep, "resource_type", F.col("prediction").alias("impact_score"))
 
 
 # M10 -----------------------------------------------------------------------
@@ -324,24 +439,30 @@ def forecast(fm: FittedModels, serving_stats: DataFrame, grid: DataFrame) -> Dat
     x = grid.join(serving_stats, K).select(
         *K, "step_index", "target_time", *STAT_COLUMNS, hour_of_day("target_time").alias("hour"),
         day_of_week("target_time").alias("day_of_week"), is_weekend("target_time").alias("is_weekend"))
-    return score(fm.model, fm.stats, fm.kind, _per_resource(x)).select(
+    return score(fm, _per_resource(x)).select(
         *K, "step_index", "target_time", "resource_type", F.col("prediction").alias("predicted_value"))
 
 
 # M11 -----------------------------------------------------------------------
-def model_path(root: str, kind: str, tenant: str | None = None, device: str | None = None) -> str:
-    return os.path.join(root, kind, tenant or "_generic", device or "_generic")
+def model_path(root: str, purpose: str, tenant: str | None = None, device: str | None = None) -> str:
+    return os.path.join(root, purpose, tenant or "_generic", device or "_generic")
 
 
 def save_models(fm: FittedModels, root: str, tenant: str | None = None, device: str | None = None) -> str | None:
-    """Write the fitted pipeline, its encoding and its feature list (overwrite) for a device, a tenant or everyone."""
-    if fm.model is None:
+    """Write the fitted models and their feature list (overwrite) for a device, a tenant or everyone."""
+    if fm.model is None and fm.linear is None:
         return None
-    p = model_path(root, fm.kind, tenant, device)
-    fm.model.write().overwrite().save(f"{p}/pipeline")
-    fm.stats.write.mode("overwrite").parquet(f"{p}/encoding")
-    spark = fm.stats.sparkSession
-    spark.createDataFrame(list(enumerate(fm.features)), "position int, feature string").coalesce(1).write.mode("overwrite").parquet(f"{p}/features")
+    p = model_path(root, fm.purpose, tenant, device)
+    if fm.linear is not None:
+        spark = fm.linear.sparkSession
+        fm.linear.write.mode("overwrite").parquet(f"{p}/linear")
+    else:
+        spark = fm.stats.sparkSession
+        fm.model.write().overwrite().save(f"{p}/pipeline")
+        fm.stats.write.mode("overwrite").parquet(f"{p}/encoding")
+    # written last: a model is there once its feature list is
+    (spark.createDataFrame([(i, f, fm.kind) for i, f in enumerate(fm.features)], "position int, feature string, kind string")
+     .coalesce(1).write.mode("overwrite").parquet(f"{p}/features"))
     return p
 
 
@@ -350,15 +471,18 @@ def _exists(spark, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def load_models(spark, root: str, kind: str, tenant: str | None = None, device: str | None = None) -> tuple[FittedModels, str | None]:
+def load_models(spark, root: str, purpose: str, tenant: str | None = None, device: str | None = None) -> tuple[FittedModels, str | None]:
     """The device's model, else the tenant's, else the generic one, and where it was; none stored -> defaults at scoring.
 
     Only a path that does not exist passes on to the next candidate; any
     other failure to read a stored model is raised.
     """
     for t, d in dict.fromkeys([(tenant, device), (tenant, None), (None, None)]):
-        p = model_path(root, kind, t, d)
-        if _exists(spark, f"{p}/pipeline"):
-            names = [r.feature for r in spark.read.parquet(f"{p}/features").orderBy("position").collect()]
-            return FittedModels(kind, names, PipelineModel.load(f"{p}/pipeline"), spark.read.parquet(f"{p}/encoding")), p
-    return FittedModels(kind, []), None
+        p = model_path(root, purpose, t, d)
+        if _exists(spark, f"{p}/features"):
+            listed = spark.read.parquet(f"{p}/features").orderBy("position").collect()
+            names, kind = [r.feature for r in listed], listed[0].kind
+            if kind == PER_KEY:
+                return FittedModels(kind, names, purpose, linear=spark.read.parquet(f"{p}/linear")), p
+            return FittedModels(kind, names, purpose, PipelineModel.load(f"{p}/pipeline"), spark.read.parquet(f"{p}/encoding")), p
+    return FittedModels(PER_KEY if purpose == "impact" else "gradient_boosting", [], purpose), None

@@ -485,11 +485,13 @@ def q_a7(spark, sf):
 
 
 @register("a8_latest_profile", sql_with(["app_metrics"], f"""
-SELECT tenant, device_id, application, metric_type, avg(value) AS value, max(time) AS latest_time
-FROM app_metrics WHERE time > {NOW_SQL} - INTERVAL 30 minute AND time <= {NOW_SQL}
-GROUP BY tenant, device_id, application, metric_type"""), ["value"])
+WITH r AS (SELECT *, max(time) OVER (PARTITION BY tenant, device_id, application) AS newest FROM app_metrics
+           WHERE time > {NOW_SQL} - INTERVAL 30 minute AND time <= {NOW_SQL})
+SELECT tenant, device_id, application, metric_type, avg(value) AS value, max(time) AS latest_time, CAST(hour(newest) AS INTEGER) AS hour,
+       CAST(isodow(newest) - 1 AS INTEGER) AS day_of_week, CASE WHEN isodow(newest) >= 6 THEN 1 ELSE 0 END AS is_weekend
+FROM r GROUP BY tenant, device_id, application, metric_type, newest"""), ["value"])
 def q_a8(spark, sf):
-    """Mean per application metric over the last 30 minutes."""
+    """Mean per application metric over the last 30 minutes, with the calendar of the application's newest time."""
     return AG.latest_profile(_recent_app(spark, sf, 30), NOW, 30)
 
 

@@ -60,6 +60,12 @@ def periodic_impact_scores(points: DataFrame, bucket: str = "1 hour", **kw) -> D
     return _gate(f, impact_scores(f.app_filled, f.res_filled, bucket))
 
 
+def scores_and_spans(points: DataFrame, bucket: str | None = None, **kw) -> tuple[DataFrame, DataFrame]:
+    """What the impacts table is made of: scores (per period with ``bucket``) and each entity's common span."""
+    f = impact_frames(points, **kw)
+    return _gate(f, impact_scores(f.app_filled, f.res_filled, bucket)), f.common
+
+
 def impact_table(points: DataFrame, **kw) -> DataFrame:
     """The public impacts table: each score repeated at every common minute."""
     f = impact_frames(points, **kw)

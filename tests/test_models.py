@@ -37,10 +37,10 @@ def test_fit_finds_a_planted_signal_and_defaults_stand_in(spark, tmp_path):
     device = seen.first().device_id
     assert got["never", "cpu"] == 50.0 and got[device, "disk"] == 50.0 and got[device, "cpu"] != 50.0
     MD.save_models(fm, str(tmp_path), "t", device)
-    again, at = MD.load_models(spark, str(tmp_path), fm.kind, "t", device)
+    again, at = MD.load_models(spark, str(tmp_path), fm.purpose, "t", device)
     assert at.endswith(f"t/{device}") and again.features == fm.features
     assert {(r.device_id, r.resource_type): r.predicted_value for r in MD.forecast(again, stats, grid).collect()} == got
-    none, at = MD.load_models(spark, str(tmp_path), fm.kind, "other", device)
+    none, at = MD.load_models(spark, str(tmp_path), fm.purpose, "other", device)
     assert at is None and none.model is None
     assert {r.predicted_value for r in MD.forecast(none, stats, grid).collect()} == {50.0}
 

@@ -128,9 +128,8 @@ def impact_scores(app_grid: DataFrame, res_grid: DataFrame, bucket: str | None =
 
 
 # A6 ------------------------------------------------------------------------
-def impact_stats(impacts: DataFrame, time_col: str = "time") -> DataFrame:
-    """Per minute: sum, mean, max, sample std (0 for one row) per resource; zeros when absent."""
-    minute = F.date_trunc("minute", F.col(time_col)).alias("time")
+def _impact_aggs() -> list[Column]:
+    """Sum, mean, max, sample std (0 for one row) per resource; zeros when absent."""
     aggs = []
     for r in RESOURCES:
         v = F.when(F.col("resource_type") == r, F.col("impact_score"))
@@ -138,7 +137,24 @@ def impact_stats(impacts: DataFrame, time_col: str = "time") -> DataFrame:
                  F.coalesce(F.avg(v), F.lit(0.0)).alias(f"{r}_impact_mean"),
                  F.coalesce(F.max(v), F.lit(0.0)).alias(f"{r}_impact_max"),
                  F.coalesce(F.stddev_samp(v), F.lit(0.0)).alias(f"{r}_impact_std")]
-    return impacts.groupBy(*K, minute).agg(*aggs)
+    return aggs
+
+
+def impact_stats(impacts: DataFrame, time_col: str = "time") -> DataFrame:
+    """Statistics per minute of an impacts table, whose scores may differ from minute to minute."""
+    return impacts.groupBy(*K, F.date_trunc("minute", F.col(time_col)).alias("time")).agg(*_impact_aggs())
+
+
+def entity_impact_stats(scores: DataFrame) -> DataFrame:
+    """The statistics of constant scores: one row per entity, the same at each of its minutes."""
+    return scores.groupBy(*K).agg(*_impact_aggs())
+
+
+def impact_stats_over(scores: DataFrame, common: DataFrame) -> DataFrame:
+    """``impact_stats`` of the impacts table made of ``scores`` and spans: a row per entity first, repeated over its minutes last."""
+    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1))
+    minutes = F.explode(F.sequence("common_start", "common_end", step)).alias("time")
+    return entity_impact_stats(scores).join(common, K).select(*K, minutes, *STAT_COLUMNS)
 
 
 STAT_COLUMNS = [f"{r}_impact_{s}" for r in RESOURCES for s in ("sum", "mean", "max", "std")]

@@ -92,17 +92,42 @@ def complete_rows(df: DataFrame, group: Sequence[str], series_col: str, ts: str
                   value: str = "value") -> DataFrame:
     """Keep times at which every series of the group has a value.
 
-    Two windows partitioned by the group: the distinct series of the group,
-    and the distinct series at each time.  Both (and the per-series windows
-    that follow in W1) are satisfied by one hash partitioning on the group,
-    so the chain costs one shuffle of minute rows instead of two aggregates,
-    a join and a semi join.
+    How many series a group has is a small aggregate (a row per group, from
+    partials per group and series).  The series present are counted at each
+    time; time, or its share, is in every shuffle key of the rows, so a group
+    with a large share of all rows is many tasks.
     """
     v = df.where(F.col(value).isNotNull())
-    need = F.size(F.collect_set(series_col).over(Window.partitionBy(*group)))
-    have = F.size(F.collect_set(series_col).over(Window.partitionBy(*group, ts)))
-    return v.withColumn("_need", need).withColumn("_have", have) \
-            .where(F.col("_have") == F.col("_need")).drop("_need", "_have")
+    present = F.size(F.collect_set(series_col).over(Window.partitionBy(*group, ts)))
+    return where_complete(v.withColumn("_have", present), group, series_counts(v, group, series_col), ts)
+
+
+#: Shares into which a group's times are dealt before they meet a row of the group.
+SHARES = 64
+
+
+def share_of(ts: str) -> Column:
+    return F.pmod(F.xxhash64(ts), F.lit(SHARES)).cast("int")
+
+
+def in_all_shares(df: DataFrame) -> DataFrame:
+    """A small table, its rows repeated for every share (``_share``)."""
+    return df.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+
+
+def series_counts(df: DataFrame, group: Sequence[str], series_col: str) -> DataFrame:
+    """(group as _g0.., _need): how many series each group has."""
+    names = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+    return df.select(*names, series_col).distinct().groupBy(*[f"_g{i}" for i in range(len(group))]).agg(F.count(series_col).alias("_need"))
+
+
+def where_complete(df: DataFrame, group: Sequence[str], counts: DataFrame, ts: str = "time") -> DataFrame:
+    """The rows of ``df`` whose ``_have`` is all of their group's series."""
+    c = in_all_shares(counts).withColumnRenamed("_share", "_gs")
+    on = (F.col("_have") == F.col("_need")) & (share_of(ts) == F.col("_gs"))
+    for i, g in enumerate(group):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return df.join(c, on, "left_semi").drop("_have")
 
 
 # P9 ------------------------------------------------------------------------

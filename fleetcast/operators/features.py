@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import day_of_week, floor_minutes, hour_of_day, is_weekend
-from .aggregate import STAT_COLUMNS, bin_start, impact_stats
-from .clean import canonical_resources, complete_rows
-from .series import DEFAULT_STATS, DEFAULT_WINDOWS, rolling_stats
+from . import segments
+from .aggregate import STAT_COLUMNS, bin_start, entity_impact_stats
+from .clean import canonical_resources, in_all_shares, series_counts, share_of, where_complete
+from .series import DEFAULT_STATS, DEFAULT_WINDOWS, MINUTE_US, rolling_columns
 
 K = ["tenant", "device_id"]
 FEATURE_COLUMNS = [*K, "time", "application", "feature_name", "value", "window_size"]
@@ -24,17 +25,26 @@ CALENDAR = ["hour", "day_of_week", "is_weekend"]
 
 # W2 ------------------------------------------------------------------------
 def rolling_features(app: DataFrame, windows: Sequence[int] = DEFAULT_WINDOWS,
-                     stats: Sequence[str] = DEFAULT_STATS, every: str = "5 minutes") -> DataFrame:
-    """Complete-case rows -> rolling stats -> last per 5-min bin -> ``{metric}_{stat}_{w}min``."""
-    full = complete_rows(app, K + ["application"], "metric_type")
-    wide = rolling_stats(full, ["application", "metric_type"], windows, stats)
+                     stats: Sequence[str] = DEFAULT_STATS, every: str = "5 minutes", chunk_us: int = segments.DAY_US) -> DataFrame:
+    """Complete-case rows -> rolling stats -> last per 5-min bin -> ``{metric}_{stat}_{w}min``.
+
+    One shuffle of minute rows, by (application, chunk of time): an
+    application's minutes, its series' frames and the bins all lie inside a chunk
+    (with the rows its frames reach back to), so P8, W1 and A11 follow without
+    another.  Chunks are whole multiples of a bin.
+    """
+    group = [*K, "application"]
+    v = app.where(F.col("value").isNotNull())
+    chunks = segments.with_halo(v.select(*group, "metric_type", "time", "value"), "time", max(windows) * MINUTE_US, chunk_us)
+    chunks = chunks.repartition(*group, "_chunk")
+    present = F.size(F.collect_set("metric_type").over(Window.partitionBy(*group, "_chunk", "time")))
+    full = where_complete(chunks.withColumn("_have", present), group, series_counts(v, group, "metric_type"))
+    wide = full.select("*", *rolling_columns([*group, "_chunk", "metric_type"], windows, stats, "time", "value")).where("_own")
     names = [f"{s}_{w}" for w in windows for s in stats]
-    # A11 on the wide rows (last non-null per column and bin): the grouping keys
-    # extend the (entity, application) partitioning, so no shuffle; unpivot after
-    bins = wide.groupBy(*K, "application", "metric_type", bin_start("time", every).alias("time")).agg(
+    # A11 on the wide rows (last non-null per column and bin), unpivot after
+    bins = wide.groupBy(*group, "_chunk", "metric_type", bin_start("time", every).alias("time")).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("time"))).alias(c) for c in names])
-    tall = bins.unpivot([*K, "application", "metric_type", "time"], names, "stat_w", "value") \
-               .where(F.col("value").isNotNull())
+    tall = bins.unpivot([*group, "metric_type", "time"], names, "stat_w", "value").where(F.col("value").isNotNull())
     stat = F.split("stat_w", "_").getItem(0)
     w = F.split("stat_w", "_").getItem(1)
     return tall.select(*K, "time", "application",
@@ -48,11 +58,13 @@ def with_time_features(features: DataFrame, app: DataFrame) -> DataFrame:
 
     Applications come from the metric table, so an application without any
     rolling feature still receives calendar rows.  Both sides are distinct
-    lists per entity; the product is the output itself.
+    lists per entity; the product is the output itself.  The join key holds a
+    share of the times (their hash), for which the short list of applications
+    is repeated, so an entity is not one task.
     """
-    times = features.select(*K, "time").distinct()
-    apps = app.select(*K, "application").distinct()
-    grid = times.join(apps, K)
+    times = features.select(*K, "time").distinct().withColumn("_share", share_of("time"))
+    apps = in_all_shares(app.select(*K, "application").distinct())
+    grid = times.join(apps, [*K, "_share"])
     cal = grid.select(*K, "time", "application",
                       F.inline(F.array(
                           F.struct(F.lit("hour").alias("feature_name"), hour_of_day("time").cast("double").alias("value")),
@@ -94,64 +106,40 @@ def app_training_set(features: DataFrame, scores: DataFrame, common: DataFrame,
 
 
 # M2 ------------------------------------------------------------------------
-def system_training_set(impacts: DataFrame, res: DataFrame, every_minutes: int = 5,
+RESOURCE_NAMES = ["cpu", "mem", "disk"]
+
+
+def system_training_set(scores: DataFrame, common: DataFrame, res: DataFrame, every_minutes: int = 5,
                         min_common: int = 10) -> DataFrame:
     """Wide model rows: impact statistics + calendar (X) beside cpu / mem / disk (y).
 
-    Per entity: A6 per minute and the canonical resources per minute, both
-    cut to the overlap of their spans (W6), averaged per 5-minute bin (A10)
-    over each side's own first..last bin, forward filled per column (W5),
-    kept on the bins both sides cover, 0 for what stays empty, and only for
-    entities with >= ``min_common`` such bins (J1).
+    The impacts table repeats an entity's scores over its common span, so X is
+    one row of statistics (A6) per entity and a span.  y is the canonical
+    resources per minute.  Both are cut to the overlap of their spans (W6) and
+    averaged per 5-minute bin (A10); X covers every bin of the overlap, so the
+    common bins (J1) run from y's first to its last.  y is forward filled over
+    the bins it misses (W5), 0 for what stays empty; entities with fewer than
+    ``min_common`` bins go.
 
-    One lineage: X and y rows are unioned with a side tag and every span,
-    bin bound and fill is a window partitioned by the entity over per-minute
-    or per-bin rows, so nothing is joined back to its own aggregate.
+    Spans, bounds and statistics are small aggregates, a row per entity; the
+    bins are exploded once; rows of y meet them on (entity, bin).
     """
-    from pyspark.sql import Window
-
-    x_cols = [*STAT_COLUMNS, *CALENDAR]
-    y_cols = list(RESOURCE_NAMES)
-    stats = impact_stats(impacts).select(*K, "time", *STAT_COLUMNS, hour_of_day("time").alias("hour"),
-                                         day_of_week("time").alias("day_of_week"),
-                                         is_weekend("time").alias("is_weekend"))
-    r = canonical_resources(res).withColumn("time", F.date_trunc("minute", "time"))
-    y_min = r.groupBy(*K, "time").pivot("resource_type", y_cols).agg(F.avg("value"))
-    nul = lambda c: F.lit(None).cast("double").alias(c)
-    u = (stats.select(*K, "time", *[F.col(c).cast("double").alias(c) for c in x_cols], *[nul(c) for c in y_cols],
-                      F.lit(True).alias("is_x"))
-         .unionByName(y_min.select(*K, "time", *[nul(c) for c in x_cols], *y_cols, F.lit(False).alias("is_x"))))
-    wk = Window.partitionBy(*K)
-    tx, ty = F.when(F.col("is_x"), F.col("time")), F.when(~F.col("is_x"), F.col("time"))
-    s0 = F.greatest(F.min(tx).over(wk), F.min(ty).over(wk))
-    s1 = F.least(F.max(tx).over(wk), F.max(ty).over(wk))
-    cut = u.select("*", s0.alias("_s0"), s1.alias("_s1")).where(
-        (F.col("_s0") < F.col("_s1")) & F.col("time").between(F.col("_s0"), F.col("_s1")))
-    b = cut.groupBy(*K, floor_minutes("time", every_minutes).alias("time")).agg(
-        *[F.avg(c).alias(c) for c in x_cols + y_cols],
-        F.max(F.col("is_x").cast("int")).alias("_hx"), F.max((~F.col("is_x")).cast("int")).alias("_hy"))
-    bx, by = F.when(F.col("_hx") == 1, F.col("time")), F.when(F.col("_hy") == 1, F.col("time"))
-    c0 = F.greatest(F.min(bx).over(wk), F.min(by).over(wk))
-    c1 = F.least(F.max(bx).over(wk), F.max(by).over(wk))
-    wt = wk.orderBy("time")
-    step_us = every_minutes * 60_000_000
-    nxt = F.lead("time").over(wt)
-    n_empty = ((F.unix_micros(nxt) - F.unix_micros("time")) / F.lit(step_us)).cast("long") - 1
-    b2 = b.select("*", c0.alias("_c0"), c1.alias("_c1"), F.coalesce(n_empty, F.lit(0).cast("long")).alias("_ne"))
-    # the bins between two data bins, with empty values (the resample grid)
-    ex = b2.select(*K, "_c0", "_c1", *x_cols, *y_cols, "time",
-                   F.explode(F.sequence(F.lit(0).cast("long"), F.col("_ne"))).alias("_k"))
-    step = F.make_dt_interval(F.lit(0), F.lit(0), (F.col("_k") * every_minutes).cast("int"))
-    grid = ex.select(*K, "_c0", "_c1", (F.col("time") + step).alias("time"),
-                     *[F.when(F.col("_k") == 0, F.col(c)).alias(c) for c in x_cols + y_cols])
-    wf = wt.rowsBetween(Window.unboundedPreceding, 0)
-    filled = grid.select(*K, "time", "_c0", "_c1",
-                         *[F.last(c, ignorenulls=True).over(wf).alias(c) for c in x_cols + y_cols])
-    common = filled.where(F.col("time").between(F.col("_c0"), F.col("_c1")))
-    n = F.count(F.lit(1)).over(wk)
-    out = common.select(*K, "time", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in x_cols + y_cols],
-                        n.alias("_n"))
-    return out.where(F.col("_n") >= min_common).drop("_n")
-
-
-RESOURCE_NAMES = ["cpu", "mem", "disk"]
+    stats = entity_impact_stats(scores)
+    minute = canonical_resources(res).groupBy(*K, F.date_trunc("minute", "time").alias("time"), "resource_type").agg(F.avg("value").alias("value"))
+    spans = minute.groupBy(*K).agg(F.min("time").alias("y0"), F.max("time").alias("y1")).join(common, K).join(stats, K)
+    spans = spans.withColumns({"s0": F.greatest("common_start", "y0"), "s1": F.least("common_end", "y1")}).where("s0 < s1")
+    y = minute.join(spans.select(*K, "s0", "s1"), K).where(F.col("time").between(F.col("s0"), F.col("s1")))
+    bins = y.groupBy(*K, floor_minutes("time", every_minutes).alias("time")).agg(
+        *[F.avg(F.when(F.col("resource_type") == r, F.col("value"))).alias(r) for r in RESOURCE_NAMES])
+    bounds = bins.groupBy(*K).agg(F.min("time").alias("c0"), F.max("time").alias("c1"))
+    step = every_minutes * 60_000_000
+    enough = (F.unix_micros("c1") - F.unix_micros("c0")) / F.lit(step) + 1 >= min_common
+    grid = spans.join(bounds.where(enough), K).select(
+        *K, "s0", "s1", *STAT_COLUMNS, F.explode(F.sequence("c0", "c1", F.make_dt_interval(F.lit(0), F.lit(0), F.lit(every_minutes)))).alias("time"))
+    filled = segments.carried(grid.join(bins, [*K, "time"], "left"), K, "time", RESOURCE_NAMES)
+    # the calendar of a bin is the mean over its minutes inside the overlap
+    last = F.least(F.timestamp_micros(F.unix_micros("time") + F.lit(step - MINUTE_US)), F.col("s1"))
+    minutes = F.sequence(F.greatest("time", "s0"), last, F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1)))
+    mean = lambda of: F.aggregate(minutes, F.lit(0.0), lambda a, t: a + of(t).cast("double")) / F.size(minutes)
+    return filled.select(*K, "time", *STAT_COLUMNS, *[mean(of).alias(c) for c, of in zip(CALENDAR, (hour_of_day, day_of_week, is_weekend))],
+                         *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in RESOURCE_NAMES])

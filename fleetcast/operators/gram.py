@@ -21,9 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import segments
+
 WEEK_US = 7 * 24 * 3_600_000_000
 #: Folds are numbered from 0; the model of all rows has this number.
 FINAL = -1
@@ -77,13 +79,10 @@ def time_blocks(times: DataFrame, keys: Sequence[str], ts: str, n_splits: int) -
 
     A key with no more than ``n_splits`` times has no folds, all its rows are block 0.
     """
-    w = Window.partitionBy(*keys)
-    n, i = F.count(F.lit(1)).over(w), F.row_number().over(w.orderBy(ts)) - 1
-    t = times.select("*", n.alias("_n"), i.alias("_i"), F.expr("1").alias("_one"))
     size = F.floor(F.col("_n") / F.lit(n_splits + 1))
     first = F.col("_n") - F.lit(n_splits) * size
     block = F.when((size == 0) | (F.col("_i") < first), F.lit(0)).otherwise(F.floor((F.col("_i") - first) / size) + 1)
-    return t.withColumn("block", block.cast("int")).drop("_n", "_i", "_one")
+    return segments.numbered(times, keys, ts).withColumn("block", block.cast("int")).drop("_n", "_i")
 
 
 def _stacked(pdf: pd.DataFrame) -> np.ndarray:

@@ -1,17 +1,20 @@
 """Window and time-series operators.
 
-Every window is partitioned by a series key that leads with the entity key,
-and runs *after* the minute aggregation (A1), so a window partition holds
-at most one row per minute of the range however dense the raw points are.
+Windows run *after* the minute aggregation (A1), so they see at most one row
+per series and minute however dense the raw points are, and inside chunks of time
+(``segments``), so a series is not one task however long it is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import segments
+from .cooldown import alert_cooldown  # noqa: F401  (W13)
+
 K = ["tenant", "device_id"]
 MINUTE_US = 60_000_000
 
@@ -85,22 +88,28 @@ def interpolate_linear(df: DataFrame, series: Sequence[str], ts: str = "time", v
 # W1 ------------------------------------------------------------------------
 def rolling_stats(df: DataFrame, series: Sequence[str], windows: Sequence[int] = DEFAULT_WINDOWS,
                   stats: Sequence[str] = DEFAULT_STATS, ts: str = "time", value: str = "value",
-                  keys: Sequence[str] = K) -> DataFrame:
+                  keys: Sequence[str] = K, chunk_us: int = segments.DAY_US) -> DataFrame:
     """Time-based rolling statistics over ``(t - w, t]``, at least one row.
 
     Output is wide: one column ``{stat}_{w}`` per pair; ``std`` is the sample
-    std (null on one row).  All frames share one partition/order spec, so
-    Spark sorts once and evaluates every frame in the same window operator.
+    std (null on one row).  A series is cut into chunks with the rows its
+    frames reach back to, one shuffle by (series, chunk); all frames share one
+    partition/order spec, so Spark sorts once and evaluates them together.
     """
-    order = F.unix_micros(F.col(ts))
-    base = Window.partitionBy(*keys, *series).orderBy(order)
+    chunks = segments.with_halo(df.select(*keys, *series, ts, value), ts, max(windows) * MINUTE_US, chunk_us)
+    out = chunks.select("*", *rolling_columns([*keys, *series, "_chunk"], windows, stats, ts, value))
+    return out.where("_own").drop("_own", "_chunk")
+
+
+def rolling_columns(partition: Sequence[str], windows: Sequence[int], stats: Sequence[str], ts: str, value: str) -> list[Column]:
+    base = Window.partitionBy(*partition).orderBy(F.unix_micros(F.col(ts)))
     cols = []
     for w in windows:
         frame = base.rangeBetween(-(w * MINUTE_US - 1), 0)
         for s in stats:
             fn = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min}[s]
             cols.append(fn(F.col(value)).over(frame).alias(f"{s}_{w}"))
-    return df.select(*keys, *series, ts, value, *cols)
+    return cols
 
 
 # W5 ------------------------------------------------------------------------
@@ -108,11 +117,8 @@ def ffill(df: DataFrame, series: Sequence[str], ts: str = "time", value: str = "
           step_minutes: int = 5, keys: Sequence[str] = K, fill: float | None = 0.0) -> DataFrame:
     """Grid, forward fill, then a constant for what stays empty."""
     grid = minute_grid(df, series, ts, value, step_minutes, keys)
-    w = Window.partitionBy(*keys, *series).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    filled = F.last(F.col(value), ignorenulls=True).over(w)
-    if fill is not None:
-        filled = F.coalesce(filled, F.lit(fill))
-    return grid.select(*keys, *series, ts, filled.alias(value))
+    filled = segments.carried(grid.select(*keys, *series, ts, value), [*keys, *series], ts, [value])
+    return filled if fill is None else filled.withColumn(value, F.coalesce(F.col(value), F.lit(fill)))
 
 
 # W6 ------------------------------------------------------------------------
@@ -135,10 +141,8 @@ def dedup_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 # W11 -----------------------------------------------------------------------
 def chrono_split(df: DataFrame, keys: Sequence[str], ts: str, train_fraction: float = 0.8) -> DataFrame:
     """Flag the first ``floor(n * fraction)`` rows in time order of each key as train."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    rn = F.row_number().over(w)
-    return df.withColumn("is_train", rn <= F.floor(n * F.lit(train_fraction)))
+    rows = segments.numbered(df, keys, ts)
+    return rows.withColumn("is_train", F.col("_i") < F.floor(F.col("_n") * F.lit(train_fraction))).drop("_i", "_n")
 
 
 # W12 -----------------------------------------------------------------------
@@ -147,11 +151,8 @@ def ts_folds(df: DataFrame, keys: Sequence[str], ts: str, n_splits: int = 5) ->
 
     One output row per (input row, fold) where the row takes part in the fold.
     """
-    w = Window.partitionBy(*keys).orderBy(ts)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    base = df.select("*", (F.row_number().over(w) - 1).alias("_i"), n.alias("_n"))
     t = (F.col("_n") / F.lit(n_splits + 1)).cast("long")
-    ex = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("fold"), t.alias("_t"))
+    ex = segments.numbered(df, keys, ts).select("*", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("fold"), t.alias("_t"))
     test_start = F.col("_n") - (F.lit(n_splits) - F.col("fold")) * F.col("_t")
     role = (F.when(F.col("_i") < test_start, F.lit("train"))
             .when(F.col("_i") < test_start + F.col("_t"), F.lit("test")))

@@ -1083,7 +1083,7 @@ FROM sys_train"""), AG.STAT_COLUMNS + ["hour", "day_of_week", "is_weekend", "cpu
 def q_w11(spark, sf):
     """Chronological 80 / 20 split of the system training rows."""
     from ..operators.features import system_training_set
-    st = system_training_set(IP.impact_table(fx_points(spark, sf)), _res(spark, sf))
+    st = system_training_set(*IP.scores_and_spans(fx_points(spark, sf)), _res(spark, sf))
     return SE.chrono_split(st, K, "time", 0.8)
 
 
@@ -1097,7 +1097,7 @@ FROM f WHERE t > 0 AND i < n - (5 - fold) * t + t"""))
 def q_w12(spark, sf):
     """Five expanding time-series folds over the system training rows."""
     from ..operators.features import system_training_set
-    st = system_training_set(IP.impact_table(fx_points(spark, sf)), _res(spark, sf))
+    st = system_training_set(*IP.scores_and_spans(fx_points(spark, sf)), _res(spark, sf))
     return SE.ts_folds(st.select(*K, "time"), K, "time", 5)
 
 

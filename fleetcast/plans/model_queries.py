@@ -160,7 +160,7 @@ def q_m3h(spark, sf):
 
 
 def _sys_train(spark, sf):
-    return system_training_set(IP.impact_table(fx_points(spark, sf)), _res(spark, sf))
+    return system_training_set(*IP.scores_and_spans(fx_points(spark, sf)), _res(spark, sf))
 
 
 # the feature names of W2 and the calendar for the fixture metrics

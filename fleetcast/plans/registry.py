@@ -164,8 +164,8 @@ def q_features(spark, sf):
           [f"{r}_impact_{s}" for r in ("cpu", "mem", "disk") for s in ("sum", "mean", "max", "std")])
 def q_impact_stats(spark, sf):
     """Per-minute sum/mean/max/std of impact per resource (zeros when absent)."""
-    from ..operators.aggregate import impact_stats
-    return impact_stats(IP.impact_table(fx_points(spark, sf)))
+    from ..operators.aggregate import impact_stats_over
+    return impact_stats_over(*IP.scores_and_spans(fx_points(spark, sf)))
 
 
 @register("m2_system_training_set", sql_with(["sys_train"], "SELECT * FROM sys_train"),
@@ -174,7 +174,7 @@ def q_impact_stats(spark, sf):
 def q_sys_train(spark, sf):
     """M2: 5-min impact statistics + calendar beside utilisation, forward filled."""
     from ..operators.features import system_training_set
-    return system_training_set(IP.impact_table(fx_points(spark, sf)), _res(spark, sf))
+    return system_training_set(*IP.scores_and_spans(fx_points(spark, sf)), _res(spark, sf))
 
 
 from . import catalog  # noqa: E402,F401  (registers the remaining queries)

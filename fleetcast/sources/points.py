@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_lit
@@ -87,12 +87,25 @@ def recent_points(points: DataFrame, now, minutes: int, origin: str = ORIGIN) ->
     return scan_points(points, start=_ts(now) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes)), stop=now, origin=origin)
 
 
+def is_app_metric() -> Column:
+    """Points that S2 reads."""
+    return (F.col("location") == APP_LOCATION) & (F.col("field") == "value")
+
+
+def is_resource_metric() -> Column:
+    """Points that S3 reads."""
+    pick = F.lit(False)
+    for gw, raw_m, _ in RESOURCE_SOURCES:
+        pick = pick | ((F.col("gateway") == gw) & (F.col("measurement") == raw_m))
+    return (F.col("location") == RESOURCE_LOCATION) & (F.col("field") == "value") & pick
+
+
 def app_metrics(points: DataFrame, every: str = "1 minute", label: str = "end") -> DataFrame:
     """S2 + A1 + A2: per-minute mean per application metric.
 
     Output: tenant, device_id, time, application, metric_type, value.
     """
-    raw = points.where((F.col("location") == APP_LOCATION) & (F.col("field") == "value"))
+    raw = points.where(is_app_metric())
     per_series = window_mean(raw, every, K + ["gateway", "measurement"], ts="ts", value="value", label=label)
     renamed = per_series.select(*K, "time", F.col("gateway").alias("application"),
                                 F.col("measurement").alias("metric_type"), "value")
@@ -105,11 +118,7 @@ def resource_metrics(points: DataFrame, every: str = "1 minute", label: str = "e
     The cpu value is ``100 - mean(idle)``, applied after averaging.
     Output: tenant, device_id, time, resource_type, measurement, value.
     """
-    pick = None
-    for gw, raw_m, _ in RESOURCE_SOURCES:
-        c = (F.col("gateway") == gw) & (F.col("measurement") == raw_m)
-        pick = c if pick is None else (pick | c)
-    raw = points.where((F.col("location") == RESOURCE_LOCATION) & (F.col("field") == "value") & pick)
+    raw = points.where(is_resource_metric())
     per_series = window_mean(raw, every, K + ["gateway", "measurement"], ts="ts", value="value", label=label)
     # A2 on the series key itself (gateway = resource, raw measurement), so it reuses
     # the A1 partitioning; the public measurement and the cpu flip follow (the flip is

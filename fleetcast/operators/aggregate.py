@@ -28,11 +28,11 @@ def pearson(x: Column | str, y: Column | str) -> Column:
 
 # A1 ------------------------------------------------------------------------
 def every_micros(every: str | int) -> int:
-    """'1 minute', '5 minutes', '30 seconds', '1 hour' or an int of minutes -> micros."""
+    """'1 minute', '30 seconds', '1 hour', '1 day', '2 weeks' or an int of minutes -> micros."""
     if isinstance(every, int):
         return every * 60_000_000
     n, unit = every.split()
-    mult = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000}[unit.rstrip("s")]
+    mult = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}[unit.rstrip("s")]
     return int(n) * mult
 
 

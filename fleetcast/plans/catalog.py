@@ -7,6 +7,9 @@ Each entry pairs the Spark plan with its DuckDB twin (see ``oracle.py``).
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import time as T
@@ -23,6 +26,7 @@ from ..operators.cooldown import alert_cooldown
 from ..sources import points as PT
 from ..sources import tables as TB
 from ..sources.fixtures import events, fx_points
+from ..session import ensure_checkpoint_dir
 from . import impact as IP
 from .oracle import cte, sql_with
 from .registry import _app, _res, register
@@ -364,9 +368,12 @@ SELECT tenant, device_id, {NOW_SQL} AS prediction_time, target_time, resource_ty
        CAST(NULL AS DOUBLE) AS confidence_score, '20240101040000' AS batch_id
 FROM fx_forecast"""), ["predicted_value"])
 def q_s6(spark, sf):
-    """Forecast -> prediction table rows."""
-    fc = AL.baseline_forecast(_canon(spark, sf), NOW, 24)
-    return TB.to_prediction_rows(fc, NOW)
+    """Forecast -> prediction rows, stored by target date and batch; the batch is stored twice and is there once."""
+    rows = TB.to_prediction_rows(AL.baseline_forecast(_canon(spark, sf), NOW, 24), NOW)
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    for _ in range(2):
+        TB.store_predictions(rows, path)
+    return TB.read_predictions(spark, path).select(*rows.columns)
 
 
 @register("s7_alert_rows", sql_with(["crossings"], f"""
@@ -376,9 +383,13 @@ SELECT tenant, device_id, resource_type, threshold, crossing_time, time_to_thres
        {NOW_SQL} AS created_at, '20240101040000' AS batch_id
 FROM crossings"""), ["threshold", "time_to_threshold", "current_value", "predicted_value"])
 def q_s7(spark, sf):
-    """Threshold crossings -> alert table rows."""
+    """Threshold crossings -> alert rows, stored by batch; the batch is stored twice and is there once."""
     fc = AL.baseline_forecast(_canon(spark, sf), NOW, 24)
-    return TB.to_alert_rows(AL.threshold_crossings(fc, TB.thresholds(spark)), NOW)
+    rows = TB.to_alert_rows(AL.threshold_crossings(fc, TB.thresholds(spark)), NOW)
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    for _ in range(2):
+        TB.write_batches(rows, path)
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
 
 @register("s8_profile", sql_with(["impacts"], """
@@ -727,41 +738,50 @@ def q_a17(spark, sf):
     return ACC.degraded_resources(_pred_actual(spark, sf), NOW)
 
 
-LATE = "2024-01-08 12:00:00"
-LATE_SQL = "TIMESTAMP '2024-01-08 12:00:00'"
+# t-0 was trained eight days before and forecasts well, t-1 just now and forecasts badly, t-9 was never trained
+cte("perf_aged", ["fx_model_performance"], """
+SELECT * REPLACE (CASE WHEN tenant = 't-0' THEN trained_at - INTERVAL 8 day ELSE trained_at END AS trained_at) FROM fx_model_performance""")
+cte("pred_aged", ["pred_actual"], """
+SELECT * REPLACE (CASE WHEN tenant = 't-0' THEN error / 100.0 ELSE error END AS error) FROM pred_actual""")
+cte("fresh", ["perf_aged", "fx_points"], f"""
+WITH e AS (SELECT DISTINCT tenant, device_id FROM fx_points UNION ALL SELECT 't-9', 'dev-9'),
+l AS (SELECT tenant, device_id, max(trained_at) AS last_trained FROM perf_aged GROUP BY tenant, device_id),
+a AS (SELECT e.tenant, e.device_id, l.last_trained,
+             CAST(epoch_us({NOW_SQL}) - epoch_us(l.last_trained) AS DOUBLE) / 3600000000.0 AS age_hours
+      FROM e LEFT JOIN l USING (tenant, device_id))
+SELECT *, last_trained IS NULL OR age_hours > 168 AS stale FROM a""")
+
 
+def _aged(spark, sf):
+    """(performance, forecasts, entities) of the three cases."""
+    old = F.col("tenant") == "t-0"
+    perf = TB.fx_model_performance(spark, sf).withColumn("trained_at", F.when(old, F.col("trained_at") - F.make_dt_interval(F.lit(8))).otherwise(F.col("trained_at")))
+    pred = _pred_actual(spark, sf).withColumn("error", F.when(old, F.col("error") / 100.0).otherwise(F.col("error")))
+    points = fx_points(spark, sf).select("tenant", "device_id").distinct()
+    never = points.limit(1).select(F.lit("t-9").alias("tenant"), F.lit("dev-9").alias("device_id"))
+    return perf, pred, points.unionByName(never)
 
-@register("a18_model_freshness", sql_with(["fx_model_performance", "fx_points"], f"""
-WITH e AS (SELECT DISTINCT tenant, device_id FROM fx_points),
-l AS (SELECT tenant, device_id, max(trained_at) AS last_trained FROM fx_model_performance GROUP BY tenant, device_id)
-SELECT e.tenant, e.device_id, l.last_trained,
-       CAST(epoch_us({LATE_SQL}) - epoch_us(l.last_trained) AS DOUBLE) / 3600000000.0 AS age_hours,
-       l.last_trained IS NULL OR CAST(epoch_us({LATE_SQL}) - epoch_us(l.last_trained) AS DOUBLE) / 3600000000.0 > 168 AS stale
-FROM e LEFT JOIN l USING (tenant, device_id)"""), ["age_hours"])
+
+@register("a18_model_freshness", sql_with(["fresh"], "SELECT * FROM fresh"), ["age_hours"])
 def q_a18(spark, sf):
-    """Model age per entity (stale after 168 h)."""
-    return ACC.model_freshness(TB.fx_model_performance(spark, sf), fx_points(spark, sf), LATE)
-
-
-@register("m13_retrain_decision", sql_with(["fx_model_performance", "fx_points", "pred_actual"], f"""
-WITH e AS (SELECT DISTINCT tenant, device_id FROM fx_points),
-l AS (SELECT tenant, device_id, max(trained_at) AS last_trained FROM fx_model_performance GROUP BY tenant, device_id),
-f AS (SELECT e.tenant, e.device_id, l.last_trained,
-             l.last_trained IS NULL OR CAST(epoch_us({LATE_SQL}) - epoch_us(l.last_trained) AS DOUBLE) / 3600000000.0 > 168 AS stale
-      FROM e LEFT JOIN l USING (tenant, device_id)),
-d AS (SELECT tenant, device_id, max(CASE WHEN avg_error > 10 THEN 1 ELSE 0 END) AS deg FROM (
-        SELECT tenant, device_id, resource_type, avg(error) AS avg_error FROM pred_actual
-        WHERE actual_value IS NOT NULL AND prediction_time >= {LATE_SQL} - INTERVAL 24 hour
-        GROUP BY tenant, device_id, resource_type HAVING count(*) >= 5) GROUP BY tenant, device_id)
-SELECT f.tenant, f.device_id, f.stale, coalesce(d.deg, 0) = 1 AS degraded,
-       CAST(epoch_us({LATE_SQL}) - epoch_us(coalesce(f.last_trained, {LATE_SQL} - INTERVAL 30 day)) AS DOUBLE) / 3600000000.0 > 6 AS overdue,
-       f.stale AND (coalesce(d.deg, 0) = 1 OR
-         CAST(epoch_us({LATE_SQL}) - epoch_us(coalesce(f.last_trained, {LATE_SQL} - INTERVAL 30 day)) AS DOUBLE) / 3600000000.0 > 6) AS retrain
-FROM f LEFT JOIN d USING (tenant, device_id)"""))
+    """Model age per entity (stale after 168 h): a stale, a fresh and an untrained entity."""
+    perf, _, entities = _aged(spark, sf)
+    return ACC.model_freshness(perf, entities, NOW)
+
+
+@register("m13_retrain_decision", sql_with(["fresh", "pred_aged"], f"""
+WITH d AS (SELECT tenant, device_id, max(CASE WHEN avg_error > 10 THEN 1 ELSE 0 END) AS deg FROM (
+        SELECT tenant, device_id, resource_type, avg(error) AS avg_error FROM pred_aged
+        WHERE actual_value IS NOT NULL AND prediction_time >= {NOW_SQL} - INTERVAL 24 hour
+        GROUP BY tenant, device_id, resource_type HAVING count(*) >= 5) GROUP BY tenant, device_id),
+o AS (SELECT f.*, coalesce(d.deg, 0) = 1 AS degraded,
+             CAST(epoch_us({NOW_SQL}) - epoch_us(coalesce(f.last_trained, {NOW_SQL} - INTERVAL 30 day)) AS DOUBLE) / 3600000000.0 > 6 AS overdue
+      FROM fresh f LEFT JOIN d USING (tenant, device_id))
+SELECT tenant, device_id, stale, degraded, overdue, stale AND (degraded OR overdue) AS retrain FROM o"""))
 def q_m13(spark, sf):
-    """Retrain decision per entity."""
-    return ACC.retrain_decision(TB.fx_model_performance(spark, sf), _pred_actual(spark, sf),
-                                fx_points(spark, sf), LATE)
+    """Retrain decision per entity: old and good, fresh and degraded, never trained."""
+    perf, pred, entities = _aged(spark, sf)
+    return ACC.retrain_decision(perf, pred, entities, NOW)
 
 
 @register("m12_regression_metrics", sql_with(["pred_actual"], """
@@ -946,12 +966,20 @@ RET_NOW = "2024-01-08 00:30:00"
 RET_SQL = "TIMESTAMP '2024-01-08 00:30:00'"
 
 
+def _pruned(spark, rows, ts, keep):
+    """``rows`` stored by the hour of ``ts``, pruned in place, read back."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    rows.withColumn("hour", F.date_format(ts, "yyyyMMddHH")).write.partitionBy("hour").parquet(path)
+    RT.prune(spark, path, keep, ["hour"])
+    return spark.read.parquet(path).select(*rows.columns)
+
+
 @register("l1_retain_predictions", sql_with(["fx_predictions"], f"""
 SELECT * FROM fx_predictions WHERE prediction_time >= {RET_SQL} - INTERVAL 7 day"""),
           ["predicted_value", "actual_value", "error", "confidence_score"])
 def q_l1(spark, sf):
-    """L1: drop forecasts made more than 7 days ago."""
-    return RT.retain(_pred(spark, sf), "prediction_time", RET_NOW, 7)
+    """L1: drop forecasts made more than 7 days ago from a stored table, read back."""
+    return _pruned(spark, _pred(spark, sf), "prediction_time", lambda t: RT.retain(t, "prediction_time", RET_NOW, 7))
 
 
 @register("l2_prune_predictions", sql_with(["fx_predictions"], f"""
@@ -961,16 +989,16 @@ SELECT * EXCLUDE (latest) FROM (
 WHERE NOT (target_time < {RET_SQL} - INTERVAL 1 day) OR prediction_time >= latest"""),
           ["predicted_value", "actual_value", "error", "confidence_score"])
 def q_l2(spark, sf):
-    """L2: age cut then superseded cut."""
-    return RT.prune_predictions(_pred(spark, sf), RET_NOW)
+    """L2: age cut then superseded cut of a stored table, read back."""
+    return _pruned(spark, _pred(spark, sf), "target_time", lambda t: RT.prune_predictions(t, RET_NOW))
 
 
 @register("l3_retain_performance", sql_with(["fx_model_performance"], """
 SELECT * FROM fx_model_performance WHERE trained_at >= TIMESTAMP '2024-01-04 02:00:00' - INTERVAL 3 day"""),
           ["mae", "rmse", "r2_score"])
 def q_l3(spark, sf):
-    """L3: drop model performance older than 3 days."""
-    return RT.retain(TB.fx_model_performance(spark, sf), "trained_at", "2024-01-04 02:00:00", 3)
+    """L3: drop model performance older than 3 days from a stored table, read back."""
+    return _pruned(spark, TB.fx_model_performance(spark, sf), "trained_at", lambda t: RT.retain(t, "trained_at", "2024-01-04 02:00:00", 3))
 
 
 @register("a19_retention_stats", sql_with(["fx_predictions"], """

@@ -180,3 +180,4 @@ def q_sys_train(spark, sf):
 from . import catalog  # noqa: E402,F401  (registers the remaining queries)
 from . import streams  # noqa: E402,F401  (streaming queries)
 from . import model_queries  # noqa: E402,F401  (model queries)
+from . import wide  # noqa: E402,F401  (the same queries over more devices)

@@ -9,6 +9,9 @@ metric, one host resource metric), giving the ``points`` schema.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +30,22 @@ TENANTS = 2
 APPS = 3
 
 
+# Which entities the events are dealt to.  'dense': two devices that saturate their minutes.  'wide': a device for
+# every thirty users, so that minute rows grow with the data, and one hot device with a quarter of all points.
+_VIEW: ContextVar[str] = ContextVar("fixture_view", default="dense")
+HOT_EVERY, USERS_A_DEVICE, WIDE_TENANTS = 4, 30, 7
+
+
+@contextmanager
+def fixture_view(name: str) -> Iterator[None]:
+    """Plans built inside see the events through this view."""
+    token = _VIEW.set(name)
+    try:
+        yield
+    finally:
+        _VIEW.reset(token)
+
+
 # plans by session; an entry goes with its session
 _PLANS: WeakKeyDictionary[SparkSession, dict] = WeakKeyDictionary()
 
@@ -40,7 +59,7 @@ def memo_plan(fn):
     """
     def wrapper(spark: SparkSession, sf_dir: str, *args, **kw):
         plans = _PLANS.setdefault(spark, {})
-        key = (fn.__module__, fn.__qualname__, sf_dir, args, tuple(sorted(kw.items())))
+        key = (fn.__module__, fn.__qualname__, sf_dir, _VIEW.get(), args, tuple(sorted(kw.items())))
         if key not in plans:
             plans[key] = fn(spark, sf_dir, *args, **kw)
         return plans[key]
@@ -114,14 +133,25 @@ def fx_points_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points_from(events_stream(spark, sf_dir))
 
 
+def _entity() -> tuple[Column, Column, Column]:
+    """(tenant, device_id, application) of an event."""
+    user = F.col("user_id")
+    if _VIEW.get() == "wide":
+        hot, no = user % HOT_EVERY == 0, F.floor(user / USERS_A_DEVICE)
+        return (F.when(hot, "t-hot").otherwise(F.concat(F.lit("t-"), (no % WIDE_TENANTS).cast("string"))),
+                F.when(hot, "dev-hot").otherwise(F.concat(F.lit("dev-"), no.cast("string"))), F.lit("app-0"))
+    no = (user % TENANTS).cast("string")
+    return F.concat(F.lit("t-"), no), F.concat(F.lit("dev-"), no), F.concat(F.lit("app-"), (F.floor(user / 2) % APPS).cast("string"))
+
+
 def points_from(ev: DataFrame) -> DataFrame:
-    tenant_no = (F.col("user_id") % TENANTS).cast("string")
+    tenant, device, application = _entity()
     res_no = F.col("event_id") % 3
     gw_res = F.when(res_no == 0, "cpu").when(res_no == 1, "mem").otherwise("disk")
     capped = F.least(F.col("value"), F.lit(100.0))
     app_row = F.struct(
         F.lit("service_resource_data").alias("location"),
-        F.concat(F.lit("app-"), (F.floor(F.col("user_id") / 2) % APPS).cast("string")).alias("gateway"),
+        application.alias("gateway"),
         F.col("event_type").alias("measurement"),
         F.col("value").cast("double").alias("value"),
     )
@@ -134,8 +164,8 @@ def points_from(ev: DataFrame) -> DataFrame:
     return ev.select(
         "ts",
         F.when(F.col("event_id") % 50 == 0, "other").otherwise("server_data").alias("origin"),
-        F.concat(F.lit("t-"), tenant_no).alias("tenant"),
-        F.concat(F.lit("dev-"), tenant_no).alias("device_id"),
+        tenant.alias("tenant"),
+        device.alias("device_id"),
         F.inline(F.array(app_row, res_row)),
     ).select("ts", "origin", "tenant", "device_id", "location", "gateway", "measurement",
              F.lit("value").alias("field"), "value")

@@ -122,19 +122,21 @@ def system_training_set(scores: DataFrame, common: DataFrame, res: DataFrame, ev
     ``min_common`` bins go.
 
     Spans, bounds and statistics are small aggregates, a row per entity; the
-    bins are exploded once; rows of y meet them on (entity, bin).
+    bins are exploded once; rows of y meet them on (entity, bin).  ``common`` may
+    bring the resource minutes' own bounds (``res_start``, ``res_end``).
     """
-    stats = entity_impact_stats(scores)
     minute = canonical_resources(res).groupBy(*K, F.date_trunc("minute", "time").alias("time"), "resource_type").agg(F.avg("value").alias("value"))
-    spans = minute.groupBy(*K).agg(F.min("time").alias("y0"), F.max("time").alias("y1")).join(common, K).join(stats, K)
-    spans = spans.withColumns({"s0": F.greatest("common_start", "y0"), "s1": F.least("common_end", "y1")}).where("s0 < s1")
-    y = minute.join(spans.select(*K, "s0", "s1"), K).where(F.col("time").between(F.col("s0"), F.col("s1")))
+    spans = common
+    if not {"res_start", "res_end"} <= set(common.columns):
+        spans = common.join(minute.groupBy(*K).agg(F.min("time").alias("res_start"), F.max("time").alias("res_end")), K)
+    spans = spans.select(*K, F.greatest("common_start", "res_start").alias("s0"), F.least("common_end", "res_end").alias("s1")).where("s0 < s1")
+    y = minute.join(spans, K).where(F.col("time").between(F.col("s0"), F.col("s1")))
     bins = y.groupBy(*K, floor_minutes("time", every_minutes).alias("time")).agg(
         *[F.avg(F.when(F.col("resource_type") == r, F.col("value"))).alias(r) for r in RESOURCE_NAMES])
     bounds = bins.groupBy(*K).agg(F.min("time").alias("c0"), F.max("time").alias("c1"))
     step = every_minutes * 60_000_000
     enough = (F.unix_micros("c1") - F.unix_micros("c0")) / F.lit(step) + 1 >= min_common
-    grid = spans.join(bounds.where(enough), K).select(
+    grid = spans.join(bounds.where(enough), K).join(entity_impact_stats(scores), K).select(
         *K, "s0", "s1", *STAT_COLUMNS, F.explode(F.sequence("c0", "c1", F.make_dt_interval(F.lit(0), F.lit(0), F.lit(every_minutes)))).alias("time"))
     filled = segments.carried(grid.join(bins, [*K, "time"], "left"), K, "time", RESOURCE_NAMES)
     # the calendar of a bin is the mean over its minutes inside the overlap

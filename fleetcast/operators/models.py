@@ -113,38 +113,35 @@ def raw_training_set(app: DataFrame, scores: DataFrame, common: DataFrame, min_c
     ``label_imputed`` tell which.
 
     ``scores`` has one row per (K, application, resource_type), with ``period``
-    per period too; nothing is repeated over minutes before the last join, and
-    all joins of minute rows carry the time.
+    per period too.  Metrics and labels of a time travel as maps in one row per
+    (application, time), so time is in every shuffle key; what fills the gaps is
+    a row per application, and columns become rows in the last step.
     """
     at = [bin_start("time", period).alias("period")] if period else []
     key = [*K, "application", *(["period"] if period else [])]
     per_app = [*K, "application"]
     span = common.select(*K, "common_start", "common_end")
-    minute = (app.join(span, K).where(F.col("time").between(F.col("common_start"), F.col("common_end")))
-              .groupBy(*per_app, "time", "metric_type").agg(F.avg("value").alias("value")))
-    y = scores.groupBy(*key, "resource_type").agg(F.avg("impact_score").alias("label"))
-    times = minute.select(*per_app, "time", *at).distinct().join(y.select(*key).distinct(), key, "left_semi")
-    enough = times.groupBy(*per_app).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_common).select(*per_app)
-    times = times.join(enough, per_app, "left_semi")
-    kept = minute.join(times.select(*per_app, "time"), [*per_app, "time"], "left_semi")
-    # what a missing metric becomes: one row per application and metric
-    means = kept.groupBy(*per_app, "metric_type").agg(F.avg("value").alias("_mean"))
-    grid = times.join(means, per_app)
-    x = grid.join(kept, [*per_app, "time", "metric_type"], "left").select(
-        *key, "time", F.col("metric_type").alias("feature_name"), F.coalesce("value", "_mean", F.lit(0.0)).alias("value"),
-        F.col("value").isNull().alias("imputed"))
-    calendar = times.select(*key, "time", F.inline(calendar_columns("time")))
-    modes = calendar.groupBy(*per_app, "feature_name").agg(F.mode("value", deterministic=True).alias("_mode"))
-    calendar = calendar.join(modes, [*per_app, "feature_name"]).select(
-        *key, "time", "feature_name", F.coalesce("value", "_mode", F.lit(0.0)).alias("value"), F.col("value").isNull().alias("imputed"))
-    # labels of every resource the application has anywhere: a row per application, resource and period, weighted by its minutes
-    weight = times.groupBy(*key).agg(F.count(F.lit(1)).alias("_minutes"))
-    had = y.join(weight, key)
-    label_means = had.groupBy(*per_app, "resource_type").agg((F.sum(F.col("label") * F.col("_minutes")) / F.sum("_minutes")).alias("_label_mean"))
-    labels = weight.join(label_means, per_app).join(y, [*key, "resource_type"], "left").select(
-        *key, "resource_type", F.coalesce("label", "_label_mean", F.lit(0.0)).alias("label"), F.col("label").isNull().alias("label_imputed"))
-    return x.unionByName(calendar).join(labels, key).select(
-        *per_app, "time", "feature_name", "value", "imputed", "resource_type", "label", "label_imputed")
+    minute = app.join(span, K).where(F.col("time").between(F.col("common_start"), F.col("common_end")))
+    minute = minute.groupBy(*per_app, "time", "metric_type").agg(F.avg("value").alias("value"))
+    pairs = lambda name, value: F.map_from_entries(F.collect_list(F.struct(name, value)))
+    labels = scores.groupBy(*key, "resource_type").agg(F.avg("impact_score").alias("label")).groupBy(*key).agg(pairs("resource_type", "label").alias("_y"))
+    rows = minute.groupBy(*per_app, "time").agg(pairs("metric_type", "value").alias("_x")).select("*", *at).join(labels, key)
+    # what a gap becomes, a row per application: means of metrics and labels, modes of the calendar
+    tagged = lambda kind, entries: F.transform(
+        entries, lambda e: F.struct(F.lit(kind).alias("kind"), e["key"].alias("name"), e["value"].alias("value")))
+    calendar = F.transform(calendar_columns("time"), lambda e: F.struct(F.lit("calendar").alias("kind"), e["feature_name"].alias("name"), e["value"].alias("value")))
+    cells = rows.select(*per_app, F.inline(F.concat(tagged("metric", F.map_entries("_x")), tagged("label", F.map_entries("_y")), calendar)))
+    fills = cells.groupBy(*per_app, "kind", "name").agg(F.avg("value").alias("mean"), F.mode("value", deterministic=True).alias("mode"), F.count("*").alias("n"))
+    of = lambda kind, value: F.map_from_entries(F.collect_list(F.when(F.col("kind") == kind, F.struct("name", value))))
+    fills = fills.groupBy(*per_app).agg(of("metric", "mean").alias("_xm"), of("label", "mean").alias("_ym"), of("calendar", "mode").alias("_cm"),
+                                        F.max(F.when(F.col("kind") == "calendar", F.col("n"))).alias("_n"))
+    full = rows.join(fills.where(F.col("_n") >= min_common).drop("_n"), per_app)
+    filled = lambda name, have, mean: F.struct(name.alias("name"), F.coalesce(have, mean, F.lit(0.0)).alias("value"), have.isNull().alias("gap"))
+    x = F.transform(F.map_entries("_xm"), lambda e: filled(e["key"], F.col("_x")[e["key"]], e["value"]))
+    c = F.transform(calendar_columns("time"), lambda e: filled(e["feature_name"], e["value"], F.col("_cm")[e["feature_name"]]))
+    y = F.transform(F.map_entries("_ym"), lambda e: filled(e["key"], F.col("_y")[e["key"]], e["value"]))
+    out = full.select(*per_app, "time", y.alias("_labels"), F.inline(F.concat(x, c)).alias("feature_name", "value", "imputed"))
+    return out.select(*per_app, "time", "feature_name", "value", "imputed", F.inline("_labels").alias("resource_type", "label", "label_imputed"))
 
 
 def calendar_columns(ts: str) -> Column:

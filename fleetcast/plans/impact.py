@@ -28,11 +28,15 @@ class ImpactFrames:
     res: DataFrame          # minute canonical resources
     app_filled: DataFrame   # interpolated, non-null, of entities with a common span
     res_filled: DataFrame
-    common: DataFrame       # per entity common span, gated
+    spans: DataFrame        # per entity common span, gated, and the bounds of both tables
+
+    @property
+    def common(self) -> DataFrame:
+        return self.spans.select(*K, "common_start", "common_end", "n_common")
 
 
 def entity_spans(pts: DataFrame, min_common: int = 5) -> DataFrame:
-    """(K, common_start, common_end, n_common, app_end, res_end): bounds of both minute tables and J1's gate from one conditional aggregate.
+    """(K, common_start, common_end, n_common, app_end, res_start, res_end): bounds of both minute tables and J1's gate from one conditional aggregate.
 
     The first and last minute of a minute table are those of its points, so
     the points are read once, with a row per entity from every task.
@@ -42,8 +46,8 @@ def entity_spans(pts: DataFrame, min_common: int = 5) -> DataFrame:
     b = pts.groupBy(*K).agg(F.min(a).alias("a0"), F.max(a).alias("app_end"), F.min(r).alias("r0"), F.max(r).alias("res_end"))
     start, stop = F.greatest("a0", "r0"), F.least("app_end", "res_end")
     n = ((F.unix_micros(stop) - F.unix_micros(start)) / F.lit(MINUTE_US)).cast("long") + 1
-    both = F.col("a0").isNotNull() & F.col("r0").isNotNull()
-    return b.select(*K, start.alias("common_start"), stop.alias("common_end"), n.alias("n_common"), "app_end", "res_end").where(
+    both = F.col("app_end").isNotNull() & F.col("res_end").isNotNull()
+    return b.select(*K, start.alias("common_start"), stop.alias("common_end"), n.alias("n_common"), "app_end", F.col("r0").alias("res_start"), "res_end").where(
         both & (F.col("common_start") <= F.col("common_end")) & (F.col("n_common") >= min_common))
 
 
@@ -68,7 +72,7 @@ def impact_frames(points: DataFrame, limit: int = 5, min_common: int = 5,
 
     return ImpactFrames(app, res, interpolate_linear(app, APP_SERIES, limit=limit, bounds=ending("app_end", "res_end")),
                         interpolate_linear(res, RES_SERIES, limit=limit, bounds=ending("res_end", "app_end")),
-                        spans.drop("app_end", "res_end"))
+                        spans)
 
 
 def impact_score_table(points: DataFrame, **kw) -> DataFrame:
@@ -84,9 +88,9 @@ def periodic_impact_scores(points: DataFrame, bucket: str = "1 hour", **kw) -> D
 
 
 def scores_and_spans(points: DataFrame, bucket: str | None = None, **kw) -> tuple[DataFrame, DataFrame]:
-    """What the impacts table is made of: scores (per period with ``bucket``) and each entity's common span."""
+    """What the impacts table is made of: scores (per period with ``bucket``) and each entity's spans (``entity_spans``)."""
     f = impact_frames(points, **kw)
-    return impact_scores(f.app_filled, f.res_filled, bucket), f.common
+    return impact_scores(f.app_filled, f.res_filled, bucket), f.spans
 
 
 def impact_table(points: DataFrame, **kw) -> DataFrame:

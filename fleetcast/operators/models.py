@@ -248,7 +248,7 @@ def _no_metrics(rows: DataFrame) -> DataFrame:
     """Metrics of no model: no rows."""
     keys = [c for c in IMPACT_KEYS if c in rows.columns]
     return rows.where("false").select(*keys, F.lit(0).cast("long").alias("n_rows"), *[
-        F.lit(None).cast("double").alias(c) for c in ("mae", "rmse", "r2", "mean_mae")], F.lit(0).cast("long").alias("folds"),
+        F.lit(None).cast("double").alias(c) for c in ("label_mean", "label_std", "mae", "rmse", "r2", "mean_mae")], F.lit(0).cast("long").alias("folds"),
         F.lit(None).cast("string").alias("feature_importance"))
 
 
@@ -271,10 +271,12 @@ def fit_impact_models(train: DataFrame, names: Sequence[str], model: str = PER_K
     """
     fm = FittedModels(model, list(names), "impact")
     d = _materialize(impact_rows(train, names))
+    if model == PER_KEY:
+        return _fit_per_key(fm, d, cv_splits)
     if d.isEmpty():
         fm.metrics = _no_metrics(d)
         return fm
-    return _fit_per_key(fm, d, cv_splits) if model == PER_KEY else _fit_fleet(fm, d, cv_splits)
+    return _fit_fleet(fm, d, cv_splits)
 
 
 def _fit_per_key(fm: FittedModels, d: DataFrame, cv_splits: int) -> FittedModels:

@@ -116,8 +116,11 @@ def test_fleet_models_use_the_impact_keys(spark, kind, monkeypatch):
 
 def test_no_rows_and_null_labels(spark, train):
     df, _ = train
-    fm = MD.fit_impact_models(df.where("false"), NAMES)
-    assert fm.metrics.count() == 0 and fm.linear is None
+    for kind in ("ridge", "random_forest"):
+        fm = MD.fit_impact_models(df.where("false"), NAMES, kind)
+        assert fm.metrics.count() == 0 and {"label_std", "mean_mae", "folds", "feature_importance"} <= set(fm.metrics.columns)
+        profile = spark.createDataFrame([("t", "d9", "app", 1.0, 1.0, 1.0)], "tenant string, device_id string, application string, load double, noise double, flat double")
+        assert {r["impact_score"] for r in MD.predict_impacts(fm, profile, T0).collect()} == {0.5}
     rows = MD.impact_rows(df, NAMES).withColumn("block", F.lit(0)).withColumn("label", F.when(F.col("resource_type") == "cpu", F.col("label")))
     assert {r["resource_type"] for r in gram.fit_per_key(rows, MD.IMPACT_KEYS, NAMES).collect()} == {"cpu"}
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -161,13 +162,23 @@ def test_bounds_never_miss():
 
 
 # ---------------------------------------------------------------- 4
+def _plain_runs(parts):
+    """Every run forwards from a piece and backwards from one, as the words themselves."""
+    real = [(i, tuple(p.lower().split())) for i, p in enumerate(parts) if p.split()]
+    enough = lambda a, b: b - a >= sentence_spans.MIN_SENTENCES and sum(len(w) for _, w in real[a:b]) >= sentence_spans.MIN_WORDS
+    spots = set()
+    for k in range(len(real)):
+        spots.update((k, b) for b in itertools.islice((b for b in range(k, len(real) + 1) if enough(k, b)), 1))
+        spots.update((a, k + 1) for a in itertools.islice((a for a in range(k, -1, -1) if enough(a, k + 1)), 1))
+    return [(real[a][0], real[b - 1][0] + 1, tuple(w for _, w in real[a:b])) for a, b in spots]
+
+
 def _plain_spans(rows):
     seen, keep = {}, {}
     order = sorted({(r.doc_id, r.text) for r in rows if r.text}, key=lambda x: (x[0] is not None, x[0] or 0))
     where = collections.defaultdict(list)
     for d, t in order:
-        a, b, h = sentence_spans.runs(sentence_spans.sentences(t), sentence_spans.MIN_SENTENCES, sentence_spans.MIN_WORDS)
-        for x, y, z in zip(a, b, h):
+        for x, y, z in sorted(_plain_runs(sentence_spans.sentences(t))):
             where[z].append((d, t, x, y))
     for z, spots in where.items():
         for spot in spots[1:]:
@@ -218,9 +229,15 @@ def test_planted_passages_go(spark, scratch):
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.text(alphabet="ab .!?\n。", max_size=80))
-def test_sentences_join_to_the_text(text):
-    assert "".join(sentence_spans.sentences(text)) == text
+@given(st.lists(st.text(alphabet="abΣİ .!?,\n。", max_size=80), min_size=1, max_size=4))
+def test_sentences_join_to_the_text(texts):
+    texts.append(" ".join(texts).replace(".", ""))
+    parts = [sentence_spans.sentences(t) for t in texts]
+    assert ["".join(p) for p in parts] == texts
+    cut = sentence_spans.Cut(texts, 2, 3)
+    assert cut.n_pieces.tolist() == [len(p) for p in parts]
+    for k, p in enumerate(parts):
+        assert cut.place[cut.head[k] : cut.head[k + 1]].tolist() == [i for i, x in enumerate(p) if x.split()]
 
 
 # ---------------------------------------------------------------- 10

@@ -118,7 +118,8 @@ def connected_components(scratch: Scratch, edges: DataFrame, label: str, max_rou
     raise RuntimeError("components did not settle")
 
 
-def tile(scratch: Scratch, entries: DataFrame, key: str, node: str, comp: str | None, size: int, label: str) -> DataFrame:
+def tile(scratch: Scratch, entries: DataFrame, key: str, node: str, comp: str | None, size: int, label: str,
+         nodes_with: DataFrame | None = None) -> DataFrame:
     """Deal the entries of every key into tiles of bounded size for pair search.
 
     Adds ``tile_kind``, ``tile_i``, ``tile_j``, ``side`` and ``crossed``.
@@ -128,13 +129,16 @@ def tile(scratch: Scratch, entries: DataFrame, key: str, node: str, comp: str |
     component need no look either, so the rest is cut into parts that meet
     each other and the parts of that component; a key with one large component
     and few others costs rows in proportion to its size.  Without ``comp``
-    every entry counts as a component, and only the (few) large keys are
-    looked up, all others are tiles as they are.
+    every entry counts as a component.  ``nodes_with`` has further columns of the
+    nodes; only entries that are not alone on their key get them.
     """
     if comp is None:
-        large = scratch.save(entries.groupBy(key).agg(F.count("*").alias("node_n")).where(F.col("node_n") > size), f"{label}-nodes")
-        e = entries.join(large, key, "left").withColumn("node_n", F.coalesce("node_n", F.lit(1)))
-        return _tiles(e, entries.columns, key, node, None, size)
+        nodes = scratch.save(entries.groupBy(key).agg(F.count("*").alias("node_n")).where("node_n > 1"), f"{label}-nodes")
+        e, columns = entries.join(nodes, key), entries.columns
+        if nodes_with is not None:
+            e = scratch.save(e, f"{label}-met").join(nodes_with, node)
+            columns = [*columns, *[c for c in nodes_with.columns if c != node]]
+        return _tiles(e, columns, key, node, None, size)
     per = scratch.save(entries.groupBy(key, comp).agg(F.count("*").alias("c")), f"{label}-per")
     nodes = (per.groupBy(key).agg(F.count("*").alias("comps"), F.sum("c").alias("node_n"), F.max("c").alias("node_top"),
                                   F.max_by(comp, F.struct("c", comp)).alias("node_dom"))

@@ -12,7 +12,7 @@ smaller coordinates.  The tree uses that bound on three levels.
   Most documents end here.
 * Branches.  A survivor enters the branch of each of its rarest shared groups;
   two documents that link are sure to meet in one branch.
-* Leaves.  In a branch, points are folded to 64 groups, sorted by set size and
+* Leaves.  In a branch, points are folded to 256 groups, sorted by set size and
   boxed; the summed minima against a box's upper corner, then against its
   points, bound the overlap.  The pairs that remain are verified on their texts.
 
@@ -45,7 +45,7 @@ from .common import (TILE, WORDS, Scratch, connected_components, groups_of, pair
 #: The contract of op9: four words, 85 of 100.
 WIDTH, PERCENT = 4, 85
 #: Documents of a root block on average; coordinates of a folded point; points of a box; entries of a tile.
-BLOCK, FOLD, BOX, TILE_SIZE = 2048, 64, 32, 1024
+BLOCK, FOLD, BOX, TILE_SIZE = 2048, 256, 32, 1024
 #: Keys by which a document is compared with the most shared one of those that have it too.
 ROUNDS = 3
 
@@ -75,8 +75,13 @@ def shingles(text: str | None, width: int) -> np.ndarray:
 
 
 def fold(h: np.ndarray) -> bytes:
-    """Counts of a set's shingles in 64 groups."""
-    return np.minimum(np.bincount((h & np.uint64(FOLD - 1)).astype(np.int64), minlength=FOLD), 65535).astype("<u2").tobytes()
+    """Counts of a set's shingles in ``FOLD`` groups, up to 255 each; what goes beyond is the size less their sum."""
+    return np.minimum(np.bincount((h & np.uint64(FOLD - 1)).astype(np.int64), minlength=FOLD), 255).astype("u1").tobytes()
+
+
+def first_common(a: np.ndarray, b: np.ndarray) -> int:
+    """The smallest branch of both (sorted); they have one in common."""
+    return int(np.intersect1d(a, b, assume_unique=True)[0])
 
 
 def _sketch(width: int, percent: int):
@@ -153,35 +158,38 @@ def _survivors(percent: int, rounds: int):
     return run
 
 
-def _boxed(n: np.ndarray, points: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+def _boxed(n: np.ndarray, points: np.ndarray, over: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """(i, partners) of a large branch sorted by set size: boxes first, then the points of the boxes that are left."""
     starts = np.arange(0, len(n), BOX)
     upper = np.maximum.reduceat(points, starts, axis=0)
-    largest = np.maximum.reduceat(n, starts)
+    largest, most = np.maximum.reduceat(n, starts), np.maximum.reduceat(over, starts)
     smallest = np.minimum.reduceat(n, starts)
     for i in range(len(n)):
         # each pair is found from its smaller set (ties: the earlier one)
         boxes = (starts + BOX > i + 1) & (smallest * percent <= 100 * n[i])
-        bound = np.minimum(upper, points[i]).sum(1)
+        bound = np.minimum(upper, points[i]).sum(1) + np.minimum(most, over[i])
         least = (100 + percent) * bound >= percent * (n[i] + np.minimum(np.maximum(smallest, n[i]), largest))
         for b in np.flatnonzero(boxes & least).tolist():
             lo, hi = max(int(starts[b]), i + 1), min(int(starts[b]) + BOX, len(n))
             if lo < hi:
-                both = np.minimum(points[lo:hi], points[i]).sum(1)
+                both = np.minimum(points[lo:hi], points[i]).sum(1) + np.minimum(over[lo:hi], over[i])
                 yield i, np.flatnonzero((100 + percent) * both >= percent * (n[lo:hi] + n[i])) + lo
 
 
 def _leaf_pairs(percent: int):
     """Pairs of a branch's points whose summed minima allow a link.
 
-    Branches of up to a box are one leaf each; the leaves of a batch are
-    looked at together.
+    A pair comes from the first of the branches it shares alone.  Branches of up
+    to a box are one leaf each; the leaves of a batch are looked at together.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g, number in whole_keys(batches, ["branch", *TILE]):
             ids, n, comp = g["doc_id"].to_numpy(), g["n"].to_numpy(), g["comp"].to_numpy()
             side, crossed = g["side"].to_numpy(), g["crossed"].to_numpy()
-            raw = np.stack([np.frombuffer(p, "<u2") for p in g["point"]])
+            raw = np.stack([np.frombuffer(p, "u1") for p in g["point"]])
+            over = n - raw.sum(1, dtype=np.int64)  # two sets share at most the lesser of these beyond the minima
+            branch, lists = g["branch"].to_numpy(), g["branches"].to_numpy()
+            here = lambda i, j: [k for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())) if first_common(lists[x], lists[y]) == branch[x]]
             sizes = np.bincount(number)
             large = sizes[number] > BOX
             small = np.flatnonzero(~large)
@@ -192,16 +200,19 @@ def _leaf_pairs(percent: int):
                 i, j = i[ok], j[ok]
                 for a in range(0, len(i), 50_000):
                     x, y = i[a : a + 50_000], j[a : a + 50_000]
-                    both = np.minimum(raw[x], raw[y]).sum(1, dtype=np.int64)
+                    both = np.minimum(raw[x], raw[y]).sum(1, dtype=np.int64) + np.minimum(over[x], over[y])
                     ok = (100 + percent) * both >= percent * (n[x] + n[y])
-                    yield pd.DataFrame({"a": ids[x[ok]], "b": ids[y[ok]]})
+                    x, y = x[ok], y[ok]
+                    first = here(x, y)
+                    yield pd.DataFrame({"a": ids[x[first]], "b": ids[y[first]]})
             for k in np.flatnonzero(sizes > BOX).tolist():
                 at = np.arange(*np.searchsorted(number, [k, k + 1]))
                 at = at[np.argsort(n[at], kind="stable")]
                 a_out: list[int] = []
                 b_out: list[int] = []
-                for i, js in _boxed(n[at], raw[at].astype(np.int32), percent):
+                for i, js in _boxed(n[at], raw[at].astype(np.int32), over[at], percent):
                     js = js[(comp[at[js]] != comp[at[i]]) & (not crossed[at[i]] or (side[at[js]] != side[at[i]]))]
+                    js = js[here(np.full(len(js), at[i]), at[js])]
                     a_out += [int(ids[at[i]])] * len(js)
                     b_out += ids[at[js]].tolist()
                     if len(a_out) > 20_000:
@@ -269,7 +280,7 @@ def links(docs: DataFrame, scratch: Scratch, width: int = WIDTH, percent: int =
     stars = _verified(scratch.save(pairs, "star-pairs"), texts, scratch, "star-links", width, percent)
     comp = _components(scratch, stars, alive, "stars")
     entries = (found.join(comp, found["doc_id"] == comp["node"])
-               .select(F.explode("branches").alias("branch"), "doc_id", "n", "point", F.col("component").alias("comp")))
+               .select(F.explode("branches").alias("branch"), "branches", "doc_id", "n", "point", F.col("component").alias("comp")))
     tiles = tile(scratch, entries, "branch", "doc_id", "comp", tile_size, "branches")
     pairs = scratch.save(tiles.mapInPandas(_leaf_pairs(percent), "a long, b long").distinct(), "pairs")
     all_links = same.union(stars).union(_verified(pairs, texts, scratch, "links", width, percent))

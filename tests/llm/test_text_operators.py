@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -161,6 +162,27 @@ def test_bounds_never_miss():
             assert 1 <= ask <= p <= n
 
 
+def test_very_large_sets_share_no_more_than_their_bound():
+    """Groups of over 255 shingles: what does not fit the counts is in the bound too."""
+    rng = np.random.default_rng(4)
+    for n, same in ((90_000, 80_000), (200_000, 200_000), (300_000, 1_000), (500, 400)):
+        a = rng.integers(0, 2**64, n, np.uint64)
+        b = np.r_[a[:same], rng.integers(0, 2**64, n - same, np.uint64)]
+        x, y = (np.frombuffer(count_rtree.fold(v), "u1").astype(np.int64) for v in (a, b))
+        assert same <= np.minimum(x, y).sum() + min(len(a) - x.sum(), len(b) - y.sum()) <= n
+
+
+def test_pairs_come_from_one_branch():
+    """Three branches with the same points give each pair once, in leaves of both sizes."""
+    for size in (10, 100):
+        h = [np.arange(1000 + i, 1200 + i, dtype=np.uint64) for i in range(size)]
+        rows = [{"branch": k, "branches": np.array([3, 5, 8]), "doc_id": i, "n": 200, "point": count_rtree.fold(x), "comp": i, "tile_kind": 0,
+                 "tile_i": 0, "tile_j": 0, "side": 0, "crossed": False} for k in (3, 5, 8) for i, x in enumerate(h)]
+        out = pd.concat(count_rtree._leaf_pairs(80)(iter([pd.DataFrame(rows)])))
+        got = [(min(p), max(p)) for p in zip(out["a"], out["b"])]
+        assert len(got) == len(set(got)) and set(got) >= {(i, j) for i in range(size) for j in range(i + 1, size) if 180 * (200 - j + i) >= 80 * 400}
+
+
 # ---------------------------------------------------------------- 4
 def _plain_runs(parts):
     """Every run forwards from a piece and backwards from one, as the words themselves."""

@@ -12,7 +12,7 @@ smaller coordinates.  The tree uses that bound on three levels.
   Most documents end here.
 * Branches.  A survivor enters the branch of each of its rarest shared groups;
   two documents that link are sure to meet in one branch.
-* Leaves.  In a branch, points are folded to 256 groups, sorted by set size and
+* Leaves.  In a branch, points are folded to 128 groups, sorted by set size and
   boxed; the summed minima against a box's upper corner, then against its
   points, bound the overlap.  The pairs that remain are verified on their texts.
 
@@ -45,7 +45,7 @@ from .common import (TILE, WORDS, Scratch, connected_components, groups_of, pair
 #: The contract of op9: four words, 85 of 100.
 WIDTH, PERCENT = 4, 85
 #: Documents of a root block on average; coordinates of a folded point; points of a box; entries of a tile.
-BLOCK, FOLD, BOX, TILE_SIZE = 2048, 256, 32, 1024
+BLOCK, FOLD, BOX, TILE_SIZE = 2048, 128, 32, 1024
 #: Keys by which a document is compared with the most shared one of those that have it too.
 ROUNDS = 3
 
@@ -79,11 +79,6 @@ def fold(h: np.ndarray) -> bytes:
     return np.minimum(np.bincount((h & np.uint64(FOLD - 1)).astype(np.int64), minlength=FOLD), 255).astype("u1").tobytes()
 
 
-def first_common(a: np.ndarray, b: np.ndarray) -> int:
-    """The smallest branch of both (sorted); they have one in common."""
-    return int(np.intersect1d(a, b, assume_unique=True)[0])
-
-
 def _sketch(width: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in slices(batches, 1000):
@@ -188,8 +183,9 @@ def _leaf_pairs(percent: int):
             side, crossed = g["side"].to_numpy(), g["crossed"].to_numpy()
             raw = np.stack([np.frombuffer(p, "u1") for p in g["point"]])
             over = n - raw.sum(1, dtype=np.int64)  # two sets share at most the lesser of these beyond the minima
-            branch, lists = g["branch"].to_numpy(), g["branches"].to_numpy()
-            here = lambda i, j: [k for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())) if first_common(lists[x], lists[y]) == branch[x]]
+            lower = g["lower"].to_numpy()
+            here = lambda i, j: [k for k, (x, y) in enumerate(zip(i.tolist(), j.tolist()))
+                                 if not len(np.intersect1d(lower[x], lower[y], assume_unique=True))]
             sizes = np.bincount(number)
             large = sizes[number] > BOX
             small = np.flatnonzero(~large)
@@ -280,7 +276,10 @@ def links(docs: DataFrame, scratch: Scratch, width: int = WIDTH, percent: int =
     stars = _verified(scratch.save(pairs, "star-pairs"), texts, scratch, "star-links", width, percent)
     comp = _components(scratch, stars, alive, "stars")
     entries = (found.join(comp, found["doc_id"] == comp["node"])
-               .select(F.explode("branches").alias("branch"), "branches", "doc_id", "n", "point", F.col("component").alias("comp")))
+               .select("*", F.posexplode("branches").alias("place", "branch"))
+               # with the branches before this one (32 bits each, in order), which a pair may have met in already
+               .select("branch", F.transform(F.slice("branches", 1, F.col("place")), lambda x: (x - F.lit(2**31)).cast("int")).alias("lower"),
+                       "doc_id", "n", "point", F.col("component").alias("comp")))
     tiles = tile(scratch, entries, "branch", "doc_id", "comp", tile_size, "branches")
     pairs = scratch.save(tiles.mapInPandas(_leaf_pairs(percent), "a long, b long").distinct(), "pairs")
     all_links = same.union(stars).union(_verified(pairs, texts, scratch, "links", width, percent))

@@ -176,7 +176,7 @@ def test_pairs_come_from_one_branch():
     """Three branches with the same points give each pair once, in leaves of both sizes."""
     for size in (10, 100):
         h = [np.arange(1000 + i, 1200 + i, dtype=np.uint64) for i in range(size)]
-        rows = [{"branch": k, "branches": np.array([3, 5, 8]), "doc_id": i, "n": 200, "point": count_rtree.fold(x), "comp": i, "tile_kind": 0,
+        rows = [{"branch": k, "lower": np.array([b for b in (3, 5, 8) if b < k], np.int32), "doc_id": i, "n": 200, "point": count_rtree.fold(x), "comp": i, "tile_kind": 0,
                  "tile_i": 0, "tile_j": 0, "side": 0, "crossed": False} for k in (3, 5, 8) for i, x in enumerate(h)]
         out = pd.concat(count_rtree._leaf_pairs(80)(iter([pd.DataFrame(rows)])))
         got = [(min(p), max(p)) for p in zip(out["a"], out["b"])]

@@ -2,7 +2,8 @@
 
 Vectors become integers, floor(256 x).  Distinct vectors are dealt by hash into
 shards of bounded size; in a shard every dimension is a sorted list.  A query
-reads each list from the end its weight prefers, all lists to the same depth.
+reads each list from the end its weight prefers, all lists to the same depth;
+what is unread is halved from one look at the bounds to the next.
 What it has read gives every row a lower bound (unread components at the list's
 far end) and an upper bound (unread ones at the list's front as read so far).
 Rows whose upper bound is under the k-th best lower bound are out; reading
@@ -15,7 +16,8 @@ Edge cases: vectors that are null, empty or hold null or non-finite components
 take no part, nor do rows with a null id; zero vectors do; vectors meet only
 vectors of their own length; equal integer vectors are one candidate and come
 back as their rows, smaller ids first; ties go to the smaller id; an empty
-table gives no rows; extra columns are ignored.
+table gives no rows; extra columns are ignored.  Scores are 64-bit integers: a
+sum of products beyond them wraps around.
 """
 
 from __future__ import annotations
@@ -29,17 +31,17 @@ from .common import Scratch, table
 from .vectors import finite, search
 
 SHARD, QUERY_BLOCK = 4096, 1024
-#: Shares of the lists read before the bounds are looked at.
-DEPTHS = (1 / 8, 1 / 4, 1 / 2, 3 / 4, 1.0)
+#: Looks at the bounds before the lists are read to their ends; each halves what is unread.
+LOOKS = 6
 
 
 def bounds(x: np.ndarray, place: np.ndarray, ends: np.ndarray, q: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(queries, rows) lower and upper bounds after ``depth`` entries of every list.
+    """(queries, rows) lower and upper bounds of the rows ``x`` after ``depth`` entries of every list.
 
     ``place`` is a row's place in the ascending list of each dimension and
-    ``ends`` the sorted lists.  Positive weights read from the high end.
+    ``ends`` the sorted lists, of all rows.  Positive weights read from the high end.
     """
-    n = len(x)
+    n = len(ends)
     up, down = np.maximum(q, 0), np.minimum(q, 0)
     seen_up, seen_down = place >= n - depth, place < depth
     read = up @ np.where(seen_up, x, 0).T + down @ np.where(seen_down, x, 0).T
@@ -53,8 +55,11 @@ def bounds(x: np.ndarray, place: np.ndarray, ends: np.ndarray, q: np.ndarray, de
     return lower, upper
 
 
-def top_rows(x: np.ndarray, q: np.ndarray, top: int) -> list[np.ndarray]:
-    """Rows of ``x`` (double, whole numbers) that hold each query's ``top`` best, all ties at the edge included."""
+def top_rows(x: np.ndarray, q: np.ndarray, top: int, read: np.ndarray | None = None) -> list[np.ndarray]:
+    """Rows of ``x`` (double, whole numbers) that hold each query's ``top`` best, all ties at the edge included.
+
+    ``read``, if given, gets the entries of a list that each query has read before its bounds were enough.
+    """
     n = len(x)
     order = np.argsort(x, axis=0, kind="stable")
     place = np.empty_like(order)
@@ -64,26 +69,21 @@ def top_rows(x: np.ndarray, q: np.ndarray, top: int) -> list[np.ndarray]:
     open_ = np.arange(len(q))
     if n <= top:
         return out
-    rows = np.arange(n)  # rows that some open query may still need
-    for share in DEPTHS:
-        depth = min(n, max(1, int(np.ceil(share * n))))
-        if depth == n:
-            score = q[open_] @ x[rows].T
-            edge = np.partition(score, len(rows) - top, axis=1)[:, len(rows) - top]
-            for i, j in enumerate(open_.tolist()):
-                out[j] = rows[score[i] >= edge[i]]
-            break
-        lower, upper = bounds(x, place, ends, q[open_], depth)
-        edge = np.partition(lower, n - top, axis=1)[:, n - top]
+    rows = np.arange(n)  # rows that some open query may still need; its best lower bounds are among them
+    for look in range(1, LOOKS + 2):
+        depth = n - (n >> look) if look <= LOOKS else n
+        lower, upper = bounds(x[rows], place[rows], ends, q[open_], depth)
+        edge = np.partition(lower, len(rows) - top, axis=1)[:, len(rows) - top]
         may = upper >= edge[:, None]
-        left = may.sum(1)
-        done = left <= 4 * top
+        done = may.sum(1) <= 4 * top if depth < n else np.ones(len(open_), bool)
         for i in np.flatnonzero(done).tolist():
-            out[open_[i]] = np.flatnonzero(may[i])
+            out[open_[i]] = rows[may[i]]
+        if read is not None:
+            read[open_] = depth
         open_ = open_[~done]
         if not len(open_):
             break
-        rows = np.flatnonzero(may[~done].any(0))
+        rows = rows[may[~done].any(0)]
     return out
 
 

@@ -18,14 +18,14 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_queries_are_registered():
     names = {q.split("_")[0] for q in queries.QUERIES}
-    assert names == {f"op{i}" for i in range(1, 11)} and len(queries.QUERIES) == 10
+    assert names == {f"op{i}" for i in range(1, 14)} and len(queries.QUERIES) == 13
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_its_twin(spark, name):
     con = duckdb.connect()
-    for t in ("conversations", "embeddings"):
+    for t in ("conversations", "documents", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     cur = con.execute(queries.ORACLE[name])
     cols = [d[0] for d in cur.description]
@@ -92,6 +92,58 @@ def test_toxic_documents_are_rejected(spark):
     assert len(toxic) >= 80 and np.mean(toxic) <= 0.1 and np.mean(junk) <= 0.05 and np.mean(good) >= 0.97
 
 
+def _logit(p):
+    return math.log(p / (1 - p))
+
+
+def test_scores_equal_plain_python(spark, documents):
+    """Both views, their sum of evidence, the toxic model and the decision, word by word from the fitted numbers."""
+    f = cotraining.fit(documents, spark.read.parquet(f"{SF}/labels.parquet"))
+    p = lambda fit, z: 1 / (1 + math.exp(-(fit[0] * z + fit[1])))
+    for r in cotraining.scored(documents, spark.read.parquet(f"{SF}/labels.parquet")).limit(150).collect():
+        raw = (r.text or "").encode()
+        words = raw.lower().split()
+        styles = cotraining.style(raw, words, len(set(words)))
+        dense = [max(-5.0, min(5.0, (x - m) / s)) for x, m, s in zip(styles, f.mean, f.scale)]
+        margin = lambda model, known, ids: (sum(model.w[known[i]] for i in set(ids) if i in known)
+                                            + sum(a * b for a, b in zip(dense, model.v)) + model.b)
+        ids = lambda ws: [int(cotraining.word_ids({w})[0]) for w in ws]
+        pt = p(f.text_fit, margin(f.text, f.words, ids(words)))
+        pm = p(f.meta_fit, margin(f.meta, f.metas, cotraining.meta_ids(r.lang, r.source, r.n_chars)))
+        both = 1 / (1 + math.exp(-(_logit(pt) + _logit(pm) - _logit(f.prior))))
+        bare = raw.lower().translate(None, cotraining._PUNCTUATION).split()
+        toxic = margin(f.toxic, f.bare, ids(bare)) if f.toxic else -math.inf
+        score = both * (1 - p(f.toxic_fit, toxic)) if f.toxic else both
+        assert np.allclose([r.quality.text_score, r.quality.meta_score, r.quality.score], [pt, pm, score], rtol=1e-7, atol=1e-12)
+        if abs(both - f.least) > 1e-9 and not abs(toxic - f.most) < 1e-9:
+            assert r.quality.keep == (both >= f.least and toxic <= f.most)
+
+
+def test_pseudo_labels_are_the_surest_of_all_unlabelled(spark, documents, scratch):
+    marks = spark.read.parquet(f"{SF}/labels.parquet").where("pmod(xxhash64(doc_id), 4) > 0").select("doc_id").distinct()
+    labels = spark.read.parquet(f"{SF}/labels.parquet").join(marks, "doc_id")
+    f = cotraining.fit(documents, labels)
+    labelled = {r.doc_id for r in marks.collect()}
+    rows = set()
+    for r in documents.union(documents).collect():  # repeated rows count once
+        if r.doc_id not in labelled:
+            raw = (r.text or "").encode()
+            words = raw.lower().split()
+            rows.add(cotraining.packed(set(words), cotraining.style(raw, words, len(set(words))),
+                                       cotraining.meta_ids(r.lang, r.source, r.n_chars), f.words))
+    every = cotraining.surest(f, sorted(rows), 0.6)
+    told = {"text": {every[every.to == "text"].row.iloc[0]: True}, "meta": {}}
+    ask = cotraining._unlabelled(documents.union(documents), marks, scratch(), 7)(f)
+    got = ask(f, 0.6, told)
+    every = every[[not (t == "text" and b in told["text"]) for t, b in zip(every.to, every.row)]]
+    for (to, good), part in every.groupby(["to", "good"]):
+        mine = got[(got.to == to) & (got.good == good)]
+        assert len(mine) == min(7, len(part))
+        surety = {bytes(b): x for b, x in zip(part.row, part.surety)}
+        assert np.allclose(sorted(surety[bytes(b)] for b in mine.row), sorted(part.surety)[-len(mine):])
+    assert len(got) and set(map(bytes, got.row)) <= rows
+
+
 def test_classifier_odd_rows(spark, odd_documents, no_documents):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (4, 1, 0), (5, 1, 0), (5, 0, 0), (None, 1, 0), (6, None, 0), (77, 1, 1)],
                                    "doc_id long, quality int, toxic int")
@@ -161,6 +213,13 @@ def test_nra_stops_early_and_odd_vectors(spark, scratch):
     x[:4] = 1000
     keep = nra_topk.top_rows(x, np.array([[1.0, 1.0, 1.0], [-1.0, 0.0, 2.0]]), 4)
     assert set(keep[0]) >= {0, 1, 2, 3} and len(keep[0]) < 500
+    real = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").where("embedding is not null").limit(1000).collect()
+    x = np.floor(256 * np.array([r.embedding for r in real if len(r.embedding) == 64]))
+    read = np.zeros(20, int)
+    for q, rows in zip(x, nra_topk.top_rows(x, x[:20], 6, read)):
+        score = x @ q
+        assert set(np.flatnonzero(score >= np.sort(score)[-6])) <= set(rows) and len(rows) <= 24
+    assert (read < len(x)).mean() >= 0.9  # bounds decide, not the ends of the lists
     got = {(r.query_id, r.vec_id) for r in nra_topk.top_products(_vectors(spark, ODD_VECTORS), scratch(), every=100).collect()}
     assert got == {(0, 1), (0, 3), (0, 100), (0, 500), (100, 0), (100, 1), (100, 3), (100, 500), (500, 0), (500, 1), (500, 3), (500, 100), (600, 601)}
     assert nra_topk.top_products(_vectors(spark, ODD_VECTORS).where("false"), scratch()).count() == 0

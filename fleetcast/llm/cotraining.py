@@ -3,9 +3,9 @@
 The text view sees what a document says: style ratios and the presence of
 telling words.  The metadata view sees where it comes from: source, language
 and declared length.  Both are logistic models fitted in numpy on a bounded
-labelled sample.  In each round either view labels the unlabelled pool where
-its calibrated probability is near 0 or 1, and hands those pseudo-labels to the
-other.  A part of the labelled sample is kept from all training; on it the
+labelled sample.  In each round both views score every unlabelled document;
+where a view's calibrated probability is nearest to 0 or 1, it hands
+pseudo-labels to the other.  A part of the labelled sample is kept from all training; on it the
 views are calibrated, and the least score a kept document may have is set so
 that ``KEEP_SHARE`` of its good documents pass, with a margin where the other
 documents leave room for one.  The calibrated views combine as
@@ -19,11 +19,15 @@ limit comes from both sides of the held rows: half way between what
 ``TOXIC_SHARE`` of the toxic ones reach and what ``MILD_SHARE`` of the good ones
 stay under, and the latter where the two overlap.  A kept document passes both.
 
-Bounds (of the fit alone): ``LABELLED`` labelled and ``POOL`` unlabelled rows,
-those with the smallest hashes of ``doc_id``; ``WORDS`` telling words.
+Bounds (of the fit alone): ``LABELLED`` labelled rows, those with the smallest
+hashes of ``doc_id``; ``WORDS`` telling words; of the documents a view is sure
+of, all without a label being scored, the ``PSEUDO`` surest of either label go
+to the other view in a round (documents alike in all features count once).
 
-Edge cases: a null or empty text has zero ratios and no words; null metadata is
-a value of its own; labels without a document, or with a null in them, are
+Edge cases: a null or empty text has zero ratios and no words, a very long one
+is read whole; null metadata is a value of its own; of labelled rows that repeat
+a ``doc_id`` the one with the least features is learnt from, and each row is
+scored for itself; rows without ``doc_id`` are scored and not learnt from; labels without a document, or with a null in them, are
 passed over, and contradicting labels of a document count as not good; without
 toxic ones among the labels the third model lets all pass; without
 labels of both kinds every score is the share of good labels (1 without any)
@@ -34,19 +38,19 @@ clashing names are kept apart.
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import Scratch, table
 
-LABELLED, POOL, WORDS = 8000, 8000, 2000
+LABELLED, PSEUDO, WORDS = 8000, 1000, 2000
 ROUNDS, SURE, KEEP_SHARE = 3, 0.98, 0.995
 #: Share of the labelled sample kept for calibration (one in so many, by hash).
 HELD_ONE_IN = 4
@@ -67,7 +71,7 @@ def style(raw: bytes, words: list[bytes], distinct: int) -> list[float]:
             len(lines) / k, distinct / k, len(set(lines)) / len(lines), len(raw.translate(None, bytes(range(128)))) / n]
 
 
-N_STYLE = 12
+N_STYLE, N_META = 12, 3
 
 
 def word_ids(words: set[bytes]) -> np.ndarray:
@@ -116,6 +120,9 @@ class Sparse:
         upto = np.r_[0.0, np.cumsum(w[self.index])]
         return upto[self.start[1:]] - upto[self.start[:-1]] + self.dense @ v
 
+    def and_then(self, more: Sparse) -> Sparse:
+        return Sparse(np.r_[self.index, more.index], np.r_[self.start, self.start[-1] + more.start[1:]], np.r_[self.dense, more.dense])
+
     def back(self, e: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         return np.bincount(self.index, np.repeat(e, np.diff(self.start)), width), self.dense.T @ e
 
@@ -225,44 +232,74 @@ def telling(rows: list[np.ndarray], y: np.ndarray, most: int, least: float = 0.0
     return {int(ids[i]): k for k, i in enumerate(best) if worth[i] > least}
 
 
-def cotrain(sample: pd.DataFrame, words: int = WORDS, rounds: int = ROUNDS, sure: float = SURE, keep_share: float = KEEP_SHARE) -> Fitted:
-    """Fit both views on rows (doc_id, good and toxic or null, style, words, bare words, meta)."""
+def packed(words: set[bytes], styles: list[float], meta: list[int], known: dict[int, int]) -> bytes:
+    """What both views see of a document: ratios, metadata and telling words."""
+    told = sorted(known[i] for i in word_ids(words).tolist() if i in known)
+    return np.array(styles, "<f4").tobytes() + np.array(meta, "<u4").tobytes() + np.array(told, "<u4").tobytes()
+
+
+def unpacked(rows: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, list[list[int]]]:
+    """(telling words, ratios, metadata) of each row."""
+    styles = np.array([np.frombuffer(b, "<f4", N_STYLE) for b in rows], np.float64).reshape(-1, N_STYLE)
+    rest = [np.frombuffer(b, "<u4", offset=4 * N_STYLE).astype(np.int64) for b in rows]
+    return [r[N_META:] for r in rest], styles, [r[:N_META].tolist() for r in rest]
+
+
+def surest(f: Fitted, rows: list[bytes], sure: float) -> pd.DataFrame:
+    """(to, good, surety, row) of the rows a view is sure of; ``to`` is the view that gets the label."""
+    words, styles, metas = unpacked(rows)
+    pt, pm, _ = f.views(Sparse.of(words, f.dense(styles)), f.meta_rows(metas))
+    parts = []
+    for to, p in (("meta", pt), ("text", pm)):
+        at = np.flatnonzero((p >= sure) | (p <= 1 - sure))
+        parts.append(pd.DataFrame({"to": to, "good": p[at] >= 0.5, "surety": np.abs(p[at] - 0.5), "row": [rows[i] for i in at.tolist()]}))
+    return pd.concat(parts, ignore_index=True)
+
+
+def cotrain(sample: pd.DataFrame, unlabelled: Callable[[Fitted], Callable] | None = None, words: int = WORDS, rounds: int = ROUNDS,
+            sure: float = SURE, keep_share: float = KEEP_SHARE) -> Fitted:
+    """Fit both views on labelled rows (doc_id, good, toxic, style, words, bare words, meta).
+
+    ``unlabelled``, given the telling words, returns the function that a round
+    calls with the fitted views, the limit and the rows each view has been
+    told; it returns the new pseudo-labels as (to, good, row).
+    """
     sample = sample.sort_values("doc_id", kind="stable").reset_index(drop=True)
     good = sample["good"].to_numpy(np.float64)
-    known = ~np.isnan(good)
-    if not known.any():
+    if not len(good):
         return Fitted()
-    if good[known].min() == good[known].max():
-        return Fitted(prior=float(good[known].mean()))
+    if good.min() == good.max():
+        return Fitted(prior=float(good.mean()))
     ids = [np.frombuffer(b, "<u4").astype(np.int64) for b in sample["words"]]
     styles = np.array(sample["style"].tolist(), np.float64)
-    held = known & np.array([xxhash.xxh3_64_intdigest(str(d)) % HELD_ONE_IN == 0 for d in sample["doc_id"]])
-    learn = known & ~held
+    held = np.array([xxhash.xxh3_64_intdigest(str(d)) % HELD_ONE_IN == 0 for d in sample["doc_id"]])
+    learn = ~held
     if min(held.sum(), learn.sum()) < 20 or len(set(good[held])) < 2 or len(set(good[learn])) < 2:
-        held, learn = known, known  # too few labels to keep some apart
+        held = learn = np.ones(len(good), bool)  # too few labels to keep some apart
     metas = [list(m) for m in sample["meta"]]
     f = Fitted(prior=float(good[learn].mean()), words=telling([ids[i] for i in np.flatnonzero(learn)], good[learn], words),
-               metas={m: k for k, m in enumerate(sorted({m for r in metas for m in r}))},
                mean=styles[learn].mean(0), scale=styles[learn].std(0) + 1e-6)
-    xt, xm = f.text_rows(ids, styles), f.meta_rows(metas)
-    pool = ~known
-    told = {"text": np.where(learn, good, np.nan), "meta": np.where(learn, good, np.nan)}  # labels and pseudo-labels of each view
+    xt, taught, at = f.text_rows(ids, styles), np.flatnonzero(learn), np.flatnonzero(held)
+    ask = None if unlabelled is None else unlabelled(f)
+    told: dict[str, dict[bytes, bool]] = {"text": {}, "meta": {}}  # pseudo-labels of each view
     for r in range(rounds + 1):
-        for view, x, width, dense in (("text", xt, len(f.words), N_STYLE), ("meta", xm, len(f.metas), 0)):
-            rows = np.flatnonzero(~np.isnan(told[view]))
-            model = Logistic(width, dense).fit(x.take(rows), told[view][rows])
-            at = np.flatnonzero(held)
-            fit = platt(model.margin(x.take(at)), good[at])
+        more = {view: unpacked(list(rows)) for view, rows in told.items()}
+        f.metas = {m: k for k, m in enumerate(sorted({m for row in [*metas, *more["meta"][2]] for m in row}))}
+        xm = f.meta_rows(metas)
+        for view, x, extra, width, dense in (("text", xt, Sparse.of(more["text"][0], f.dense(more["text"][1])), len(f.words), N_STYLE),
+                                             ("meta", xm, f.meta_rows(more["meta"][2]), len(f.metas), 0)):
+            y = np.r_[good[taught], np.fromiter(told[view].values(), np.float64, len(told[view]))]
+            model = Logistic(width, dense).fit(x.take(taught).and_then(extra), y)
             setattr(f, view, model)
-            setattr(f, f"{view}_fit", fit)
-        if r == rounds or not pool.any():
+            setattr(f, f"{view}_fit", platt(model.margin(x.take(at)), good[at]))
+        if r == rounds or ask is None:
+            break
+        new = ask(f, sure, told)
+        for to, label, row in zip(new["to"], new["good"], new["row"]):
+            told[to][bytes(row)] = bool(label)
+        if not len(new):
             break
-        pt, pm, _ = f.views(xt, xm)
-        for p, other in ((pt, "meta"), (pm, "text")):
-            new = pool & np.isnan(told[other]) & ((p >= sure) | (p <= 1 - sure))
-            told[other][new] = p[new] >= 0.5
-    f.n_pseudo = int(sum((pool & ~np.isnan(t)).sum() for t in told.values()))
-    at = np.flatnonzero(held)
+    f.n_pseudo = sum(map(len, told.values()))
     score = f.views(xt.take(at), xm.take(at))[2]
     # half way (in log-odds) between the least score that good documents need and what others reach, where these are apart
     passing, others = np.quantile(score[good[at] > 0.5], 1 - keep_share), np.quantile(score[good[at] <= 0.5], 0.95)
@@ -289,19 +326,69 @@ def _learn_toxic(f: Fitted, sample: pd.DataFrame, styles: np.ndarray, good: np.n
 
 
 # ---------------------------------------------------------------- Spark
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> Fitted:
+def _packed(known: dict[int, int]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for r in pdf.itertuples(index=False):
+                raw = (r.text or "").encode("utf-8", "surrogatepass")
+                words = raw.lower().split()
+                distinct = set(words)
+                rows.append(packed(distinct, style(raw, words, len(distinct)), meta_ids(r.lang, r.source, r.n_chars), known))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "row": rows})
+    return run
+
+
+def _surest(f: Fitted, sure: float, told: dict[str, set[int]], most: int):
+    """The ``most`` surest rows of a task for each view and label that the view has not been told."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
+        for pdf in batches:
+            found = surest(f, pdf["row"].tolist(), sure)
+            found["at"] = [xxhash.xxh3_64_intdigest(b) - (1 << 63) for b in found["row"]]
+            found = found[np.array([h not in told[to] for h, to in zip(found["at"], found["to"])], bool)]
+            best = found if best is None else pd.concat([best, found], ignore_index=True)
+            best = best.sort_values(["surety", "at"], ascending=[False, True], kind="stable").groupby(["to", "good"]).head(most)
+        if best is not None:
+            yield best[["to", "good", "surety", "at", "row"]]
+    return run
+
+
+def _unlabelled(docs: DataFrame, marks: DataFrame, scratch: Scratch, most: int) -> Callable[[Fitted], Callable]:
+    """All documents without a label, as the views see them, written once; every round scores each of them."""
+    def told_words(f: Fitted) -> Callable:
+        rows = docs.where("doc_id is not null").select("doc_id", "text", "lang", "source", "n_chars").mapInPandas(
+            _packed(f.words), "doc_id long, row binary")
+        rows = scratch.save(rows.join(marks.select("doc_id"), "doc_id", "left_anti").select("row").distinct(), "unlabelled")
+
+        def ask(f: Fitted, sure: float, told: dict[str, dict[bytes, bool]]) -> pd.DataFrame:
+            seen = {to: {xxhash.xxh3_64_intdigest(b) - (1 << 63) for b in t} for to, t in told.items()}
+            best = rows.mapInPandas(_surest(f, sure, seen, most), "to string, good boolean, surety double, at long, row binary")
+            # the surest of every part of the rows, then of these: no task sorts all that a view is sure of
+            order = [F.desc("surety"), F.asc("at")]
+            for by in (["to", "good", F.pmod("at", F.lit(1024))], ["to", "good"]):
+                best = best.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("place") <= most).drop("place")
+            return best.orderBy("to", "good", "at").select("to", "good", "row").toPandas()
+        return ask
+    return told_words
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pseudo: int = PSEUDO) -> Fitted:
     marks = (labels.where("doc_id is not null and quality is not null and toxic is not null")
              .groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("double").alias("good"),
                                     F.max(F.col("toxic") != 0).cast("double").alias("toxic")))
     ids = docs.select("doc_id").where("doc_id is not null").distinct()
-    by_hash = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    taught = by_hash(ids.join(marks, "doc_id"), labelled)
-    others = by_hash(ids.join(marks, "doc_id", "left_anti"), pool).withColumns({c: F.lit(None).cast("double") for c in ("good", "toxic")})
-    wanted = taught.unionByName(others)  # at most labelled + pool rows: a proven bound for a broadcast
+    # at most ``labelled`` rows: a proven bound for a broadcast
+    wanted = ids.join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
+    features = ["good", "toxic", "style", "words", "bare", "meta"]
     rows = (docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(wanted), "doc_id")
             .mapInPandas(_features, "doc_id long, good double, toxic double, style array<double>, words binary, bare binary, meta array<long>"))
-    sample = rows.toPandas().drop_duplicates("doc_id")
-    return cotrain(sample)
+    # one row an id before anything reaches the driver
+    sample = rows.groupBy("doc_id").agg(F.min(F.struct(*features)).alias("least")).select("doc_id", "least.*").toPandas()
+    scratch = Scratch(docs.sparkSession, "cotraining")
+    fitted = cotrain(sample, _unlabelled(docs, marks, scratch, pseudo))
+    scratch.drop("unlabelled")
+    return fitted
 
 
 SCORES = T.StructType([T.StructField("text_score", T.DoubleType()), T.StructField("meta_score", T.DoubleType()),

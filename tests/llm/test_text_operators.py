@@ -347,6 +347,37 @@ def test_changed_lines_are_found_at_every_length(spark, documents, scratch):
         assert len(ids) >= 10 and len(gone.intersection(ids)) >= 0.9 * len(ids), key
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=60), st.lists(st.tuples(st.integers(0, 60), st.binary(max_size=3), st.integers(0, 3)), max_size=4))
+def test_plain_way_is_never_shorter(a, changes):
+    b = a
+    for at, new, gone in changes:
+        b = b[:at] + new + b[at + gone :]
+    assert fuzzy_lines.edits_at_most(a, b, 10**6) >= _edits(a, b)
+    assert fuzzy_lines.edits_at_most(a, a, 0) == 0
+
+
+def test_blocks_meet_for_similar_lines_only():
+    """One block of ten bytes and more is seldom shared by chance, and every pair of short lines within the limit shares one."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9)))
+    common = [word() for _ in range(60)]  # few words, as in lines of one kind
+    lines = [" ".join(rng.choice(common) for _ in range(rng.randrange(30, 60))).encode() for _ in range(2000)]
+    line, key = fuzzy_lines.blocks(lines, fuzzy_lines.SIMILARITY)
+    key = key & (1 << fuzzy_lines.KEY_BITS) - 1
+    keys, n = np.unique(key >> 1, return_counts=True)
+    assert len(key) <= 18 * len(lines) and n[n > 1].sum() <= 0.5 * len(key)
+    for size in range(10, 20):
+        for _ in range(20):
+            a = bytes(rng.choice(b"abcdefghij") for _ in range(size))
+            at = rng.randrange(size)
+            b = rng.choice([a[:at] + b"z" + a[at + 1 :], a[:at] + a[at + 1 :], a[:at] + b"z" + a[at:]])
+            if 1 <= 0.1 * max(len(a), len(b)) + 1e-9:
+                who, key = fuzzy_lines.blocks([a, b], fuzzy_lines.SIMILARITY)
+                key = (key & (1 << fuzzy_lines.KEY_BITS) - 1) >> 1
+                assert set(key[who == 0].tolist()) & set(key[who == 1].tolist()), (a, b)
+
+
 def test_short_lines_repeat_too(spark, scratch):
     rows = [(1, "Ok.\nAll rights reserved.\n\n--"), (2, "ok\nall rights reserved\n\n--\nNo 7"), (3, "a\n\nNO 8!"), (4, "b\nA"), (5, "bc")]
     df = spark.createDataFrame(rows, "doc_id long, text string")

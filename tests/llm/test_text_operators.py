@@ -378,6 +378,41 @@ def test_blocks_meet_for_similar_lines_only():
                 assert set(key[who == 0].tolist()) & set(key[who == 1].tolist()), (a, b)
 
 
+def test_edits_of_many_pairs_at_once(monkeypatch):
+    """The steps for all pairs at once decide as ``similar`` does, at every length and on both sides of the limit."""
+    monkeypatch.setattr(fuzzy_lines, "ENOUGH", 1)
+    rng = random.Random(3)
+    lines, i, j = [], [], []
+    for size in [1, 5, 63, 64, 65, 128, 129, 200, 300, 600] * 8:
+        line = bytes(rng.choice(b"abcd ") for _ in range(size))
+        lines.append(line)
+        for share in (0.02, 0.09, 0.12):
+            other = bytearray(line)
+            for _ in range(max(1, int(share * size))):
+                at = rng.randrange(len(other) + 1)
+                other[at : at + rng.randrange(2)] = rng.choice([b"", b"x", b"\xff"])
+            i.append(len(lines) - 1 if share == 0.02 else i[-1])
+            j.append(len(lines))
+            lines.append(bytes(other))
+    got = fuzzy_lines.all_similar(lines, np.array(i), np.array(j), 0.9).tolist()
+    assert got == [fuzzy_lines.similar(lines[x], lines[y], 0.9) for x, y in zip(i, j)] and 0 < sum(got) < len(got)
+
+
+def test_links_grow_with_the_lines_of_a_group(spark, scratch, monkeypatch):
+    """Forty lines of one group are joined by a few links a line, not by one for each of their 780 pairs."""
+    rng, counts, components = random.Random(8), [], fuzzy_lines.connected_components
+    line = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300))
+    rows = [(k, line[: 5 + 7 * k] + "9" + line[6 + 7 * k :] + "\nown " + chr(97 + k % 26) * 40 + str(rng.random())) for k in range(40)]
+
+    def counted(scratch, edges, *args):
+        counts.append(edges.where("a <> b").count())
+        return components(scratch, edges, *args)
+    monkeypatch.setattr(fuzzy_lines, "connected_components", counted)
+    gone = {r.doc_id for r in fuzzy_lines.dedup(spark.createDataFrame(rows, "doc_id long, text string"), scratch()).collect()
+            if line[-40:].strip() not in r.lines.text}
+    assert gone == set(range(1, 40)) and max(counts) <= 4 * 40
+
+
 def test_short_lines_repeat_too(spark, scratch):
     rows = [(1, "Ok.\nAll rights reserved.\n\n--"), (2, "ok\nall rights reserved\n\n--\nNo 7"), (3, "a\n\nNO 8!"), (4, "b\nA"), (5, "bc")]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -413,6 +413,52 @@ def test_links_grow_with_the_lines_of_a_group(spark, scratch, monkeypatch):
     assert gone == set(range(1, 40)) and max(counts) <= 4 * 40
 
 
+def test_edits_of_a_pair_are_counted_once(spark, scratch):
+    """Lines that share many blocks but are not similar: each pair is looked at once, however many blocks it shares."""
+    rng, saved, to = random.Random(6), {}, scratch()
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(40)]
+    rows = []
+    for k in range(30):
+        own = list(words)
+        for at in rng.sample(range(40), 6):
+            own[at] = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12))
+        rows.append((k, " ".join(own)))
+    save = to.save
+    to.save = lambda df, name, codec=None: saved.setdefault(name, save(df, name, codec))
+    out = fuzzy_lines.dedup(spark.createDataFrame(rows, "doc_id long, text string"), to).collect()
+    assert sum(r.lines.n_removed for r in out) == 0
+    pairs = [(r.a, r.b) for name, df in saved.items() if name.startswith("pairs") for r in df.collect()]
+    assert 200 < len(pairs) == len(set(pairs)) <= 30 * 29 // 2
+
+
+def test_lines_are_split_once_a_document(spark, scratch):
+    """A split inside the lambda over the lines that stay would run again for each of them."""
+    df = spark.createDataFrame([(1, "one line of it\nanother one"), (2, "one line of it\na third")], "doc_id long, text string")
+    out = fuzzy_lines.dedup(df, scratch())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction(" in plan and plan.count("split(") == 1, plan
+    assert {r.doc_id: (r.lines.text, r.lines.n_lines, r.lines.n_removed) for r in out.collect()} == {
+        1: (df.first().text, 2, 0), 2: ("a third", 2, 1)}
+
+
+def test_packed_lengths_and_places():
+    n = np.r_[np.arange(5000), np.geomspace(5000, 2**31 - 1, 2000).astype(np.int64)]
+    back = fuzzy_lines.unscaled(fuzzy_lines.scaled(n))
+    assert (back[n < fuzzy_lines.EXACT] == n[n < fuzzy_lines.EXACT]).all() and (np.abs(back - n) <= fuzzy_lines.OFF / 2 * n + 1).all()
+    assert fuzzy_lines.scaled(n).max() < 8191
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.binary(min_size=100, max_size=160), st.lists(st.tuples(st.integers(0, 160), st.binary(max_size=2), st.integers(0, 2)), max_size=8))
+def test_pairs_ruled_out_are_not_similar(a, changes):
+    b = a
+    for at, new, gone in changes:
+        b = b[:at] + new + b[at + gone :]
+    most = np.array([0.1 * max(len(a), len(b)) + 1e-9])
+    if fuzzy_lines.ruled_out([a, b], np.array([0]), np.array([1]), most)[0]:
+        assert _edits(a, b) > most[0]
+
+
 def test_short_lines_repeat_too(spark, scratch):
     rows = [(1, "Ok.\nAll rights reserved.\n\n--"), (2, "ok\nall rights reserved\n\n--\nNo 7"), (3, "a\n\nNO 8!"), (4, "b\nA"), (5, "bc")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
